@@ -1,55 +1,45 @@
-"""Reading texts of the form M-YYYY."""
+"""Reading texts of the form M-YYYY.
+
+Filters are pushed below the projections they refer to and repeat their expressions there, so each
+question is kept short.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from monthspan.panel import FIRST_MONTH, LAST_MONTH
-
-# Fixed pattern: a piece of an M-YYYY text that is a number.
-DIGITS = "^[0-9]+$"
-
-
-def _number(piece: Column) -> Column:
-    return F.when(piece.rlike(DIGITS), piece.try_cast("int"))
-
-
-def last_piece_year(text: Column) -> Column:
-    """The year after the last dash; null when that piece is not all digits."""
-    return _number(F.element_at(F.split(text, "-"), -1))
+# Fixed patterns. The data model has the years that a nanosecond timestamp holds in full, 1678 to
+# 2261. This bounds an entity's series to 7,008 months, whatever the input size.
+DIGITS = r"^[0-9]+$"
+TWO_NUMBERS = r"^[0-9]+-[0-9]+(?:-|$)"
+YEARLY_TOTAL = r"^0+-"
+YEARS = r"1(?:67[89]|6[89][0-9]|[789][0-9]{2})|2(?:[01][0-9]{2}|2[0-5][0-9]|26[01])"
+MONTH = rf"^0*(?:[1-9]|1[0-2])-0*(?:{YEARS})(?:-|$)"
 
 
 def is_from_year(text: Column, min_year: int) -> Column:
-    """Keep the row? False, never null, for a text without a numeric year."""
-    return F.coalesce(last_piece_year(text) >= min_year, F.lit(False))
+    """Is the last piece a number, and not before ``min_year``? Never null."""
+    piece = F.substring_index(text, "-", -1)
+    return F.coalesce((piece.try_cast("bigint") >= min_year) & piece.rlike(DIGITS), F.lit(False))
 
 
-def names_a_month(text: Column) -> Column:
-    """Piece 0 and piece 1 are numbers and there is no leading dash.
+def is_month(text: Column) -> Column:
+    """Do the first two pieces name a month of the data model?
 
-    A leading dash marks a starting cumulative value (month -1), not a month.
+    Not so for a yearly total (month 0) or a starting value (month -1).
     """
-    pieces = F.split(text, "-")
-    return F.coalesce(
-        ~text.startswith("-")
-        & F.get(pieces, F.lit(0)).rlike(DIGITS)
-        & F.get(pieces, F.lit(1)).rlike(DIGITS),
-        F.lit(False),
-    )
+    return F.coalesce(text.rlike(MONTH), F.lit(False))
 
 
-def month_number(text: Column) -> Column:
-    return _number(F.get(F.split(text, "-"), F.lit(0)))
+def claims_month(text: Column) -> Column:
+    """Are the first two pieces numbers, the first of them not 0?"""
+    claims = text.rlike(TWO_NUMBERS) & ~text.rlike(YEARLY_TOTAL)
+    return F.coalesce(claims, F.lit(False))
 
 
 def month_start(text: Column) -> Column:
-    """First day of the month, or null when there is no such month in the data model."""
-    year = _number(F.get(F.split(text, "-"), F.lit(1)))
-    month = month_number(text)
-    date = F.when(
-        month.between(1, 12) & year.between(int(FIRST_MONTH[:4]), int(LAST_MONTH[:4])),
-        F.make_date(year, month, F.lit(1)),
-    )
-    in_range = date.between(F.lit(FIRST_MONTH).cast("date"), F.lit(LAST_MONTH).cast("date"))
-    return F.when(in_range, date)
+    """First day of the month, for a text of which ``is_month`` holds."""
+    month = F.substring_index(text, "-", 1).try_cast("int")
+    year = F.substring_index(F.substring_index(text, "-", 2), "-", -1).try_cast("int")
+    return F.make_date(year, month, F.lit(1))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def not_nan(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
 def finite(value: Column) -> Column:

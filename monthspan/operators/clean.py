@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthspan.functions.months import month_number, month_start, names_a_month
+from monthspan.functions.months import claims_month, is_month, month_start
 from monthspan.panel import OIL, OIL_CAP, Panel, col
 from monthspan.sources.dictionary import categories
 
@@ -20,13 +20,11 @@ def parse_date(frame: DataFrame, panel: Panel = Panel(), on_bad_date: str = "dro
     if on_bad_date not in ("drop", "fail"):
         raise ValueError(f"on_bad_date is 'drop' or 'fail', not '{on_bad_date}'")
     text = col(panel.month_year)
-    rows = frame.filter(names_a_month(text))
-    date = month_start(text)
-    if on_bad_date == "fail":
-        bad = F.raise_error(F.concat(F.lit("no such month: "), text)).cast("date")
-        rows = rows.filter(F.coalesce(month_number(text) >= 1, F.lit(True)))
-        return rows.withColumn(panel.date, F.coalesce(date, bad))
-    return rows.withColumn(panel.date, date).filter(col(panel.date).isNotNull())
+    if on_bad_date == "drop":
+        return frame.filter(is_month(text)).withColumn(panel.date, month_start(text))
+    no_month = F.raise_error(F.concat(F.lit("no such month: "), text)).cast("date")
+    date = F.when(is_month(text), month_start(text)).otherwise(no_month)
+    return frame.filter(claims_month(text)).withColumn(panel.date, date)
 
 
 def cast_categoricals(frame: DataFrame, schema: T.StructType) -> DataFrame:

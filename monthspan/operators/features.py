@@ -3,10 +3,17 @@
 All windows run over the rows of one entity in date order, other products included. The input is
 one row per key (``Panel.keys``), so an entity's rows are bounded by the calendar. Every window
 partitions by the entity, or by entity and date, so one shuffle by entity serves them all.
+
+A feature is described by the window values it needs and by what it makes of them. The window values
+become columns first, so that each is computed once however many features refer to it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,19 +39,20 @@ FEATURES = [
 ]
 
 
-def _null() -> Column:
-    return F.lit(None).cast("double")
+class Feature(NamedTuple):
+    windows: dict[str, Column]
+    results: dict[str, Column]
 
 
 def add_cumulative(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Running totals per product. Rows of the other product add nothing; a row of the product
     without a volume has no total, and the total goes on after it."""
-    return frame.withColumns(_cumulative(panel))
+    return _apply(frame, [_cumulative(panel)])
 
 
 def add_ratios(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Gas-oil ratio and water cut of each (entity, date), on every row of the pair."""
-    return frame.withColumns(_ratios(panel))
+    return _apply(frame, [_ratios(panel)])
 
 
 def add_entity_ratios(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
@@ -53,99 +61,107 @@ def add_entity_ratios(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     Rows per entity are unbounded here, so the sums are aggregated (partly before the shuffle) and
     joined back; Spark splits a skewed entity in that join, which it cannot do in a window.
     """
-    sums = {
-        "_oil": _total(panel.own_volume(OIL)),
-        "_gas": _total(panel.own_volume(GAS)),
-        "_water": _total(col(panel.water)) if panel.water else _null(),
-    }
-    totals = frame.groupBy(col(panel.entity)).agg(*[v.alias(n) for n, v in sums.items()])
-    water = F.col("_water") if panel.water else None
-    return (
-        frame.join(totals, panel.entity, "left")
-        .withColumns(_ratio_columns(F.col("_oil"), F.col("_gas"), water))
-        .drop(*sums)
-        .select(*frame.columns, "gor", "water_cut")
+    totals = frame.groupBy(col(panel.entity).alias("_entity")).agg(
+        *[F.sum(volume).alias(name) for name, volume in _month_volumes(panel).items()]
     )
+    joined = frame.join(totals, col(panel.entity).eqNullSafe(F.col("_entity")), "left")
+    return joined.select(*frame.columns, *_named(_ratio_results(panel)))
 
 
 def add_decline_rate(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Relative change against the previous row, clipped; null after a zero or missing volume."""
-    return frame.withColumns(_decline(panel))
+    return _apply(frame, [_decline(panel)])
 
 
 def add_rolling(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Mean of the last n rows per product; null unless all n hold a volume of the product."""
-    return frame.withColumns(_rolling(panel))
+    return _apply(frame, [_rolling(panel)])
 
 
 def add_lags(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """The previous row's volume, when that row is of the product."""
-    return frame.withColumns(_lags(panel))
+    return _apply(frame, [_lags(panel)])
 
 
 def add_features(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """All twelve features, in their fixed order."""
     parts = [_cumulative, _ratios, _decline, _rolling, _lags]
-    columns = {name: value for part in parts for name, value in part(panel).items()}
-    return frame.select("*", *[columns[name].alias(name) for name in FEATURES])
+    return _apply(frame, [part(panel) for part in parts]).select(*map(col, frame.columns), *FEATURES)
 
 
-def _cumulative(panel: Panel) -> dict[str, Column]:
-    so_far = panel.along_entity().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _apply(frame: DataFrame, parts: list[Feature]) -> DataFrame:
+    windows = {name: value for part in parts for name, value in part.windows.items()}
+    results = {name: value for part in parts for name, value in part.results.items()}
+    return frame.withColumns(windows).select(*map(col, frame.columns), *_named(results))
 
-    def running(volume: Column, own: Column) -> Column:
-        total = F.sum(F.when(own, volume).otherwise(0.0)).over(so_far)
-        return F.when(~(own & volume.isNull()), total)
 
-    totals = {
-        f"cum_{name}": running(col(panel.volume), panel.is_product(product))
-        for name, product in PRODUCTS.items()
-    }
-    totals["cum_water"] = running(col(panel.water), F.lit(True)) if panel.water else _null()
-    return totals
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [value.alias(name) for name, value in columns.items()]
 
 
-def _total(volume: Column) -> Column:
-    return F.coalesce(F.sum(volume), F.lit(0.0))
+def _null() -> Column:
+    return F.lit(None).cast("double")
 
 
-def _ratios(panel: Panel) -> dict[str, Column]:
-    month = Window.partitionBy(col(panel.entity), col(panel.date))
+def _cumulative(panel: Panel) -> Feature:
+    so_far = panel.along_entity().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    volumes = {name: (panel.is_product(letter), col(panel.volume)) for name, letter in PRODUCTS.items()}
+    if panel.water:
+        volumes["water"] = (F.lit(True), col(panel.water))
+    windows, results = {}, {}
+    for name, (own, volume) in volumes.items():
+        windows[f"_total_{name}"] = F.sum(F.when(own, volume).otherwise(0.0)).over(so_far)
+        results[f"cum_{name}"] = F.when(~own | volume.isNotNull(), F.col(f"_total_{name}"))
+    return Feature(windows, {"cum_water": _null()} | results)
 
-    def total(volume: Column) -> Column:
-        return F.coalesce(F.sum(volume).over(month), F.lit(0.0))
 
-    water = total(col(panel.water)) if panel.water else None
-    return _ratio_columns(total(panel.own_volume(OIL)), total(panel.own_volume(GAS)), water)
+def _month_volumes(panel: Panel) -> dict[str, Column]:
+    volumes = {f"_month_{name}": panel.own_volume(letter) for name, letter in PRODUCTS.items()}
+    return volumes | ({"_month_water": col(panel.water)} if panel.water else {})
 
 
-def _ratio_columns(oil: Column, gas: Column, water: Column | None) -> dict[str, Column]:
-    cut = _null() if water is None else share(ratio(water, oil + water))
+def _ratio_results(panel: Panel) -> dict[str, Column]:
+    oil, gas, water = (
+        F.coalesce(F.col(f"_month_{name}"), F.lit(0.0)) for name in ("oil", "gas", "water")
+    )
+    cut = share(ratio(water, oil + water)) if panel.water else _null()
     return {"gor": ratio(gas, oil), "water_cut": cut}
 
 
-def _decline(panel: Panel) -> dict[str, Column]:
-    volume = col(panel.volume)
-    before = F.lag(volume).over(panel.along_entity())
-    rate = not_nan(F.try_divide(volume - before, before))
-    return {"decline_rate": clip(rate, DECLINE_MIN, DECLINE_MAX)}
+def _ratios(panel: Panel) -> Feature:
+    month = Window.partitionBy(col(panel.entity), col(panel.date))
+    sums = {name: F.sum(volume).over(month) for name, volume in _month_volumes(panel).items()}
+    return Feature(sums, _ratio_results(panel))
+
+
+def _decline(panel: Panel) -> Feature:
+    before = F.col("_before")
+    rate = not_nan(F.try_divide(col(panel.volume) - before, before))
+    return Feature(
+        {"_before": F.lag(col(panel.volume)).over(panel.along_entity())},
+        {"decline_rate": clip(rate, DECLINE_MIN, DECLINE_MAX)},
+    )
 
 
-def _rolling(panel: Panel) -> dict[str, Column]:
-    means = {}
-    for name, product in PRODUCTS.items():
-        volume = finite(panel.own_volume(product))
+def _earlier(panel: Panel, name: str, rows_back: int) -> dict[str, Column]:
+    """Own-product volumes of the 1 to ``rows_back`` previous rows."""
+    volume, rows = panel.own_volume(PRODUCTS[name]), panel.along_entity()
+    return {f"_{name}_{back}": F.lag(volume, back).over(rows) for back in range(1, rows_back + 1)}
+
+
+def _rolling(panel: Panel) -> Feature:
+    # The sum of a row and its predecessors is null as soon as one of them is null or missing, which
+    # is the rule for short windows too; offsets are cheaper than a sliding frame.
+    windows, results = {}, {}
+    for name, letter in PRODUCTS.items():
+        earlier = _earlier(panel, name, max(ROLLING_MONTHS) - 1)
+        windows |= earlier
+        volumes = [finite(v) for v in [panel.own_volume(letter), *map(F.col, earlier)]]
         for months in ROLLING_MONTHS:
-            last = panel.along_entity().rowsBetween(1 - months, Window.currentRow)
-            means[f"rolling_{months}m_{name}"] = F.when(
-                F.count(volume).over(last) == months, F.avg(volume).over(last)
-            )
-    return means
-
-
-def _lags(panel: Panel) -> dict[str, Column]:
-    rows = panel.along_entity()
-    return {
-        f"lag1_{name}": F.lag(panel.own_volume(product)).over(rows)
-        for name, product in PRODUCTS.items()
-    }
+            results[f"rolling_{months}m_{name}"] = reduce(add, reversed(volumes[:months])) / months
+    return Feature(windows, results)
+
+
+def _lags(panel: Panel) -> Feature:
+    windows = _earlier(panel, "oil", 1) | _earlier(panel, "gas", 1)
+    return Feature(windows, {f"lag1_{name}": F.col(f"_{name}_1") for name in PRODUCTS})

@@ -14,10 +14,6 @@ OIL_CAP = 50_000.0
 DECLINE_MIN = -1.0
 DECLINE_MAX = 10.0
 DEFAULT_MIN_YEAR = 2024
-# Months outside this range cannot be held by a nanosecond timestamp, so the data model has no such
-# month. The range also bounds an entity's series: at most 7,027 months, whatever the input size.
-FIRST_MONTH = "1677-10-01"
-LAST_MONTH = "2262-04-01"
 
 
 def col(name: str) -> Column:

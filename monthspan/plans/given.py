@@ -6,7 +6,7 @@ volume. Order keys decide which reports carry which irregularity, so every clean
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIN_YEAR = 1998
@@ -93,25 +93,20 @@ def lease_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lease_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored pages; their links to words that begin with 'the' or 'de' become download links."""
-    html: Column = F.col("html")
-    for word in ("the", "de"):
-        html = F.replace(
-            html,
-            F.lit(f'href="/{word}'),
-            F.lit(f'href="/get.blob?x=1&amp;p_file_name=lp{word}'),
-        )
+    """Stored pages; their links to words that begin with 'the' become download links."""
+    link = F.concat(F.lit('href="/get.blob?x=1&amp;p_file_name=lp'), "page_id", F.lit(".txt&amp;w="))
     return table(spark, sf_dir, "pages").select(
-        F.col("page_id").cast("string").alias("lease_id"), html.alias("html")
+        F.col("page_id").cast("string").alias("lease_id"),
+        F.replace("html", F.lit('href="/the'), link).alias("html"),
     )
 
 
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files named after the words of the documents; a file of an even document is empty."""
-    documents = table(spark, sf_dir, "documents")
-    words = documents.select("doc_id", F.explode(F.split(F.lower("text"), "[ \n]+")).alias("word"))
-    files = words.groupBy("word").agg(F.max(F.col("doc_id") % 2).alias("length"))
-    return files.select(F.concat(F.lit("lp"), "word").alias("file_name"), "length")
+    """Documents as landed files; a file of an even document is empty."""
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("lp"), "doc_id", F.lit(".txt")).alias("file_name"),
+        (F.col("n_chars") * (F.col("doc_id") % 2)).alias("length"),
+    )
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

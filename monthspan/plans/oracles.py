@@ -221,8 +221,8 @@ def parameter(url: str, name: str) -> str:
 
 LINKS = f"""lease_pages as (
   select cast(page_id as varchar) as lease_id,
-         replace(replace(html, 'href="/the', 'href="/get.blob?x=1&amp;p_file_name=lpthe'),
-                 'href="/de', 'href="/get.blob?x=1&amp;p_file_name=lpde') as html
+         replace(html, 'href="/the',
+                 concat('href="/get.blob?x=1&amp;p_file_name=lp', page_id, '.txt&amp;w=')) as html
   from pages),
 anchors as (
   select lease_id,
@@ -235,10 +235,8 @@ anchors as (
 links as (
   select lease_id, hrefs[1] as link, {parameter("hrefs[1]", "p_file_name")} as file_name from anchors)"""
 
-LANDED = """words as (
-  select doc_id, unnest(regexp_split_to_array(lower(text), '[ \\n]+')) as word from documents),
-landed as (
-  select concat('lp', word) as file_name, max(doc_id % 2) as length from words group by word)"""
+LANDED = """landed as (
+  select concat('lp', doc_id, '.txt') as file_name, n_chars * (doc_id % 2) as length from documents)"""
 
 CAST_ALL = ", ".join(map(_typed, MONTHLY))
 ABSENT = ["LEASE", "TOWNSHIP", "LATITUDE", "RANGE_DIR"]
