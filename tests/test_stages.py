@@ -1,0 +1,293 @@
+import pytest
+from pyspark.errors import PySparkException
+
+from monthspan import Panel
+from monthspan.operators import manifest, quality
+from monthspan.operators.features import FEATURES
+from monthspan.plans import jobs
+from monthspan.sources import files, landed, stages
+from monthspan.sources.dictionary import monthly_schema
+from tests.helpers import COLUMNS, LEASE, line, month, oil, panel, values, write_file
+
+SCHEMA = monthly_schema()
+
+
+# Stage tables
+
+
+@pytest.mark.parametrize(("n", "expected"), [(0, 10), (3, 10), (10, 10), (27, 27), (50, 50), (900, 50)])
+def test_file_count(n, expected):
+    assert stages.file_count(n) == expected
+
+
+def test_write_with_a_number_of_files(spark, tmp_path):
+    rows = panel(spark, [(i, i, "O") for i in range(1, 40)])
+    for lease in range(20):
+        rows = rows.unionByName(panel(spark, [(2, 1, "O"), (1, 2, "O")], lease=lease))
+    stages.write_stage(rows, str(tmp_path / "a"), files=4, panel=Panel())
+    written = stages.read_stage(spark, str(tmp_path / "a"))
+    assert len(list((tmp_path / "a").glob("*.parquet"))) == 4
+    assert written.exceptAll(rows).count() == 0 and written.count() == rows.count()
+    assert quality.out_of_order(spark, str(tmp_path / "a")).count() == 0
+    stages.write_stage(rows, str(tmp_path / "a"), files=2)
+    assert stages.read_stage(spark, str(tmp_path / "a")).count() == rows.count()
+
+
+def test_out_of_order(spark, tmp_path):
+    rows = oil(spark, 1, 2, 3).coalesce(1).sortWithinPartitions("PRODUCTION", ascending=False)
+    stages.write_stage(rows, str(tmp_path / "a"))
+    assert quality.out_of_order(spark, str(tmp_path / "a")).count() == 2
+
+
+def test_write_by_entity(spark, tmp_path):
+    rows = oil(spark, 1, 2).unionByName(panel(spark, [(1, 1, "O")], lease=7))
+    stages.write_by_entity(rows, str(tmp_path / "a"))
+    assert sorted(p.name for p in (tmp_path / "a").glob("LEASE_KID=*")) == [f"LEASE_KID={LEASE}", "LEASE_KID=7"]
+    assert stages.read_stage(spark, str(tmp_path / "a")).count() == 3
+
+
+def test_schema_variants(spark, tmp_path):
+    oil(spark, 1).write.parquet(str(tmp_path / "a"))
+    assert files.schema_variants(spark, str(tmp_path / "a")).count() == 1
+    oil(spark, 1).selectExpr("LEASE_KID", "PRODUCT").write.mode("append").parquet(str(tmp_path / "a"))
+    found = files.schema_variants(spark, str(tmp_path / "a")).collect()
+    assert len(found) == 2 and all(r["example"].endswith(".parquet") for r in found)
+
+
+def test_rows_without_positions_keep_their_file_order(spark, tmp_path):
+    rows = panel(spark, [(1, 5, "O"), (1, 3, "O"), (1, 4, "O")]).coalesce(1)
+    rows.write.parquet(str(tmp_path / "a"))
+    read, position = stages.read_rows_in_order(spark, str(tmp_path / "a"))
+    assert [r["PRODUCTION"] for r in read.orderBy(*position).collect()] == [5, 3, 4]
+
+
+# Lease index, manifest, landed files
+
+
+def test_lease_index(spark, tmp_path):
+    (tmp_path / "index.txt").write_text(
+        "MONTH-YEAR,LEASE,URL\n1-2024,A,http://a.com?f_lc=1\n6-2024,B,http://a.com?f_lc=1\n"
+        '3-2025,"C, D",http://b.com?f_lc=2\n3-2023,E,http://c.com?f_lc=3\n-1-1965,F,http://d.com?f_lc=4\n'
+        "0-1966,G,http://e.com?f_lc=5\n,H,http://f.com?f_lc=6\nx-abc,I,http://g.com?f_lc=7\n"
+    )
+    kept = landed.current_leases(landed.read_lease_index(spark, str(tmp_path / "index.txt")))
+    rows = kept.drop(landed.INDEX_POS).orderBy("URL").collect()
+    assert [tuple(r) for r in rows] == [
+        ("1-2024", "A", "http://a.com?f_lc=1"), ("3-2025", "C, D", "http://b.com?f_lc=2"),
+    ]
+
+
+def test_lease_id_may_be_required(spark):
+    leases = spark.createDataFrame([("http://a.com?other=1",)], ["URL"])
+    assert manifest.with_lease_id(leases).first()["lease_id"] is None
+    with pytest.raises(PySparkException, match="f_lc"):
+        manifest.with_lease_id(leases, required=True).collect()
+
+
+def test_manifest(spark):
+    urls = [f"http://h?f_lc={i}" for i in range(1, 6)] + ["http://h?x=1", "http://h?x=2"]
+    leases = spark.createDataFrame([(u,) for u in urls], ["URL"])
+    link = '<a href="http://h/get.blob?p_file_name=lp{}.txt">'
+    pages = [(str(i), link.format(i)) for i in (1, 2, 3)] + [("4", "<a href='/x'>"), ("3", link.format(3))]
+    there = spark.createDataFrame([("lp1.txt", 10), ("lp2.txt", 0), ("lp1.txt", 10)], "file_name string, length long")
+    made = manifest.lease_manifest(
+        leases, spark.createDataFrame(pages, ["lease_id", "html"]), there, "http://h/m?f_lc={lease_id}"
+    )
+    assert {r["URL"]: r["status"] for r in made.collect()} == dict(
+        zip(urls, ["landed", "pending", "pending", "no_link", "no_link", "bad_url", "bad_url"])
+    )
+    assert made.count() == 7
+    first = made.filter("lease_id = '1'").first()
+    assert first["page_url"] == "http://h/m?f_lc=1" and first["file_name"] == "lp1.txt"
+
+
+def test_files_already_there_are_not_requested_again(spark, tmp_path):
+    write_file(tmp_path, "lp1.txt", [line()])
+    (tmp_path / "lp2.txt").write_text("")
+    there = landed.landed_files(spark, str(tmp_path))
+    wanted = spark.createDataFrame([("lp1.txt",), ("lp2.txt",), ("lp3.txt",)], ["file_name"])
+    left = landed.not_landed(wanted, there)
+    assert sorted(r["file_name"] for r in left.collect()) == ["lp2.txt", "lp3.txt"]
+    assert landed.not_landed(wanted, there).count() == 2
+    assert landed.landed_files(spark, str(tmp_path / "absent")).count() == 0
+
+
+def test_integrity(spark, tmp_path):
+    (tmp_path / "good.txt").write_text("A,B\n1,é\n")
+    (tmp_path / "header.txt").write_text("A,B\n")
+    (tmp_path / "empty.txt").write_text("")
+    (tmp_path / "bytes.txt").write_bytes(b"A,B\n1,\xff\xfe\n")
+    expected = spark.createDataFrame([(f"{n}.txt",) for n in ("good", "header", "empty", "bytes", "gone")], ["file_name"])
+    made = landed.integrity(expected, landed.file_lines(spark, str(tmp_path)))
+    found = {r["file_name"]: tuple(r)[1:] for r in made.collect()}
+    assert found == {
+        "good.txt": (2, True, True, True, True),
+        "header.txt": (1, True, True, False, False),
+        "empty.txt": (0, False, False, False, False),
+        "bytes.txt": (2, True, False, True, False),
+        "gone.txt": (0, False, False, False, False),
+    }
+
+
+# Jobs
+
+
+def run(spark, tmp_path, stages_wanted=("ingest", "transform", "features"), **settings):
+    paths = jobs.Paths(
+        raw=str(tmp_path / "raw"), interim=str(tmp_path / "interim"),
+        processed=str(tmp_path / "processed"), features=str(tmp_path / "features"),
+        lease_index=str(tmp_path / "index.txt"), pages=str(tmp_path / "pages"), manifest=str(tmp_path / "manifest"),
+    )
+    seconds = jobs.run(spark, paths, list(stages_wanted), jobs.Settings(**settings))
+    assert list(seconds) == list(stages_wanted)
+    return paths
+
+
+def raw_files(tmp_path):
+    raw = tmp_path / "raw"
+    write_file(raw, "lp1.txt", [
+        line(), line(PRODUCTION="7"), line(MONTH_YEAR="2-2024", PRODUCT="G", PRODUCTION="500.0"),
+        line(MONTH_YEAR="3-2025", PRODUCTION="200.0"), line(MONTH_YEAR="3-2023"), line(MONTH_YEAR="0-2024"),
+        line(MONTH_YEAR="-1-2024"), line(MONTH_YEAR="13-2024"),
+    ])
+    write_file(raw, "lp2.txt", [line(LEASE_KID="5", MONTH_YEAR=f"{m}-2024", PRODUCTION=str(m)) for m in (4, 1, 2)])
+    fewer = [c for c in COLUMNS if c != "LEASE"]
+    write_file(raw, "lp3.txt", [line(fewer, PRODUCTION="9999")], fewer)
+
+
+@pytest.mark.parametrize("files_wanted", [None, 10])
+def test_whole_run(spark, tmp_path, files_wanted):
+    raw_files(tmp_path)
+    paths = run(spark, tmp_path, files=files_wanted)
+    interim = spark.read.parquet(paths.interim)
+    assert interim.columns == [*COLUMNS, "source_file", "source_pos"]
+    assert [f.dataType for f in interim.schema][:20] == [f.dataType for f in SCHEMA]
+    assert interim.count() == 11
+
+    processed = spark.read.parquet(paths.processed)
+    assert processed.columns == [*COLUMNS, "source_file", "production_date"]
+    assert dict(processed.dtypes)["production_date"] == "date"
+    mine = processed.filter(f"LEASE_KID = {LEASE}")
+    assert values(mine, "production_date") == [month(i) for i in range(1, 16)]
+    assert values(mine, "PRODUCTION") == [161.8, 500.0, *[0.0] * 12, 200.0]
+    assert values(processed.filter("LEASE_KID = 5"), "PRODUCTION") == [1, 2, 0, 4]
+
+    made = spark.read.parquet(paths.features)
+    assert made.columns == [*processed.columns, *FEATURES]
+    assert len(made.columns) == 34
+    assert values(made.filter("LEASE_KID = 5"), "cum_oil") == [1, 3, 3, 7]
+
+    for check in (quality.out_of_bounds, quality.over_cap, quality.not_monotone, quality.incomplete):
+        assert check(made).count() == 0, check.__name__
+    assert quality.undeclared_categories(made, SCHEMA).count() == 0
+    for directory in (paths.interim, paths.processed, paths.features):
+        assert files.schema_variants(spark, directory).count() == 1
+    for directory in (paths.processed, paths.features):
+        assert quality.out_of_order(spark, directory).count() == 0
+
+    before = made.collect()
+    run(spark, tmp_path, files=files_wanted)
+    assert sorted(map(str, spark.read.parquet(paths.features).collect())) == sorted(map(str, before))
+
+
+def test_run_with_settings(spark, tmp_path):
+    raw_files(tmp_path)
+    with pytest.raises(PySparkException, match="no such month"):
+        run(spark, tmp_path, on_bad_date="fail")
+    paths = run(spark, tmp_path, ["ingest", "transform"], panel=Panel(by_product=True), min_year=2023)
+    processed = spark.read.parquet(paths.processed).filter(f"LEASE_KID = {LEASE}")
+    assert processed.filter("PRODUCT = 'G'").count() == 1
+    assert processed.filter("PRODUCT = 'O'").count() == 25
+
+
+def test_acquire_stage(spark, tmp_path):
+    write_file(tmp_path / "raw", "lp1.txt", [line()])
+    (tmp_path / "index.txt").write_text(
+        "MONTH-YEAR,URL\n1-2024,http://a?f_lc=1\n2-2024,http://a?f_lc=1\n1-2024,http://a?f_lc=2\n1-2024,http://a?g=2\n"
+    )
+    pages = [(str(i), f'<a href="/get.blob?p_file_name=lp{i}.txt">') for i in (1, 2)]
+    spark.createDataFrame(pages, ["lease_id", "html"]).write.parquet(str(tmp_path / "pages"))
+    content = (tmp_path / "raw" / "lp1.txt").read_text()
+    for _ in range(2):
+        paths = run(spark, tmp_path, ["acquire"])
+        rows = spark.read.parquet(paths.manifest).orderBy("URL").collect()
+        assert [r["status"] for r in rows] == ["landed", "pending", "bad_url"]
+    assert (tmp_path / "raw" / "lp1.txt").read_text() == content
+
+
+def test_stage_order_and_failures(spark, monkeypatch):
+    calls = []
+
+    def fail(*_):
+        calls.append("transform")
+        raise RuntimeError("broken")
+
+    for name in jobs.STAGES:
+        monkeypatch.setitem(jobs._JOBS, name, lambda *_, n=name: calls.append(n))
+    jobs.run(spark, jobs.Paths())
+    assert calls == ["acquire", "ingest", "transform", "features"]
+    calls.clear()
+    with pytest.raises(ValueError, match="bogus"):
+        jobs.run(spark, jobs.Paths(), ["ingest", "bogus"])
+    assert calls == []
+    monkeypatch.setitem(jobs._JOBS, "transform", fail)
+    with pytest.raises(RuntimeError, match="broken"):
+        jobs.run(spark, jobs.Paths())
+    assert calls == ["acquire", "ingest", "transform"]
+
+
+# Quality checks
+
+
+def test_bounds_and_units(spark):
+    rows = panel(spark, [(1, -1, "O"), (2, 0, "O"), (3, 60000, "O"), (4, 60000, "G"), (5, None, "O"),
+                         (6, float("inf"), "G"), (7, float("nan"), "G")])
+    assert sorted(str(v) for v in values(quality.out_of_bounds(rows), "PRODUCTION")) == ["-1.0", "inf", "nan"]
+    assert values(quality.over_cap(rows), "PRODUCTION") == [60000]
+    ratios = spark.createDataFrame(
+        [(1.0, 0.0, 0.0), (1.0, -1.0, None), (1.0, None, 1.5), (1.0, 5.0, 1.0)],
+        "PRODUCTION double, gor double, water_cut double",
+    )
+    assert quality.out_of_bounds(ratios).count() == 2
+
+
+def test_monotone(spark):
+    rows = oil(spark, 5, 0, 3).selectExpr("*", "cast(0 as double) as cum_gas")
+    good = rows.selectExpr("*", "double(element_at(array(5, 5, 8), month(production_date))) as cum_oil")
+    jump = rows.selectExpr("*", "double(element_at(array(5, 6, 9), month(production_date))) as cum_oil")
+    fall = rows.selectExpr("*", "double(element_at(array(5, 5, 4), month(production_date))) as cum_oil")
+    assert quality.not_monotone(good).count() == 0
+    assert values(quality.not_monotone(jump), "PRODUCTION") == [0]
+    assert values(quality.not_monotone(fall), "PRODUCTION") == [3]
+
+
+def test_complete(spark):
+    assert quality.incomplete(oil(spark, 1, 2, 3)).count() == 0
+    assert quality.incomplete(panel(spark, [(1, 1, "O"), (3, 1, "O")])).first()["months"] == 3
+
+
+def test_zero_null_and_spot(spark):
+    raw = panel(spark, [(1, 0, "O"), (2, None, "O"), (3, 7, None), (4, -3, "O"), (5, 0, "O"), (6, 60000, "O")])
+    good = panel(spark, [(1, 0, "O"), (2, 0, "O"), (3, 7, "O"), (4, 0, "O"), (5, 0, "O"), (6, 0, "O")])
+    found = quality.zero_and_null(raw, good).collect()
+    assert [(r["production_date"], r["finding"]) for r in found] == [(month(2), "null_to_zero")]
+    assert quality.spot_check(raw, good).filter("agrees").count() == 6
+    bad = panel(spark, [(1, 9, "O"), (2, 5, "O"), (3, 8, "O"), (4, 0, "O"), (6, 0, "O")])
+    assert {r["finding"] for r in quality.zero_and_null(raw, bad).collect()} == {"zero_lost"}
+    assert quality.zero_and_null(raw, bad).count() == 2
+    checked = quality.spot_check(raw, bad)
+    assert sorted(values(checked.filter("not agrees"), "production_date")) == [month(i) for i in (1, 2, 3, 5)]
+    sample = quality.spot_check(raw, good, one_in=2)
+    assert 0 < sample.count() < 6
+    assert sample.count() == quality.spot_check(raw.repartition(5), good, one_in=2).count()
+
+
+def test_row_counts(spark):
+    rows = panel(spark, [(1, 1, "O"), (1, 2, "O"), (2, 1, "O")])
+    counts = {r["measure"]: r["rows"] for r in quality.row_counts(rows, ["PRODUCTION"]).collect()}
+    assert counts == {"before": 3, "after": 2, "after_again": 2, "repeated_keys": 0}
+
+
+def test_categories(spark):
+    rows = panel(spark, [(1, 1, "O"), (2, 1, "X"), (3, 1, None)])
+    assert values(quality.undeclared_categories(rows, SCHEMA), "PRODUCT") == ["X"]
