@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed pattern: texts that count as numbers. Spark alone would also take '1.0d' and 'NaN'.
+# Fixed patterns: texts that count as numbers. Spark alone would also take '1.0d' and 'NaN'. A text is
+# matched before it is cast, because a failing try_cast costs an exception per row.
+INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER_TEXT = r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity)\s*$"
 
 
@@ -14,11 +16,15 @@ def to_float(text: Column) -> Column:
     return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 
+def _integer(text: Column) -> Column:
+    return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
+
+
 def to_nullable_int(text: Column, name: str) -> Column:
     """'7' and '7.0' are 7, garbage is null, and a fraction is an error."""
     number = to_float(text)
     return F.coalesce(
-        text.try_cast("bigint"),
+        _integer(text),
         F.when(number % 1 != 0, _fail(name, "is not a whole number", text)).otherwise(
             number.cast("bigint")
         ),
@@ -29,7 +35,7 @@ def to_required_int(text: Column, name: str) -> Column:
     """Like an integer cast that fails on blank or garbage; fractions are cut off."""
     number = to_float(text)
     return F.coalesce(
-        text.try_cast("bigint"),
+        _integer(text),
         F.when(number.isNull(), _fail(name, "needs a number", text)).otherwise(
             number.cast("bigint")
         ),

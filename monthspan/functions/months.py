@@ -21,7 +21,7 @@ MONTH = rf"^0*(?:[1-9]|1[0-2])-0*(?:{YEARS})(?:-|$)"
 def is_from_year(text: Column, min_year: int) -> Column:
     """Is the last piece a number, and not before ``min_year``? Never null."""
     piece = F.substring_index(text, "-", -1)
-    return F.coalesce((piece.try_cast("bigint") >= min_year) & piece.rlike(DIGITS), F.lit(False))
+    return F.coalesce(piece.rlike(DIGITS) & (piece.try_cast("bigint") >= min_year), F.lit(False))
 
 
 def is_month(text: Column) -> Column:
