@@ -61,11 +61,11 @@ def add_entity_ratios(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     Rows per entity are unbounded here, so the sums are aggregated (partly before the shuffle) and
     joined back; Spark splits a skewed entity in that join, which it cannot do in a window.
     """
-    totals = frame.groupBy(col(panel.entity).alias("_entity")).agg(
+    totals = frame.groupBy(col(panel.entity)).agg(
         *[F.sum(volume).alias(name) for name, volume in _month_volumes(panel).items()]
     )
-    joined = frame.join(totals, col(panel.entity).eqNullSafe(F.col("_entity")), "left")
-    return joined.select(*frame.columns, *_named(_ratio_results(panel)))
+    joined = frame.join(totals, panel.entity, "left")
+    return joined.select(*map(col, frame.columns), *_named(_ratio_results(panel)))
 
 
 def add_decline_rate(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:

@@ -10,7 +10,7 @@ from monthspan.functions.links import first_link, lease_page_url, query_paramete
 # The names that the index URLs, the pages and the download links use.
 LEASE_PARAMETER = "f_lc"
 FILE_PARAMETER = "p_file_name"
-LINK_MARKER = "blob"
+LINK_MARKER = "anon_blobber.download"
 
 
 def with_lease_id(leases: DataFrame, required: bool = False) -> DataFrame:

@@ -126,11 +126,13 @@ def _any(offences: list[Column]) -> Column:
 
 
 def _side_by_side(raw: DataFrame, filled: DataFrame, panel: Panel) -> DataFrame:
-    """Volumes of both tables by key; a null product equals a null product."""
+    """Volumes of both tables by key. Only a product may be null, and then equals a null product."""
     named = [panel.entity, panel.date, panel.product]
     left = raw.select(*map(col, named), col(panel.volume).alias("raw_volume"))
     right = filled.select(
         *[col(k).alias(f"_{k}") for k in panel.keys], col(panel.volume).alias("panel_volume")
     )
-    same = reduce(Column.__and__, [col(k).eqNullSafe(col(f"_{k}")) for k in panel.keys])
+    same = [col(k) == col(f"_{k}") for k in (panel.entity, panel.date)]
+    if panel.by_product:
+        same.append(col(panel.product).eqNullSafe(col(f"_{panel.product}")))
     return left.join(right, same, "left").select(*map(col, named), "raw_volume", "panel_volume")

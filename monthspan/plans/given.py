@@ -94,7 +94,7 @@ def lease_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lease_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored pages; their links to words that begin with 'the' become download links."""
-    link = F.concat(F.lit('href="/get.blob?x=1&amp;p_file_name=lp'), "page_id", F.lit(".txt&amp;w="))
+    link = F.concat(F.lit('href="/anon_blobber.download?x=1&amp;p_file_name=lp'), "page_id", F.lit(".txt&amp;w="))
     return table(spark, sf_dir, "pages").select(
         F.col("page_id").cast("string").alias("lease_id"),
         F.replace("html", F.lit('href="/the'), link).alias("html"),

@@ -21,8 +21,9 @@ from monthspan.operators.manifest import LINK_MARKER, lease_manifest
 from monthspan.panel import DEFAULT_MIN_YEAR, Panel
 from monthspan.sources import stages
 from monthspan.sources.dictionary import monthly_schema
+from monthspan.sources.files import list_files
 from monthspan.sources.landed import current_leases, landed_files, read_lease_index
-from monthspan.sources.raw import SOURCE_POS, SPLIT_ABOVE, ingest_rows
+from monthspan.sources.raw import PATTERN, SOURCE_POS, SPLIT_ABOVE, ingest_rows
 
 logger = logging.getLogger(__name__)
 STAGES = ["acquire", "ingest", "transform", "features"]
@@ -43,17 +44,20 @@ class Paths:
 
 @dataclass(frozen=True)
 class Settings:
-    """What a run may vary. ``files`` fixes the number of output files (``stages.file_count`` gives
-    the classic 10 to 50); by default file sizes follow the data."""
+    """What a run may vary.
+
+    By default the sizes of output files follow the data. ``files`` fixes their number instead, and
+    ``files="clamp"`` gives the classic 10 to 50, by the number of input files.
+    """
 
     panel: Panel = Panel()
     schema: T.StructType | None = None
     min_year: int = DEFAULT_MIN_YEAR
-    page_template: str = "http://localhost/lease?f_lc={lease_id}"
+    page_template: str = "https://example.org/month?f_lc={lease_id}"
     link_marker: str = LINK_MARKER
     on_bad_date: str = "drop"
     zero_fill_nulls: bool = True
-    files: int | None = None
+    files: int | str | None = None
     split_above: int = SPLIT_ABOVE
 
     def declared(self) -> T.StructType:
@@ -95,21 +99,32 @@ def ingest(spark: SparkSession, paths: Paths, settings: Settings = Settings()) -
     rows = ingest_rows(
         spark, paths.raw, settings.declared(), settings.min_year, settings.split_above
     )
-    stages.write_stage(rows, paths.interim, settings.files)
+    files = _files(spark, settings, paths.raw, PATTERN)
+    stages.write_stage(rows, paths.interim, files)
 
 
 def transform(spark: SparkSession, paths: Paths, settings: Settings = Settings()) -> None:
     """Typed table to the processed panel, in date order inside each entity."""
     rows, position = stages.read_rows_in_order(spark, paths.interim)
     filled = transform_rows(rows, position, settings)
-    stages.write_stage(filled, paths.processed, settings.files, settings.panel)
+    files = _files(spark, settings, paths.interim)
+    stages.write_stage(filled, paths.processed, files, settings.panel)
 
 
 def features(spark: SparkSession, paths: Paths, settings: Settings = Settings()) -> None:
     """Processed panel to the panel with all features."""
     panel = stages.read_stage(spark, paths.processed)
     result = panel.transform(add_features, settings.panel)
-    stages.write_stage(result, paths.features, settings.files, settings.panel)
+    files = _files(spark, settings, paths.processed)
+    stages.write_stage(result, paths.features, files, settings.panel)
+
+
+def _files(
+    spark: SparkSession, settings: Settings, source: str, pattern: str = "*.parquet"
+) -> int | None:
+    if settings.files != "clamp":
+        return settings.files
+    return stages.file_count(list_files(spark, source, pattern).count())
 
 
 _JOBS: dict[str, Callable[[SparkSession, Paths, Settings], None]] = {

@@ -222,7 +222,7 @@ def parameter(url: str, name: str) -> str:
 LINKS = f"""lease_pages as (
   select cast(page_id as varchar) as lease_id,
          replace(html, 'href="/the',
-                 concat('href="/get.blob?x=1&amp;p_file_name=lp', page_id, '.txt&amp;w=')) as html
+                 concat('href="/anon_blobber.download?x=1&amp;p_file_name=lp', page_id, '.txt&amp;w=')) as html
   from pages),
 anchors as (
   select lease_id,
@@ -230,7 +230,7 @@ anchors as (
             regexp_extract_all(
               regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g'),
               '(?i)<a\\s[^>]*href="([^"]*)"', 1)
-          if contains(h, 'blob')] as hrefs
+          if contains(h, 'anon_blobber.download')] as hrefs
   from lease_pages),
 links as (
   select lease_id, hrefs[1] as link, {parameter("hrefs[1]", "p_file_name")} as file_name from anchors)"""
@@ -260,9 +260,8 @@ LEASE_GONE = f"{RAW_ALL}, raw as (select {{}}, o_orderkey from raw_text)".format
         "case when PRODUCT <> 'O' then LEASE end as LEASE" if n == "LEASE" else _typed(n) for n in MONTHLY
     )
 )
-SIDES = f"""{FILLED.replace("reported", "rep")},
-dated_again as (select * from dated),
-{first_of("dated_again", "LEASE_KID, production_date", "reported")},
+SIDES = f"""{FILLED},
+{first_of("dated", "LEASE_KID, production_date", "reported")},
 sides as (
   select r.LEASE_KID, r.production_date, r.PRODUCT, r.PRODUCTION as raw_volume, f.PRODUCTION as panel_volume
   from reported r left join filled f

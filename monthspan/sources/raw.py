@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import logging
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from monthspan.functions.months import is_from_year
 from monthspan.panel import DEFAULT_MIN_YEAR, col
 from monthspan.sources.files import list_files, with_first_line
 
+logger = logging.getLogger(__name__)
 PATTERN = "*.txt"
 SOURCE_FILE = "source_file"
 # Where a row stood in its file. Stage tables are unordered, so "first" needs a value to sort by.
@@ -108,6 +110,8 @@ def readable_in_pieces(spark: SparkSession, files: DataFrame, split_above: int)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     broken = spark.read.text(sorted(long)).filter(quotes % 2 == 1)
     names = {r[0] for r in broken.select("_metadata.file_name").distinct().collect()}
+    if names:
+        logger.warning("%d long files have quoted line breaks; each is read by one task", len(names))
     return {path for path in long if path.rsplit("/", 1)[-1] not in names}
 
 

@@ -87,7 +87,7 @@ def test_lease_id_may_be_required(spark):
 def test_manifest(spark):
     urls = [f"http://h?f_lc={i}" for i in range(1, 6)] + ["http://h?x=1", "http://h?x=2"]
     leases = spark.createDataFrame([(u,) for u in urls], ["URL"])
-    link = '<a href="http://h/get.blob?p_file_name=lp{}.txt">'
+    link = '<a href="http://h/anon_blobber.download?p_file_name=lp{}.txt">'
     pages = [(str(i), link.format(i)) for i in (1, 2, 3)] + [("4", "<a href='/x'>"), ("3", link.format(3))]
     there = spark.createDataFrame([("lp1.txt", 10), ("lp2.txt", 0), ("lp1.txt", 10)], "file_name string, length long")
     made = manifest.lease_manifest(
@@ -155,7 +155,7 @@ def raw_files(tmp_path):
     write_file(raw, "lp3.txt", [line(fewer, PRODUCTION="9999")], fewer)
 
 
-@pytest.mark.parametrize("files_wanted", [None, 10])
+@pytest.mark.parametrize("files_wanted", [None, "clamp"])
 def test_whole_run(spark, tmp_path, files_wanted):
     raw_files(tmp_path)
     paths = run(spark, tmp_path, files=files_wanted)
@@ -172,6 +172,9 @@ def test_whole_run(spark, tmp_path, files_wanted):
     assert values(mine, "PRODUCTION") == [161.8, 500.0, *[0.0] * 12, 200.0]
     assert values(processed.filter("LEASE_KID = 5"), "PRODUCTION") == [1, 2, 0, 4]
 
+    if files_wanted:
+        assert all(len(list((tmp_path / d).glob("*.parquet"))) <= 10 for d in ("interim", "processed", "features"))
+
     made = spark.read.parquet(paths.features)
     assert made.columns == [*processed.columns, *FEATURES]
     assert len(made.columns) == 34
@@ -205,7 +208,7 @@ def test_acquire_stage(spark, tmp_path):
     (tmp_path / "index.txt").write_text(
         "MONTH-YEAR,URL\n1-2024,http://a?f_lc=1\n2-2024,http://a?f_lc=1\n1-2024,http://a?f_lc=2\n1-2024,http://a?g=2\n"
     )
-    pages = [(str(i), f'<a href="/get.blob?p_file_name=lp{i}.txt">') for i in (1, 2)]
+    pages = [(str(i), f'<a href="/anon_blobber.download?p_file_name=lp{i}.txt">') for i in (1, 2)]
     spark.createDataFrame(pages, ["lease_id", "html"]).write.parquet(str(tmp_path / "pages"))
     content = (tmp_path / "raw" / "lp1.txt").read_text()
     for _ in range(2):
