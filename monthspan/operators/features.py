@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthspan.functions.volumes import clip, finite, not_nan, ratio, share
+from monthspan.operators.lookup import look_up
 from monthspan.panel import DECLINE_MAX, DECLINE_MIN, GAS, OIL, Panel, col
 
 PRODUCTS = {"oil": OIL, "gas": GAS}
@@ -59,12 +60,12 @@ def add_entity_ratios(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """The same ratios per entity, for a table without dates.
 
     Rows per entity are unbounded here, so the sums are aggregated (partly before the shuffle) and
-    joined back; Spark splits a skewed entity in that join, which it cannot do in a window.
+    looked up; a hot entity can be split in that join, but not in a window.
     """
     totals = frame.groupBy(col(panel.entity)).agg(
         *[F.sum(volume).alias(name) for name, volume in _month_volumes(panel).items()]
     )
-    joined = frame.join(totals, panel.entity, "left")
+    joined = look_up(frame, panel.entity, totals)
     return joined.select(*map(col, frame.columns), *_named(_ratio_results(panel)))
 
 

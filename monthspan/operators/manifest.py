@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthspan.functions.links import first_link, lease_page_url, query_parameter
+from monthspan.operators.lookup import look_up
 
 # The names that the index URLs, the pages and the download links use.
 LEASE_PARAMETER = "f_lc"
@@ -54,12 +55,9 @@ def lease_manifest(
         .when(F.col("is_landed"), "landed")
         .otherwise("pending")
     )
-    links = download_links(pages, marker).withColumnRenamed("lease_id", "_lease")
-    there = there.withColumnRenamed("file_name", "_file")
     return (
-        with_lease_id(leases)
-        .join(links, _spread(F.col("lease_id")) == F.col("_lease"), "left")
-        .join(there, _spread(F.col("file_name")) == F.col("_file"), "left")
+        look_up(with_lease_id(leases), "lease_id", download_links(pages, marker))
+        .transform(look_up, "file_name", there)
         .select(
             "URL",
             "lease_id",
@@ -69,11 +67,3 @@ def lease_manifest(
             status.alias("status"),
         )
     )
-
-
-def _spread(key: Column) -> Column:
-    """Join key whose nulls, possibly most of the rows, are spread over all tasks instead of one.
-
-    The stand-in starts with a line break, so it equals no key.
-    """
-    return F.coalesce(key, F.concat(F.lit("\n"), F.col("URL")))

@@ -1,6 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from monthspan.operators import calendar, features
 from monthspan.plans.queries import QUERIES
@@ -52,3 +53,31 @@ def test_only_needed_columns_are_read(spark):
 def test_cleaning_shuffles_nothing(spark):
     for name in ("clean_rows", "typed_cast", "year_filter", "dq_bounds", "page_parameters"):
         assert "Exchange" not in plan_of(QUERIES[name](spark, SF)), name
+
+
+def test_a_hot_entity_is_split_in_the_ratio_join(spark):
+    """A third of all rows is one entity: the join reads its partition in several pieces."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        row = F.col("id")
+        rows = spark.range(0, 300000, numPartitions=8).select(
+            F.when(row % 3 == 0, -1).otherwise(row % 5000).alias("LEASE_KID"),
+            F.when(row % 2 == 0, "O").otherwise("G").alias("PRODUCT"),
+            (row % 100).cast("double").alias("PRODUCTION"),
+        )
+        made = features.add_entity_ratios(rows)
+        assert made.filter("LEASE_KID = -1").agg(F.countDistinct("gor")).first()[0] == 1
+        assert len(made.collect()) == 300000
+        assert "isSkew=true" in plan_of(made) or "skewed" in plan_of(made)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -26,3 +26,21 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", list(queries()))
 def test_query_equals_sql(spark, db, name):
     assert difference(queries()[name](spark, SF), db, oracle_sql()[name]) is None
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kathmandu", "Pacific/Apia"])
+def test_the_time_zone_does_not_matter(spark, db, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert difference(queries()["features_all"](spark, SF), db, oracle_sql()["features_all"]) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_scratch_tables_go_to_the_shared_folder(spark):
+    from monthspan.sources.stages import scratch_dir
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first.startswith(shared) and first != second
