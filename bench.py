@@ -52,6 +52,10 @@ def session(cpus: str) -> SparkSession:
         # The tables are far smaller than a cluster's: without this, AQE would merge a shuffle
         # into fewer partitions than there are cores.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # Call-site capture costs a round trip per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # The JVM never compiles methods above 8,000 bytes; let Spark split such stages instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -81,3 +81,10 @@ def test_a_hot_entity_is_split_in_the_ratio_join(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_raw_files_to_features_in_two_shuffles_without_python(spark):
+    plan = plan_of(QUERIES["all_stages"](spark, SF))
+    assert plan.count("Exchange ") == 2
+    assert plan.index("Final") < plan.index("Partial")
+    assert "Python" not in plan and "Arrow" not in plan
