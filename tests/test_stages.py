@@ -117,7 +117,8 @@ def test_integrity(spark, tmp_path):
     (tmp_path / "header.txt").write_text("A,B\n")
     (tmp_path / "empty.txt").write_text("")
     (tmp_path / "bytes.txt").write_bytes(b"A,B\n1,\xff\xfe\n")
-    expected = spark.createDataFrame([(f"{n}.txt",) for n in ("good", "header", "empty", "bytes", "gone")], ["file_name"])
+    names = ("good", "header", "empty", "bytes", "gone")
+    expected = spark.createDataFrame([(f"{n}.txt",) for n in names], ["file_name"])
     made = landed.integrity(expected, landed.file_lines(spark, str(tmp_path)))
     found = {r["file_name"]: tuple(r)[1:] for r in made.collect()}
     assert found == {
