@@ -135,6 +135,28 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return texts.mapInArrow(work, f"doc_id {id_type}, lang_pred string, score double")
 
 
+def certain(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows whose language is known with at least that score, with all their columns.
+
+    A model without languages, which has learned nothing, rejects only texts without a letter.
+    """
+    taught = bool(model.languages)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        logs = shared.value.logs
+        for batch in slices(batches):
+            keep = []
+            for text in batch.column(place).to_pylist():
+                buckets = ngrams(text or "")
+                score = _best(buckets, logs)[1] if taught else float(len(buckets) > 0)
+                keep.append(score > 0 and score >= least)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 # n-grams of evidence that a score takes a text to hold at most.
 _EVIDENCE = 50
 
