@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -26,12 +27,15 @@ HEADLINE = [
     "ratio_entity",
     "decline_rate",
     "rolling",
+    "rolling_water",
     "lag_features",
     "features_all",
     "features_product",
     "part_features",
     "file_integrity",
     "lease_manifest",
+    "acquire_job",
+    "raw_scan",
     "ingest_job",
     "transform_job",
     "features_job",
@@ -46,6 +50,9 @@ def session(cpus: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-"))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", cpus)

@@ -12,8 +12,10 @@ NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
 BEFORE_HREF = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*"""
 QUOTES = r"""^["']|["']$"""
-# The character references that occur in link attributes, ampersand last.
-REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# The character references that occur in link attributes; others stay as they are.
+REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
+PIECE = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[a-z]+;|[^&]+|&"
+HIGHEST_CODE = 0x10FFFF
 
 
 def query_parameter(url: Column, name: str) -> Column:
@@ -39,6 +41,18 @@ def first_link(html: Column, marker: str) -> Column:
 
 def _target(anchor: Column) -> Column:
     target = F.regexp_replace(F.regexp_replace(anchor, BEFORE_HREF, ""), QUOTES, "")
-    for reference, character in REFERENCES:
-        target = F.replace(target, F.lit(reference), F.lit(character))
-    return target
+    pieces = F.regexp_extract_all(target, F.lit(PIECE), F.lit(0))
+    return F.array_join(F.transform(pieces, _decoded), "")
+
+
+def _decoded(piece: Column) -> Column:
+    """A character reference as its character, by name, decimal or hexadecimal number."""
+    number = F.regexp_extract(piece, "(?i)^&#x?([0-9a-f]+);$", 1)
+    is_hex = piece.rlike("^&#[xX]")
+    code = F.when(is_hex, F.conv(number, 16, 10)).otherwise(number).try_cast("int")
+    known = code.between(1, HIGHEST_CODE) & ~code.between(0xD800, 0xDFFF)
+    character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    result = F.when(piece.startswith("&#") & known, character)
+    for reference, meaning in REFERENCES.items():
+        result = result.when(piece == reference, meaning)
+    return result.otherwise(piece)

@@ -9,13 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed patterns. The data model has the years that a nanosecond timestamp holds in full, 1678 to
-# 2261. This bounds an entity's series to 7,008 months, whatever the input size.
+# Fixed patterns. A date holds the years 1 to 9999.
 DIGITS = r"^[0-9]+$"
 TWO_NUMBERS = r"^[0-9]+-[0-9]+(?:-|$)"
 YEARLY_TOTAL = r"^0+-"
-YEARS = r"1(?:67[89]|6[89][0-9]|[789][0-9]{2})|2(?:[01][0-9]{2}|2[0-5][0-9]|26[01])"
-MONTH = rf"^0*(?:[1-9]|1[0-2])-0*(?:{YEARS})(?:-|$)"
+MONTH = r"^0*(?:[1-9]|1[0-2])-[0-9]+(?:-|$)"
+YEAR = r"^[0-9]+-0*[1-9][0-9]{0,3}(?:-|$)"
 
 
 def is_from_year(text: Column, min_year: int) -> Column:
@@ -25,7 +24,7 @@ def is_from_year(text: Column, min_year: int) -> Column:
 
 
 def is_month(text: Column) -> Column:
-    """Do the first two pieces name a month of the data model?
+    """Are the first two pieces a month, 1 to 12, and a year of any size?
 
     Not so for a yearly total (month 0) or a starting value (month -1).
     """
@@ -39,7 +38,9 @@ def claims_month(text: Column) -> Column:
 
 
 def month_start(text: Column) -> Column:
-    """First day of the month, for a text of which ``is_month`` holds."""
+    """First day of the month, for a text of which ``is_month`` holds; a year that no date can hold
+    is an error."""
     month = F.substring_index(text, "-", 1).try_cast("int")
     year = F.substring_index(F.substring_index(text, "-", 2), "-", -1).try_cast("int")
-    return F.make_date(year, month, F.lit(1))
+    beyond = F.raise_error(F.concat(F.lit("no date has the year of "), text)).cast("date")
+    return F.when(text.rlike(YEAR), F.make_date(year, month, F.lit(1))).otherwise(beyond)

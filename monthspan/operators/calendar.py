@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from monthspan.panel import Panel, col
 
+# Months that a gap may have; a longer one can only be a wrong year.
+MOST_MONTHS = 12_000
+
 _NEXT = "_next_date"
 _MONTH = "_month"
 
@@ -36,8 +39,13 @@ def fill_date_gaps(
 
     Needs unique (series, date), as ``deduplicate`` leaves it. Each row is stretched up to the month
     before the next row of its series, so there is no calendar table and no join: one shuffle by
-    series, on rows that deduplication has bounded to one per month.
+    entity, on rows that deduplication has bounded to one per month and product.
+
+    A gap of more than ``MOST_MONTHS`` months is an error; nothing is dropped or cut short.
     """
+    if panel.by_product:
+        # Rows of an entity together serve the windows by product as well as those by month.
+        frame = frame.repartition(col(panel.entity))
     in_order = panel.along_series()
     known = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fixed = {*panel.series, panel.date, *panel.volumes}
@@ -46,7 +54,12 @@ def fill_date_gaps(
         {c: F.last(col(c), ignorenulls=True).over(known) for c in carried}
         | {_NEXT: F.lead(col(panel.date)).over(in_order)}
     )
-    until = F.greatest(col(panel.date), F.add_months(col(_NEXT), -1))
+    too_long = F.raise_error(
+        F.concat(F.lit(f"a gap of more than {MOST_MONTHS} months ends with "), col(_NEXT).cast("string"))
+    ).cast("date")
+    until = F.when(F.months_between(_NEXT, col(panel.date)) > MOST_MONTHS, too_long).otherwise(
+        F.greatest(col(panel.date), F.add_months(col(_NEXT), -1))
+    )
     stretched = rows.withColumn(
         _MONTH, F.explode(F.sequence(col(panel.date), until, F.expr("interval 1 month")))
     )

@@ -14,8 +14,9 @@ from monthspan.sources.dictionary import categories
 def parse_date(frame: DataFrame, panel: Panel = Panel(), on_bad_date: str = "drop") -> DataFrame:
     """Append the month as a date; drop rows that are no month.
 
-    Yearly totals (month 0) and starting values (month -1) always go. A month above 12 or a year
-    beyond the calendar goes too, or is an error with ``on_bad_date="fail"``.
+    Yearly totals (month 0) and starting values (month -1) always go. A month above 12 goes too, or
+    is an error with ``on_bad_date="fail"``. Years 1 to 9999 are kept; a month of any other year is
+    always an error, as no date can hold it.
     """
     if on_bad_date not in ("drop", "fail"):
         raise ValueError(f"on_bad_date is 'drop' or 'fail', not '{on_bad_date}'")

@@ -1,8 +1,9 @@
 """Window features of a panel.
 
-All windows run over the rows of one entity in date order, other products included. The input is
-one row per key (``Panel.keys``), so an entity's rows are bounded by the calendar. Every window
-partitions by the entity, or by entity and date, so one shuffle by entity serves them all.
+Windows run over the rows of one series in date order: all rows of an entity, other products
+included, or with ``Panel.by_product`` the rows of one product. The input is one row per key
+(``Panel.keys``), so a series' rows are bounded by the calendar. Every window partitions by the entity,
+alone or with more, so one shuffle by entity serves them all.
 
 A feature is described by the window values it needs and by what it makes of them. The window values
 become columns first, so that each is computed once however many features refer to it.
@@ -22,7 +23,7 @@ from monthspan.operators.lookup import look_up
 from monthspan.panel import DECLINE_MAX, DECLINE_MIN, GAS, OIL, Panel, col
 
 PRODUCTS = {"oil": OIL, "gas": GAS}
-# The rolling windows, in months.
+# The rolling windows, in months, and the features in their order.
 ROLLING_MONTHS = (3, 6)
 FEATURES = [
     "cum_oil",
@@ -38,6 +39,7 @@ FEATURES = [
     "lag1_oil",
     "lag1_gas",
 ]
+WATER_FEATURES = ["rolling_3m_water", "rolling_6m_water", "lag1_water"]
 
 
 class Feature(NamedTuple):
@@ -85,9 +87,10 @@ def add_lags(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
 
 
 def add_features(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
-    """All twelve features, in their fixed order."""
+    """All twelve features, in their fixed order; with a water column also its averages and lag."""
     parts = [_cumulative, _ratios, _decline, _rolling, _lags]
-    return _apply(frame, [part(panel) for part in parts]).select(*map(col, frame.columns), *FEATURES)
+    names = FEATURES + (WATER_FEATURES if panel.water else [])
+    return _apply(frame, [part(panel) for part in parts]).select(*map(col, frame.columns), *names)
 
 
 def _apply(frame: DataFrame, parts: list[Feature]) -> DataFrame:
@@ -105,7 +108,7 @@ def _null() -> Column:
 
 
 def _cumulative(panel: Panel) -> Feature:
-    so_far = panel.along_entity().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = panel.along_series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     volumes = {name: (panel.is_product(letter), col(panel.volume)) for name, letter in PRODUCTS.items()}
     if panel.water:
         volumes["water"] = (F.lit(True), col(panel.water))
@@ -117,8 +120,7 @@ def _cumulative(panel: Panel) -> Feature:
 
 
 def _month_volumes(panel: Panel) -> dict[str, Column]:
-    volumes = {f"_month_{name}": panel.own_volume(letter) for name, letter in PRODUCTS.items()}
-    return volumes | ({"_month_water": col(panel.water)} if panel.water else {})
+    return {f"_month_{name}": volume for name, volume in _own_volumes(panel).items()}
 
 
 def _ratio_results(panel: Panel) -> dict[str, Column]:
@@ -139,14 +141,19 @@ def _decline(panel: Panel) -> Feature:
     before = F.col("_before")
     rate = not_nan(F.try_divide(col(panel.volume) - before, before))
     return Feature(
-        {"_before": F.lag(col(panel.volume)).over(panel.along_entity())},
+        {"_before": F.lag(col(panel.volume)).over(panel.along_series())},
         {"decline_rate": clip(rate, DECLINE_MIN, DECLINE_MAX)},
     )
 
 
+def _own_volumes(panel: Panel) -> dict[str, Column]:
+    volumes = {name: panel.own_volume(letter) for name, letter in PRODUCTS.items()}
+    return volumes | ({"water": col(panel.water)} if panel.water else {})
+
+
 def _earlier(panel: Panel, name: str, rows_back: int) -> dict[str, Column]:
     """Own-product volumes of the 1 to ``rows_back`` previous rows."""
-    volume, rows = panel.own_volume(PRODUCTS[name]), panel.along_entity()
+    volume, rows = _own_volumes(panel)[name], panel.along_series()
     return {f"_{name}_{back}": F.lag(volume, back).over(rows) for back in range(1, rows_back + 1)}
 
 
@@ -154,15 +161,16 @@ def _rolling(panel: Panel) -> Feature:
     # The sum of a row and its predecessors is null as soon as one of them is null or missing, which
     # is the rule for short windows too; offsets are cheaper than a sliding frame.
     windows, results = {}, {}
-    for name, letter in PRODUCTS.items():
+    for name, volume in _own_volumes(panel).items():
         earlier = _earlier(panel, name, max(ROLLING_MONTHS) - 1)
         windows |= earlier
-        volumes = [finite(v) for v in [panel.own_volume(letter), *map(F.col, earlier)]]
+        volumes = [finite(v) for v in [volume, *map(F.col, earlier)]]
         for months in ROLLING_MONTHS:
             results[f"rolling_{months}m_{name}"] = reduce(add, reversed(volumes[:months])) / months
     return Feature(windows, results)
 
 
 def _lags(panel: Panel) -> Feature:
-    windows = _earlier(panel, "oil", 1) | _earlier(panel, "gas", 1)
-    return Feature(windows, {f"lag1_{name}": F.col(f"_{name}_1") for name in PRODUCTS})
+    names = list(_own_volumes(panel))
+    windows = {key: value for name in names for key, value in _earlier(panel, name, 1).items()}
+    return Feature(windows, {f"lag1_{name}": F.col(f"_{name}_1") for name in names})

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthspan.operators.calendar import entity_span
-from monthspan.operators.dedup import deduplicate
 from monthspan.panel import GAS, OIL, OIL_CAP, Panel, col
 from monthspan.sources.dictionary import categories
+from monthspan.sources.files import file_name
 
 
 def out_of_bounds(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
@@ -32,14 +32,19 @@ def over_cap(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
 
 def not_monotone(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Running totals that fall, or that move in a month without volume of the product."""
-    rows = panel.along_entity()
+    rows = panel.along_series()
     earlier = rows.rowsBetween(Window.unboundedPreceding, -1)
     marked = frame
     offences = []
-    for product, total in ((OIL, "cum_oil"), (GAS, "cum_gas")):
+    idle_months = {
+        "cum_oil": panel.is_product(OIL) & (col(panel.volume) == 0),
+        "cum_gas": panel.is_product(GAS) & (col(panel.volume) == 0),
+    }
+    if panel.water:
+        idle_months["cum_water"] = col(panel.water) == 0
+    for total, idle in idle_months.items():
         before = f"_before_{total}"
         marked = marked.withColumn(before, F.last(F.col(total), ignorenulls=True).over(earlier))
-        idle = panel.is_product(product) & (col(panel.volume) == 0)
         offences.append(F.col(total) < F.col(before))
         offences.append(idle & (F.col(total) != F.coalesce(F.col(before), F.lit(0.0))))
     return marked.filter(_any(offences)).select(*map(col, frame.columns))
@@ -66,13 +71,14 @@ def zero_and_null(raw: DataFrame, filled: DataFrame, panel: Panel = Panel()) ->
 def spot_check(
     raw: DataFrame, filled: DataFrame, panel: Panel = Panel(), one_in: int = 1
 ) -> DataFrame:
-    """Raw against processed volume for a sample of the keys, chosen by key hash so that it is the
-    same however the data is partitioned. Every row has ``agrees``; false is an offence.
+    """Raw against processed volume for a sample of the keys: those whose entity and month, counted
+    from year 0, add up to a multiple of ``one_in``. Every row has ``agrees``; false is an offence.
 
     A volume out of bounds is expected to be missing or zero in the panel.
     """
     if one_in > 1:
-        raw = raw.filter(F.pmod(F.xxhash64(*map(col, panel.keys)), F.lit(one_in)) == 0)
+        month = F.year(col(panel.date)) * 12 + F.month(col(panel.date))
+        raw = raw.filter(F.pmod(col(panel.entity) + month, F.lit(one_in)) == 0)
     raw_volume, panel_volume = F.col("raw_volume"), F.col("panel_volume")
     invalid = (raw_volume < 0) | (panel.is_product(OIL) & (raw_volume > OIL_CAP))
     unknown = F.coalesce(invalid, F.lit(True))
@@ -82,31 +88,26 @@ def spot_check(
     return _side_by_side(raw, filled, panel).withColumn("agrees", agrees)
 
 
-def row_counts(frame: DataFrame, position: list[str], panel: Panel = Panel()) -> DataFrame:
-    """Rows before, after one and after two deduplications, and keys that are still repeated."""
-    once = deduplicate(frame, position, panel)
-    repeated = once.groupBy(*map(col, panel.keys)).count().filter("count > 1")
-    counted = {
-        "before": frame,
-        "after": once,
-        "after_again": deduplicate(once, position, panel),
-        "repeated_keys": repeated,
-    }
-    return reduce(
-        DataFrame.unionByName,
-        [
-            rows.agg(F.count("*").alias("rows")).select(F.lit(name).alias("measure"), "rows")
-            for name, rows in counted.items()
-        ],
+def row_counts(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
+    """Rows before and after deduplication, and keys that it takes rows from, in one aggregation."""
+    keys = frame.groupBy(*map(col, panel.keys)).agg(F.count("*").alias("_rows"))
+    counts = keys.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("before"),
+        F.count("*").alias("after"),
+        F.count_if(F.col("_rows") > 1).alias("repeated_keys"),
     )
+    return counts.unpivot([], counts.columns, "measure", "rows")
 
 
 def out_of_order(spark: SparkSession, directory: str, panel: Panel = Panel()) -> DataFrame:
-    """Rows of a stage table that come before an earlier month of their entity, in file order."""
+    """Rows of a stage table that come before an earlier month of their entity, in file order.
+
+    Meant for processed tables, whose months are unique in their entity.
+    """
     rows = spark.read.parquet(directory).select(
         col(panel.entity),
         col(panel.date),
-        F.col("_metadata.file_name").alias("file_name"),
+        file_name().alias("file_name"),
         F.col("_metadata.row_index").alias("row_index"),
     )
     in_files = Window.partitionBy(col(panel.entity)).orderBy("file_name", "row_index")

@@ -53,15 +53,9 @@ class Panel:
         return [self.volume] + ([self.water] if self.water else [])
 
     def along_series(self) -> WindowSpec:
+        """All rows of an entity, or of an entity's product, in date order."""
         return Window.partitionBy(*map(col, self.series)).orderBy(col(self.date))
 
-    def along_entity(self) -> WindowSpec:
-        """All rows of an entity in date order; oil before gas when both share a month."""
-        order = [col(self.date)]
-        if self.by_product:
-            order.append(col(self.product).desc_nulls_last())
-        return Window.partitionBy(col(self.entity)).orderBy(*order)
-
     def is_product(self, product: str) -> Column:
         """True or false, never null: a row without product is neither oil nor gas."""
         return F.coalesce(col(self.product) == product, F.lit(False))

@@ -93,8 +93,13 @@ def lease_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lease_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored pages; their links to words that begin with 'the' become download links."""
-    link = F.concat(F.lit('href="/anon_blobber.download?x=1&amp;p_file_name=lp'), "page_id", F.lit(".txt&amp;w="))
+    """Stored pages; their links to words that begin with 'the' become download links, with the
+    ampersand written in one of three ways."""
+    ampersand = F.expr("element_at(array('&amp;', '&#38;', '&#x26;'), int(page_id % 3) + 1)")
+    link = F.concat(
+        F.lit('href="/anon_blobber.download?x=1'), ampersand, F.lit("p_file_name=lp"), "page_id",
+        F.lit(".txt"), ampersand, F.lit("w="),
+    )
     return table(spark, sf_dir, "pages").select(
         F.col("page_id").cast("string").alias("lease_id"),
         F.replace("html", F.lit('href="/the'), link).alias("html"),
@@ -110,8 +115,48 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as landed files, line by line, whole texts."""
+    """Documents as landed files, line by line, whole texts.
+
+    Every seventh one ends in bytes that are no UTF-8; every fifth one has blank lines after its first.
+    """
+    lines = F.split("text", "\n")
+    blank = F.concat(F.slice(lines, 1, 1), F.array(F.lit(""), F.lit(" ")))
+    invalid = F.concat(lines, F.array(F.unhex(F.lit("FFFE")).cast("string")))
+    chosen = F.when(F.expr("doc_id % 5 = 0"), blank).when(F.expr("doc_id % 7 = 0"), invalid)
     return table(spark, sf_dir, "documents").select(
         F.concat(F.lit("lp"), "doc_id", F.lit(".txt")).alias("file_name"),
-        F.explode(F.split("text", "\n")).alias("line"),
+        F.explode(chosen.otherwise(lines)).alias("line"),
+    )
+
+
+# Rows of a raw file, and what ends the rows of each product's files.
+ROWS_PER_FILE = 4000
+LINE_ENDS = {"G": "\n", "O": "\r\n", None: "\r"}
+
+
+def raw_contents(rows: DataFrame, columns: list[str], line_end: str, mixed: bool = False) -> DataFrame:
+    """Whole texts of raw files with the given columns, ``ROWS_PER_FILE`` positions in each, in order.
+
+    With ``mixed``, every third row ends in LF whatever the others end in.
+    """
+    header = ",".join(f'"{c}"' if "," in c else c for c in columns)
+    cells = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in columns]), {"escape": '"', "emptyValue": ""})
+    end = F.when(F.lit(mixed) & (F.col(POSITION) % 3 == 0), "\n").otherwise(line_end)
+    lines = rows.select(
+        F.floor(F.col(POSITION) / ROWS_PER_FILE).alias("file"),
+        F.struct(POSITION, F.concat(cells, end).alias("line")).alias("row"),
+    )
+    files = lines.groupBy("file").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    text = F.concat(F.lit(header + line_end), F.array_join(F.transform("rows", lambda r: r["line"]), ""))
+    return files.select("file", text.alias("content"))
+
+
+def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as the rows of a data dictionary, with quotes, commas, blanks and an unknown type."""
+    return table(spark, sf_dir, "part").selectExpr(
+        "concat('C', p_partkey) as column",
+        "case when p_partkey % 5 = 0 then '' else concat('\"', p_name, '\", ', p_type) end as description",
+        "element_at(array('int', 'float', 'string', 'categorical', 'decimal'), int(p_partkey % 5) + 1) as dtype",
+        "if(p_partkey % 3 = 0, 'no', 'yes') as nullable",
+        "if(p_partkey % 5 = 3, concat(p_brand, '|', p_type), '') as categories",
     )

@@ -20,10 +20,10 @@ from monthspan.operators.features import add_features
 from monthspan.operators.manifest import LINK_MARKER, lease_manifest
 from monthspan.panel import DEFAULT_MIN_YEAR, Panel
 from monthspan.sources import stages
-from monthspan.sources.dictionary import monthly_schema
+from monthspan.sources.dictionary import load_schema, monthly_schema
 from monthspan.sources.files import list_files
 from monthspan.sources.landed import current_leases, landed_files, read_lease_index
-from monthspan.sources.raw import PATTERN, SOURCE_POS, SPLIT_ABOVE, ingest_rows
+from monthspan.sources.raw import PATTERN, SOURCE_POS, ingest_rows
 
 logger = logging.getLogger(__name__)
 STAGES = ["acquire", "ingest", "transform", "features"]
@@ -31,8 +31,12 @@ STAGES = ["acquire", "ingest", "transform", "features"]
 
 @dataclass(frozen=True)
 class Paths:
-    """Where each stage reads and writes; only the paths of the requested stages are needed."""
+    """Where each stage reads and writes; only the paths of the requested stages are needed.
 
+    With ``dictionary``, the path of a data dictionary, its columns are the schema.
+    """
+
+    dictionary: str = ""
     lease_index: str = ""
     pages: str = ""
     raw: str = ""
@@ -58,14 +62,18 @@ class Settings:
     on_bad_date: str = "drop"
     zero_fill_nulls: bool = True
     files: int | str | None = None
-    split_above: int = SPLIT_ABOVE
+    quoted_breaks: bool = True
+
 
-    def declared(self) -> T.StructType:
-        return self.schema or monthly_schema()
+def declared(spark: SparkSession, paths: Paths, settings: Settings) -> T.StructType:
+    """The schema of the dictionary file, or of the settings, or of the monthly files."""
+    if paths.dictionary:
+        return load_schema(spark, paths.dictionary)
+    return settings.schema or monthly_schema()
 
 
 def transform_rows(
-    rows: DataFrame, position: Sequence[str], settings: Settings = Settings()
+    rows: DataFrame, position: Sequence[str], schema: T.StructType, settings: Settings = Settings()
 ) -> DataFrame:
     """Typed rows to a clean, unique, gap-free panel.
 
@@ -74,7 +82,7 @@ def transform_rows(
     """
     panel = settings.panel
     return (
-        rows.transform(clean_rows, settings.declared(), panel, settings.on_bad_date)
+        rows.transform(clean_rows, schema, panel, settings.on_bad_date)
         .transform(deduplicate, position, panel)
         .drop(SOURCE_POS)
         .transform(fill_date_gaps, panel, settings.zero_fill_nulls)
@@ -96,24 +104,29 @@ def acquire(spark: SparkSession, paths: Paths, settings: Settings = Settings())
 
 def ingest(spark: SparkSession, paths: Paths, settings: Settings = Settings()) -> None:
     """Raw files to one typed table, without any shuffle unless a number of files is asked for."""
-    rows = ingest_rows(
-        spark, paths.raw, settings.declared(), settings.min_year, settings.split_above
-    )
+    schema = declared(spark, paths, settings)
+    rows = ingest_rows(spark, paths.raw, schema, settings.min_year, settings.quoted_breaks)
     files = _files(spark, settings, paths.raw, PATTERN)
     stages.write_stage(rows, paths.interim, files)
 
 
 def transform(spark: SparkSession, paths: Paths, settings: Settings = Settings()) -> None:
-    """Typed table to the processed panel, in date order inside each entity."""
+    """Typed table to the processed panel, in date order inside each entity.
+
+    Unless a number of files is asked for, the panel is written in buckets by entity.
+    """
     rows, position = stages.read_rows_in_order(spark, paths.interim)
-    filled = transform_rows(rows, position, settings)
+    filled = transform_rows(rows, position, declared(spark, paths, settings), settings)
     files = _files(spark, settings, paths.interim)
-    stages.write_stage(filled, paths.processed, files, settings.panel)
+    if files is None:
+        stages.write_panel(filled, paths.processed, settings.panel)
+    else:
+        stages.write_stage(filled, paths.processed, files, settings.panel)
 
 
 def features(spark: SparkSession, paths: Paths, settings: Settings = Settings()) -> None:
-    """Processed panel to the panel with all features."""
-    panel = stages.read_stage(spark, paths.processed)
+    """Processed panel to the panel with all features; no shuffle where the panel has buckets."""
+    panel = stages.read_panel(spark, paths.processed)
     result = panel.transform(add_features, settings.panel)
     files = _files(spark, settings, paths.processed)
     stages.write_stage(result, paths.features, files, settings.panel)
@@ -152,12 +165,12 @@ def run(
     seconds = {}
     for name in names:
         start = time.monotonic()
-        logger.info("stage '%s' starting", name)
+        logger.info("running %s", name)
         try:
             _JOBS[name](spark, paths, settings)
         except Exception:
-            logger.exception("stage '%s' failed after %.1fs", name, time.monotonic() - start)
+            logger.exception("%s broke off; %.1f s spent on it", name, time.monotonic() - start)
             raise
         seconds[name] = time.monotonic() - start
-        logger.info("stage '%s' completed in %.1fs", name, seconds[name])
+        logger.info("%s took %.1f s", name, seconds[name])
     return seconds

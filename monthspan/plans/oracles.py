@@ -6,7 +6,7 @@ calendar join, and deduplication is a plain window.
 
 from __future__ import annotations
 
-from monthspan.plans.given import MIN_YEAR, MONTH_YEAR, PRODUCT, RAW_TEXT, VOLUME_OR_NULL
+from monthspan.plans.given import MIN_YEAR, MONTH_YEAR, PRODUCT, RAW_TEXT, ROWS_PER_FILE, VOLUME_OR_NULL
 
 CARRIED_SMALL = ["FIELD", "TWN_DIR", "MONTH-YEAR", "PRODUCT"]
 INTS = ["DOR_CODE", "TOWNSHIP", "RANGE", "SECTION", "WELLS"]
@@ -65,7 +65,7 @@ def dated(source: str, name: str = "dated") -> str:
     select *, try_cast(regexp_extract("MONTH-YEAR", '^([0-9]+)-([0-9]+)', 1) as bigint) as m,
               try_cast(regexp_extract("MONTH-YEAR", '^([0-9]+)-([0-9]+)', 2) as bigint) as y
     from {source})
-  where m between 1 and 12 and y between 1678 and 2261)"""
+  where m between 1 and 12 and y between 1 and 9999)"""
 
 
 def categorized(source: str, name: str, more: bool) -> str:
@@ -128,33 +128,36 @@ cal as (
 
 # One chain for the small typed columns, one for all columns of a monthly file
 CLEANED = ", ".join(
-    [RAW_SMALL, RECENT, dated("recent"), categorized("dated", "cats", False), bounded("cats", "cleaned")]
+    [RAW_SMALL, dated("raw"), categorized("dated", "cats", False), bounded("cats", "cleaned")]
 )
 UNIQUE = f"{CLEANED}, {first_of('cleaned', 'LEASE_KID, production_date', 'uniq')}"
 UNIQUE_P = f"{CLEANED}, {first_of('cleaned', 'LEASE_KID, production_date, PRODUCT', 'uniq')}"
 FILLED = f"{UNIQUE}, {calendar_join('uniq', 'filled', CARRIED_SMALL)}"
 FILLED_P = f"{UNIQUE_P}, {calendar_join('uniq', 'filled', CARRIED_SMALL, by_product=True)}"
 REPORTED = ", ".join(
-    [RAW_SMALL, RECENT, dated("recent"), first_of("dated", "LEASE_KID, production_date", "reported")]
-)
-FILLED_ALL = ", ".join(
-    [
-        TYPED_ALL,
-        RECENT,
-        dated("recent"),
-        categorized("dated", "cats", True),
-        bounded("cats", "cleaned"),
-        first_of("cleaned", "LEASE_KID, production_date", "uniq"),
-        calendar_join("uniq", "filled", CARRIED_MONTHLY),
-    ]
+    [RAW_SMALL, dated("raw"), first_of("dated", "LEASE_KID, production_date", "reported")]
 )
+def filled_all(source: str) -> str:
+    return ", ".join(
+        [
+            TYPED_ALL,
+            RECENT,
+            dated(source),
+            categorized("dated", "cats", True),
+            bounded("cats", "cleaned"),
+            first_of("cleaned", "LEASE_KID, production_date", "uniq"),
+            calendar_join("uniq", "filled", CARRIED_MONTHLY),
+        ]
+    )
+
+
 WATER = f"""{FILLED}, watered as (
   select *, cast(case when LEASE_KID % 23 = 0 then -PRODUCTION
                       when month(production_date) = 5 then null
                       else floor(PRODUCTION / 3) end as double) as WATER
   from filled)"""
 
-# Features as expressions over a panel; w is all rows of the entity in order
+# Features as expressions over a panel; w is all rows of the entity, or of its product, in order
 OWN = {
     "oil": "case when PRODUCT = 'O' then PRODUCTION end",
     "gas": "case when PRODUCT = 'G' then PRODUCTION end",
@@ -163,8 +166,8 @@ LETTER = {"oil": "O", "gas": "G"}
 
 
 def windows(by_product: bool = False) -> str:
-    order = "production_date" + (", PRODUCT desc nulls last" if by_product else "")
-    frame = f"(partition by LEASE_KID order by {order} rows between"
+    series = "LEASE_KID, PRODUCT" if by_product else "LEASE_KID"
+    frame = f"(partition by {series} order by production_date rows between"
     return f"""window w as {frame} unbounded preceding and current row),
   w3 as {frame} 2 preceding and current row),
   w6 as {frame} 5 preceding and current row),
@@ -221,12 +224,12 @@ def parameter(url: str, name: str) -> str:
 
 LINKS = f"""lease_pages as (
   select cast(page_id as varchar) as lease_id,
-         replace(html, 'href="/the',
-                 concat('href="/anon_blobber.download?x=1&amp;p_file_name=lp', page_id, '.txt&amp;w=')) as html
-  from pages),
+         replace(html, 'href="/the', concat('href="/anon_blobber.download?x=1', sign, 'p_file_name=lp', page_id,
+                                            '.txt', sign, 'w=')) as html
+  from (select *, ['&amp;', '&#38;', '&#x26;'][page_id % 3 + 1] as sign from pages)),
 anchors as (
   select lease_id,
-         [replace(h, '&amp;', '&') for h in
+         [replace(replace(replace(h, '&amp;', '&'), '&#38;', '&'), '&#x26;', '&') for h in
             regexp_extract_all(
               regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g'),
               '(?i)<a\\s[^>]*href="([^"]*)"', 1)
@@ -271,15 +274,21 @@ SPAN = """select LEASE_KID, min(production_date) as first_date, max(production_d
   cast(date_diff('month', min(production_date), max(production_date)) + 1 as bigint) as months
 from uniq group by LEASE_KID"""
 FALLS = f"""{REPORTED},
-totals as (select *, {", ".join(CUMULATIVE)} from reported {windows()}),
+wet as (
+  select * exclude (o_orderkey), case when month(production_date) % 4 = 0 then -1.0 else PRODUCTION end as WATER
+  from reported),
+totals as (select *, {", ".join(CUMULATIVE)}, {CUM_WATER} from wet {windows()}),
 before as (
   select *, last_value(cum_oil ignore nulls) over p as before_oil,
-            last_value(cum_gas ignore nulls) over p as before_gas
+            last_value(cum_gas ignore nulls) over p as before_gas,
+            last_value(cum_water ignore nulls) over p as before_water
   from totals
   window p as (partition by LEASE_KID order by production_date
                rows between unbounded preceding and 1 preceding))
-select * exclude (before_oil, before_gas) from before
+select * exclude (before_oil, before_gas, before_water) from before
 where coalesce(cum_oil < before_oil, false) or coalesce(cum_gas < before_gas, false)
+   or coalesce(cum_water < before_water, false)
+   or (WATER = 0 and cum_water <> coalesce(before_water, 0))
    or (PRODUCT = 'O' and PRODUCTION = 0 and cum_oil <> coalesce(before_oil, 0))
    or (PRODUCT = 'G' and PRODUCTION = 0 and cum_gas <> coalesce(before_gas, 0))"""
 PART_CHAIN = ", ".join(
@@ -296,14 +305,39 @@ PART_CHAIN = ", ".join(
     ]
 )
 DOCUMENT_FILES = """lines as (
-  select concat('lp', doc_id, '.txt') as file_name, len(string_split(text, chr(10))) as n
+  select concat('lp', doc_id, '.txt') as file_name, doc_id % 7 > 0 or doc_id % 5 = 0 as valid,
+         len([l for l in case when doc_id % 5 = 0 then string_split(text, chr(10))[1:1]
+                              else string_split(text, chr(10)) end if trim(l) <> ''])
+         + case when doc_id % 7 = 0 and doc_id % 5 > 0 then 1 else 0 end as n
   from documents)
 select concat('lp', c_custkey, '.txt') as file_name, cast(coalesce(n, 0) as bigint) as lines,
-       coalesce(n, 0) > 0 as has_content, n is not null as valid_utf8,
-       coalesce(n, 0) > 1 as has_rows, coalesce(n, 0) > 1 as ok
+       coalesce(n, 0) > 0 as has_content, coalesce(valid, false) as valid_utf8,
+       coalesce(n, 0) > 1 as has_rows, coalesce(n > 1 and valid, false) as ok
 from customer left join lines on file_name = concat('lp', c_custkey, '.txt')"""
 
-_ALL_FEATURES = f"with {FILLED_ALL} {add('filled', FEATURES)}"
+_ALL_FEATURES = f"with {filled_all('recent')} {add('filled', FEATURES)}"
+# The first file of each header has a name of its own.
+SOURCE_FILES = f"""files as (
+  select case o_orderstatus when 'F' then 'lp 1.txt' when 'O' then 'lp%20+é.txt' else 'lp[1].txt' end as name,
+         o_orderkey // {ROWS_PER_FILE} as file from orders),
+named as (select name, file, min(file) over (partition by name) as first from files)
+select case when file = first then name else 'part' end as source_file, count(*) as rows from named group by 1"""
+DICTIONARY = """select concat('C', p_partkey) as "column",
+  case when p_partkey % 5 = 0 then '' else concat('"', p_name, '", ', p_type) end as description,
+  ['int', 'float', 'string', 'categorical', 'decimal'][p_partkey % 5 + 1] as dtype,
+  case when p_partkey % 3 = 0 then 'no' else 'yes' end as nullable,
+  case when p_partkey % 5 = 3 then concat(p_brand, '|', p_type) else '' end as categories,
+  ['bigint', 'double', 'string', 'string', null][p_partkey % 5 + 1] as spark_type
+from part"""
+WET_ROLLING = [
+    f"case when count(WATER) over w{m} = {m} then avg(WATER) over w{m} end as rolling_{m}m_water" for m in (3, 6)
+]
+MANIFEST = f"""{INDEX}, {LINKS}, {LANDED},
+  ids as (select URL, {parameter('URL', 'f_lc')} as lease_id from leases)
+  select URL, lease_id, 'https://h.example/month?f_lc=' || lease_id as page_url, link, file_name,
+         case when lease_id is null then 'bad_url' when file_name is null then 'no_link'
+              when {{landed}} then 'landed' else 'pending' end as status
+  from ids left join links using (lease_id)"""
 
 ORACLES: dict[str, str] = {
     "lease_index": f"with {INDEX} select * from leases",
@@ -312,13 +346,23 @@ ORACLES: dict[str, str] = {
         select LEASE_KID, case when PRODUCT <> 'O' then LEASE end as LEASE,
                case when PRODUCT <> 'O' then URL end as URL, count(*) as rows
         from raw_text group by all""",
+    "source_files": f"with {SOURCE_FILES}",
+    "dictionary_scan": DICTIONARY,
+    "clamped_files": "select o_custkey as LEASE_KID, count(*) as rows, 10 as files from orders group by 1",
+    "entity_layout": f"with {UNIQUE} select LEASE_KID, count(*) as rows, 1::bigint as files from uniq group by 1",
+    "schema_drift": """select unnest([
+        'LEASE_KID: int64' || chr(10) || 'PRODUCT: string' || chr(10) || 'PRODUCTION: double',
+        'LEASE_KID: int64' || chr(10) || 'PRODUCTION: double']) as schema""",
     "stage_roundtrip": f"with {RAW_SMALL} select * from raw",
     "file_integrity": f"with {DOCUMENT_FILES}",
     "typed_cast": f"with {RAW_ALL} select {CAST_ALL} from raw_text",
     "absent_column": f"with {RAW_ALL} select {', '.join(map(_with_absent, MONTHLY))} from raw_text",
     "canonical_select": f"with {RAW_ALL} select {names(MONTHLY)} from raw_text",
     "year_filter": f"with {RAW_SMALL}, {RECENT} select * from recent",
-    "parse_date": f"with {RAW_SMALL}, {dated('raw')} select * from dated",
+    "parse_date": f"""with {RAW_SMALL}, ahead as (
+          select * replace (case when o_orderkey % 103 = 0 then regexp_replace("MONTH-YEAR", '-1', '-2', 'g')
+                                 else "MONTH-YEAR" end as "MONTH-YEAR") from raw),
+        {dated('ahead')} select * from dated""",
     "cast_categoricals": f"with {RAW_SMALL}, {categorized('raw', 'cats', False)} select * from cats",
     "validate_bounds": f"with {RAW_SMALL}, {bounded('raw', 'bounded')} select * from bounded",
     "clean_rows": f"with {CLEANED} select * from cleaned",
@@ -341,35 +385,36 @@ ORACLES: dict[str, str] = {
     "water_cut": f"with {WATER} {add('watered', [GOR, CUT])}",
     "decline_rate": f"with {FILLED} {add('filled', [DECLINE])}",
     "rolling": f"with {UNIQUE} {add('(select * exclude (o_orderkey) from uniq)', ROLLING)}",
+    "rolling_water": f"with {WATER} {add('watered', [*ROLLING, *WET_ROLLING, *LAGS, 'lag(WATER) over w as lag1_water'])}",
     "lag_features": f"with {FILLED} {add('filled', LAGS)}",
     "features_all": f"with {FILLED} {add('filled', FEATURES)}",
     "features_product": f"with {FILLED_P} {add('filled', FEATURES, True)}",
     "part_features": f"with {PART_CHAIN} {add('filled', FEATURES)}",
-    "lease_ids": f"with {INDEX} select *, {parameter('URL', 'f_lc')} as lease_id from leases",
+    "lease_ids": f"""with {INDEX}, firsts as (
+          select * from idx qualify row_number() over (partition by URL order by o_orderkey) = 1)
+        select "MONTH-YEAR", URL, {parameter('URL', 'f_lc')} as lease_id from firsts""",
     "page_parameters": f"""select page_id, {parameter('url', 'page')} as page,
         {parameter('url', 'utm_source')} as utm_source from pages""",
     "download_links": f"with {LINKS} select * from links",
     "pending_files": f"""with {LINKS}, {LANDED}
         select lease_id, file_name from links
         where file_name is not null and file_name not in (select file_name from landed where length > 0)""",
-    "lease_manifest": f"""with {INDEX}, {LINKS}, {LANDED},
-        ids as (select URL, {parameter('URL', 'f_lc')} as lease_id from leases)
-        select URL, lease_id, 'https://h.example/month?f_lc=' || lease_id as page_url, link, file_name,
-               case when lease_id is null then 'bad_url' when file_name is null then 'no_link'
-                    when file_name in (select file_name from landed where length > 0) then 'landed'
-                    else 'pending' end as status
-        from ids left join links using (lease_id)""",
+    "lease_manifest": "with "
+    + MANIFEST.format(landed="file_name in (select file_name from landed where length > 0)"),
+    "acquire_job": "with " + MANIFEST.format(landed="false"),
     "ingest_job": f"with {LEASE_GONE}, {RECENT} select * exclude (o_orderkey) from recent",
-    "transform_job": f"with {FILLED_ALL} select * from filled",
+    "transform_job": f"with {filled_all('raw')} select * from filled",
     "features_job": f"with {FILLED} {add('filled', FEATURES)}",
     "all_stages": _ALL_FEATURES,
     "whole_run": _ALL_FEATURES,
-    "dq_bounds": f"with {RAW_SMALL} select * from raw where PRODUCTION < 0",
+    "dq_bounds": f"""with {RAW_SMALL}, more as (
+          select *, cast(case when o_orderkey % 41 = 0 then -1.5 when o_orderkey % 5 > 0 then 2 end as double) as gor,
+                 cast(case o_orderkey % 37 when 0 then 1.5 when 1 then -0.5 when 2 then 1 when 3 then null else 0 end
+                      as double) as water_cut
+          from raw)
+        select * from more where PRODUCTION < 0 or gor < 0 or water_cut < 0 or water_cut > 1""",
     "dq_units": f"with {RAW_SMALL} select * from raw where PRODUCT = 'O' and PRODUCTION > 50000",
-    "dq_monotone": f"with {FALLS}".replace(
-        "select * exclude (before_oil, before_gas)",
-        f"select * exclude (before_oil, before_gas, o_orderkey), {NO_WATER}",
-    ),
+    "dq_monotone": f"with {FALLS}",
     "dq_complete": f"with {UNIQUE}, spans as ({SPAN}) select * from spans where rows <> months",
     "dq_zero_null": f"""with {SIDES}
         select *, case when raw_volume = 0 then 'zero_lost' else 'null_to_zero' end as finding from sides
@@ -378,13 +423,16 @@ ORACLES: dict[str, str] = {
         select *, case when raw_volume is null or raw_volume < 0 or (PRODUCT = 'O' and raw_volume > 50000)
                        then coalesce(panel_volume, 0) = 0
                        else panel_volume is not distinct from raw_volume end as agrees
-        from sides""",
+        from sides
+        where (LEASE_KID + year(production_date) * 12 + month(production_date)) % 3 = 0""",
     "dq_rowcount": f"""with {UNIQUE}
         select 'before' as measure, count(*) as rows from cleaned
         union all select 'after', count(*) from uniq
-        union all select 'after_again', count(*) from uniq
         union all select 'repeated_keys', count(*) from (
-          select 1 from uniq group by LEASE_KID, production_date having count(*) > 1)""",
+          select 1 from cleaned group by LEASE_KID, production_date having count(*) > 1)""",
+    "file_order": f"""with {CLEANED}
+        select LEASE_KID, production_date from cleaned
+        qualify lag(production_date) over (partition by LEASE_KID order by o_orderkey) >= production_date""",
     "dq_category": f"""with {RAW_SMALL} select * from raw
         where PRODUCT not in ('O', 'G') or TWN_DIR not in ('S', 'N')""",
 }

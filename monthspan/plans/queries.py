@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,9 @@ from monthspan.operators import calendar, clean, dedup, features, manifest, qual
 from monthspan.panel import Panel
 from monthspan.plans import given, jobs
 from monthspan.sources import landed, raw, stages
-from monthspan.sources.dictionary import archive_schema, monthly_schema
+from monthspan.sources.dictionary import DICTIONARY_COLUMNS, MONTHLY, archive_schema, monthly_schema
+from monthspan.sources.dictionary import read_dictionary, with_types
+from monthspan.sources.files import list_files, schema_variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +34,7 @@ def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recent(spark, sf_dir).transform(clean.clean_rows, monthly_schema())
+    return given.raw_panel(spark, sf_dir).transform(clean.clean_rows, monthly_schema())
 
 
 def unique(spark: SparkSession, sf_dir: str, panel: Panel = PANEL) -> DataFrame:
@@ -45,7 +48,7 @@ def filled(spark: SparkSession, sf_dir: str, panel: Panel = PANEL) -> DataFrame:
 
 def reported(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dated rows, first per month, with volumes as reported."""
-    rows = recent(spark, sf_dir).transform(clean.parse_date)
+    rows = given.raw_panel(spark, sf_dir).transform(clean.parse_date)
     return rows.transform(dedup.deduplicate, POSITION).drop(given.POSITION)
 
 
@@ -63,40 +66,62 @@ def text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What ingest makes of the raw rows, with their positions."""
+    """All raw rows with types, as a stage table with their positions."""
     schema = monthly_schema()
     rows = given.raw_text(spark, sf_dir)
     position = F.struct(F.lit(0).cast("bigint").alias("block"), F.col(given.POSITION).alias("row"))
     rows = rows.withColumn(raw.SOURCE_FILE, F.lit("orders.txt")).withColumn(raw.SOURCE_POS, position)
-    rows = rows.drop("URL", given.POSITION).transform(raw.keep_from_year, given.MIN_YEAR)
-    return rows.transform(raw.enforce_types, schema)
+    return rows.drop("URL", given.POSITION).transform(raw.enforce_types, schema)
 
 
-def write_raw_files(rows: DataFrame, directory: str) -> None:
-    """Append raw files of one header to a directory."""
-    writer = rows.write.mode("append").option("header", True).option("escape", '"')
-    writer.option("extension", "txt").csv(directory)
+def write_raw_files(contents: DataFrame, directory: str) -> None:
+    """Write each text to a file of its own; the names follow the texts' order."""
+    in_order = contents.repartitionByRange("file").sortWithinPartitions("file").select("content")
+    in_order.write.option("maxRecordsPerFile", 1).text(directory)
+
+
+# Names of the first file of each header, with characters that need care in paths.
+ODD_NAMES = {"G": "lp 1.txt", "O": "lp%20+é.txt", None: "lp[1].txt"}
 
 
 def files_with_three_headers(spark: SparkSession, sf_dir: str) -> str:
-    """All raw rows as files: with an extra column, without a nullable one, and reordered."""
+    """All raw rows as files: with an extra column, without two columns, and reordered, each with
+    line ends of its own. Some names have spaces, percent signs and brackets."""
     directory = stages.scratch_dir(spark, "raw")
-    rows = given.raw_text(spark, sf_dir).drop(given.POSITION)
-    gas, oil, other = (F.col("PRODUCT") == "G", F.col("PRODUCT") == "O", ~F.col("PRODUCT").isin("G", "O"))
-    write_raw_files(rows.filter(gas), directory)
-    write_raw_files(rows.filter(oil).drop("LEASE", "URL"), directory)
-    write_raw_files(rows.filter(other).select(*reversed(rows.columns)), directory)
+    rows = given.raw_text(spark, sf_dir)
+    columns = [c for c in rows.columns if c != given.POSITION]
+    known = F.col("PRODUCT").isin("G", "O")
+    for product, chosen in {
+        "G": columns,
+        "O": [c for c in columns if c not in ("LEASE", "URL")],
+        None: columns[::-1],
+    }.items():
+        part = rows.filter(F.col("PRODUCT") == product if product else ~known)
+        contents = given.raw_contents(part, chosen, given.LINE_ENDS[product], mixed=product == "O")
+        stages.move_files(spark, contents, write_raw_files, directory, ODD_NAMES[product])
     return directory
 
 
 def files_in_order(spark: SparkSession, sf_dir: str) -> str:
     """All raw rows as files whose names and rows follow the position."""
     directory = stages.scratch_dir(spark, "raw")
-    rows = given.raw_text(spark, sf_dir).repartitionByRange(given.POSITION)
-    write_raw_files(rows.sortWithinPartitions(given.POSITION).drop(given.POSITION), directory)
+    rows = given.raw_text(spark, sf_dir)
+    write_raw_files(given.raw_contents(rows, [c for c in rows.columns if c != given.POSITION], "\n"), directory)
     return directory
 
 
+def dictionary_file(spark: SparkSession, rows: DataFrame) -> str:
+    path = stages.scratch_dir(spark, "dictionary")
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+def monthly_dictionary(spark: SparkSession) -> str:
+    """The dictionary of the monthly files, as a file."""
+    rows = [(name, "", label, nullable, categories) for name, label, nullable, categories in MONTHLY]
+    return dictionary_file(spark, spark.createDataFrame(rows, DICTIONARY_COLUMNS))
+
+
 # Sources and sinks
 
 
@@ -115,6 +140,46 @@ def union_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("LEASE_KID", "LEASE", "URL").agg(F.count("*").alias("rows"))
 
 
+def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by file name; the names that Spark's writer makes up count together."""
+    rows = raw.scan_raw(spark, files_with_three_headers(spark, sf_dir), monthly_schema())
+    name = F.regexp_replace(raw.SOURCE_FILE, "^part-.*", "part")
+    return rows.groupBy(name.alias("source_file")).agg(F.count("*").alias("rows"))
+
+
+def dictionary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = dictionary_file(spark, given.dictionary(spark, sf_dir))
+    return read_dictionary(spark, path).transform(with_types)
+
+
+def clamped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per lease from a stage of as many files as three inputs get."""
+    directory = stages.scratch_dir(spark, "stage")
+    stages.write_stage(given.raw_panel(spark, sf_dir), directory, files=stages.file_count(3))
+    files = list_files(spark, directory, "*.parquet").count()
+    rows = stages.read_stage(spark, directory).groupBy("LEASE_KID").agg(F.count("*").alias("rows"))
+    return rows.withColumn("files", F.lit(files))
+
+
+def entity_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and files of every lease's own directory."""
+    directory = stages.scratch_dir(spark, "entities")
+    stages.write_by_entity(unique(spark, sf_dir), directory)
+    rows = stages.read_stage(spark, directory).select("LEASE_KID", F.col("_metadata.file_path").alias("path"))
+    return rows.groupBy(F.col("LEASE_KID").cast("bigint").alias("LEASE_KID")).agg(
+        F.count("*").alias("rows"), F.countDistinct("path").alias("files")
+    )
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schemas of a stage whose later files have a column more."""
+    directory = stages.scratch_dir(spark, "stage")
+    rows = given.raw_panel(spark, sf_dir).select("LEASE_KID", "PRODUCT", "PRODUCTION")
+    rows.filter("LEASE_KID % 2 = 0").write.parquet(directory)
+    rows.filter("LEASE_KID % 2 = 1").drop("PRODUCT").write.mode("append").parquet(directory)
+    return schema_variants(spark, directory).select("schema")
+
+
 def stage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     directory = stages.scratch_dir(spark, "stage")
     stages.write_stage(given.raw_panel(spark, sf_dir), directory)
@@ -154,7 +219,10 @@ def year_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given.raw_panel(spark, sf_dir).transform(clean.parse_date)
+    """Some months lie a thousand years ahead."""
+    ahead = F.expr("regexp_replace(`MONTH-YEAR`, '-1', '-2')")
+    text = F.when(F.col(given.POSITION) % 103 == 0, ahead).otherwise(F.col("`MONTH-YEAR`"))
+    return given.raw_panel(spark, sf_dir).withColumn("MONTH-YEAR", text).transform(clean.parse_date)
 
 
 def cast_categoricals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,6 +303,11 @@ def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unique(spark, sf_dir).transform(features.add_rolling)
 
 
+def rolling_water(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_water(spark, sf_dir).transform(features.add_rolling, WITH_WATER)
+    return rows.transform(features.add_lags, WITH_WATER)
+
+
 def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled(spark, sf_dir).transform(features.add_lags)
 
@@ -258,7 +331,9 @@ def part_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lease_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lease_index(spark, sf_dir).transform(manifest.with_lease_id)
+    """The lease of every URL of the index, whatever its year."""
+    index = given.lease_index(spark, sf_dir).transform(dedup.keep_first, ["URL"], POSITION)
+    return index.drop(given.POSITION).transform(manifest.with_lease_id)
 
 
 def page_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,10 +366,36 @@ def lease_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Jobs: each writes its stage tables to fresh directories and returns the last one
 
 
+def write_index(spark: SparkSession, sf_dir: str) -> str:
+    index = stages.scratch_dir(spark, "index")
+    rows = given.lease_index(spark, sf_dir).repartitionByRange(given.POSITION)
+    rows = rows.sortWithinPartitions(given.POSITION).drop(given.POSITION)
+    rows.write.option("header", True).csv(index)
+    return index
+
+
+def acquire_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest as the job writes it, from an index in CSV and no landed files."""
+    names = ["raw", "pages", "manifest"]
+    paths = jobs.Paths(
+        lease_index=write_index(spark, sf_dir), **{name: stages.scratch_dir(spark, name) for name in names}
+    )
+    stages.write_stage(given.lease_pages(spark, sf_dir), paths.pages)
+    jobs.acquire(spark, paths, SETTINGS)
+    for directory in (paths.lease_index, paths.pages):
+        stages.drop_dir(spark, directory)
+    return stages.read_stage(spark, paths.manifest)
+
+
 def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the dictionary file, from files whose rows end at any line end."""
     interim = stages.scratch_dir(spark, "interim")
-    paths = jobs.Paths(raw=files_with_three_headers(spark, sf_dir), interim=interim)
-    jobs.ingest(spark, paths, SETTINGS)
+    paths = jobs.Paths(
+        dictionary=monthly_dictionary(spark), raw=files_with_three_headers(spark, sf_dir), interim=interim
+    )
+    jobs.ingest(spark, paths, replace(SETTINGS, quoted_breaks=False))
+    for directory in (paths.dictionary, paths.raw):
+        stages.drop_dir(spark, directory)
     return stages.read_stage(spark, interim).drop(raw.SOURCE_FILE, raw.SOURCE_POS)
 
 
@@ -304,15 +405,17 @@ def transform_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stages.write_stage(typed_rows(spark, sf_dir), paths.interim)
     jobs.transform(spark, paths, SETTINGS)
-    return stages.read_stage(spark, paths.processed).drop(raw.SOURCE_FILE)
+    stages.drop_dir(spark, paths.interim)
+    return stages.read_panel(spark, paths.processed).drop(raw.SOURCE_FILE)
 
 
 def features_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = jobs.Paths(
         processed=stages.scratch_dir(spark, "processed"), features=stages.scratch_dir(spark, "features")
     )
-    stages.write_stage(filled(spark, sf_dir), paths.processed)
+    stages.write_panel(filled(spark, sf_dir), paths.processed)
     jobs.features(spark, paths, SETTINGS)
+    stages.drop_dir(spark, paths.processed)
     return stages.read_stage(spark, paths.features)
 
 
@@ -320,23 +423,22 @@ def all_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files to features in one plan, without stage tables between."""
     rows = raw.ingest_rows(spark, files_in_order(spark, sf_dir), monthly_schema(), given.MIN_YEAR)
     position = [raw.SOURCE_FILE, raw.SOURCE_POS]
-    panel = jobs.transform_rows(rows, position, SETTINGS).drop(raw.SOURCE_FILE)
+    panel = jobs.transform_rows(rows, position, monthly_schema(), SETTINGS).drop(raw.SOURCE_FILE)
     return panel.transform(features.add_features)
 
 
 def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four stages over stage tables."""
-    index = stages.scratch_dir(spark, "index")
-    rows = given.lease_index(spark, sf_dir).drop(given.POSITION)
-    rows.write.option("header", True).csv(index)
     names = ["pages", "manifest", "interim", "processed", "features"]
     paths = jobs.Paths(
-        lease_index=index,
+        lease_index=write_index(spark, sf_dir),
         raw=files_in_order(spark, sf_dir),
         **{name: stages.scratch_dir(spark, name) for name in names},
     )
     stages.write_stage(given.lease_pages(spark, sf_dir), paths.pages)
     jobs.run(spark, paths, settings=SETTINGS)
+    for directory in (paths.lease_index, paths.raw, paths.pages, paths.interim, paths.processed):
+        stages.drop_dir(spark, directory)
     return stages.read_stage(spark, paths.features).drop(raw.SOURCE_FILE)
 
 
@@ -344,7 +446,16 @@ def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given.raw_panel(spark, sf_dir).transform(quality.out_of_bounds)
+    """On volumes, ratios and shares, some of each out of bounds."""
+    rows = given.raw_panel(spark, sf_dir).withColumns(
+        {
+            "gor": F.expr("double(case when o_orderkey % 41 = 0 then -1.5 when o_orderkey % 5 > 0 then 2 end)"),
+            "water_cut": F.expr(
+                "double(case o_orderkey % 37 when 0 then 1.5 when 1 then -0.5 when 2 then 1 when 3 then null else 0 end)"
+            ),
+        }
+    )
+    return rows.transform(quality.out_of_bounds)
 
 
 def dq_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -353,8 +464,9 @@ def dq_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_monotone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """On volumes that were never bounded, where negative months make totals fall."""
-    rows = reported(spark, sf_dir).transform(features.add_cumulative)
-    return rows.transform(quality.not_monotone)
+    water = F.expr("case when month(production_date) % 4 = 0 then -1.0 else PRODUCTION end")
+    rows = reported(spark, sf_dir).withColumn("WATER", water)
+    return rows.transform(features.add_cumulative, WITH_WATER).transform(quality.not_monotone, WITH_WATER)
 
 
 def dq_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,11 +479,20 @@ def dq_zero_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_spot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.spot_check(reported(spark, sf_dir), filled(spark, sf_dir))
+    """One key in three, as the sample's rule has it."""
+    return quality.spot_check(reported(spark, sf_dir), filled(spark, sf_dir), one_in=3)
 
 
 def dq_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.row_counts(cleaned(spark, sf_dir), POSITION)
+    return quality.row_counts(cleaned(spark, sf_dir))
+
+
+def file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months out of order in files that follow the order keys."""
+    directory = stages.scratch_dir(spark, "stage")
+    rows = cleaned(spark, sf_dir).repartitionByRange(given.POSITION)
+    stages.write_stage(rows.sortWithinPartitions(given.POSITION), directory)
+    return quality.out_of_order(spark, directory).select("LEASE_KID", "production_date")
 
 
 def dq_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,6 +505,11 @@ QUERIES: dict[str, Query] = {
         lease_index,
         raw_scan,
         union_files,
+        source_files,
+        dictionary_scan,
+        clamped_files,
+        entity_layout,
+        schema_drift,
         stage_roundtrip,
         file_integrity,
         typed_cast,
@@ -408,6 +534,7 @@ QUERIES: dict[str, Query] = {
         water_cut,
         decline_rate,
         rolling,
+        rolling_water,
         lag_features,
         features_all,
         features_product,
@@ -417,6 +544,7 @@ QUERIES: dict[str, Query] = {
         download_links,
         pending_files,
         lease_manifest,
+        acquire_job,
         ingest_job,
         transform_job,
         features_job,
@@ -429,6 +557,7 @@ QUERIES: dict[str, Query] = {
         dq_zero_null,
         dq_spot,
         dq_rowcount,
+        file_order,
         dq_category,
     ]
 }

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DICTIONARY_COLUMNS = ["column", "description", "dtype", "nullable", "categories"]
@@ -49,7 +50,7 @@ def build_schema(rows: Iterable[tuple[str, str, str, str]]) -> T.StructType:
     fields = []
     for name, label, nullable, categories in rows:
         if label not in TYPES:
-            raise ValueError(f"unknown dtype label '{label}' for column '{name}'")
+            raise ValueError(f"column '{name}' is declared as '{label}', which is no known type")
         declared = [c.strip() for c in categories.split("|") if c.strip()]
         metadata = {"dtype": label, "required": nullable == "no", "categories": declared}
         fields.append(T.StructField(name, TYPES[label], True, metadata))
@@ -64,14 +65,26 @@ def archive_schema() -> T.StructType:
     return build_schema(ARCHIVE)
 
 
-def load_dictionary(spark: SparkSession, path: str) -> list[dict[str, str]]:
-    """Dictionary file to rows of texts, blanks kept as ``""``. One row per column of the data."""
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """Dictionary file as a table of texts, blanks kept as ``""``."""
     table = spark.read.csv(path, header=True, escape='"', multiLine=True)
     missing = [c for c in DICTIONARY_COLUMNS if c not in table.columns]
     if missing:
         raise ValueError(f"data dictionary lacks columns: {missing}")
-    rows = table.select(*DICTIONARY_COLUMNS).na.fill("").collect()
-    return [row.asDict() for row in rows]
+    return table.select(*DICTIONARY_COLUMNS).na.fill("")
+
+
+def with_types(dictionary: DataFrame) -> DataFrame:
+    """Adds ``spark_type``, the type of each declared column; null for an unknown label."""
+    kind = F.lit(None).cast("string")
+    for label, declared in TYPES.items():
+        kind = F.when(F.col("dtype") == label, declared.simpleString()).otherwise(kind)
+    return dictionary.withColumn("spark_type", kind)
+
+
+def load_dictionary(spark: SparkSession, path: str) -> list[dict[str, str]]:
+    """The rows of a dictionary file. One row per column of the data."""
+    return [row.asDict() for row in read_dictionary(spark, path).collect()]
 
 
 def load_schema(spark: SparkSession, path: str) -> T.StructType:

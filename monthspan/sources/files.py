@@ -1,8 +1,4 @@
-"""Looking at files without reading them whole: listing, header lines, Parquet footers.
-
-These run as Spark jobs over the list of files; each task opens its files and reads only the first
-line or the footer.
-"""
+"""Looking at files without reading them whole: listing, names, Parquet footers."""
 
 from __future__ import annotations
 
@@ -14,33 +10,51 @@ import pandas as pd
 import pyarrow.fs
 import pyarrow.parquet
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 16
+
+def file_name() -> Column:
+    """The base name of a scanned row's file, as it is written on disk.
+
+    The scan's own column holds it percent-encoded; a plus sign there is a plus sign.
+    """
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded)
 
 
 def list_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     """Non-empty files as (path, file_name, length); no content is read.
 
-    Raises FileNotFoundError when the directory holds no such file.
+    Raises FileNotFoundError when the directory holds no such file, and ValueError when one of them
+    begins with an underscore or a dot: Spark's readers pass over such files, and leaving out rows
+    without a word would be worse than stopping.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    if hidden := _hidden(spark, directory, pattern):
+        raise ValueError(f"Spark does not read files whose names begin like this one: {hidden}")
     try:
-        files = reader.load(directory).select("path", "length")
+        files = reader.load(directory).select("path", "length", file_name().alias("file_name"))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no directory {directory}") from error
         raise
     if files.isEmpty():
         raise FileNotFoundError(f"no {pattern} files in {directory}")
-    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
+    return files.select("path", "file_name", "length")
 
 
-def with_first_line(files: DataFrame) -> DataFrame:
-    """Add ``first_line``, the text up to the first line end, to a listing."""
-    schema = f"{_ddl(files)}, first_line string"
-    return files.mapInPandas(lambda batches: _map_paths(batches, "first_line", _first_line), schema)
+def _hidden(spark: SparkSession, directory: str, pattern: str) -> str | None:
+    """A file of the pattern that Spark would pass over; only the names of such files are listed."""
+    if pattern == "*":
+        return None  # includes the marks that Spark itself leaves in its directories
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    directory = hadoop.Path(directory)
+    system = directory.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not system.exists(directory) or not system.getFileStatus(directory).isDirectory():
+        return None
+    found = system.globStatus(hadoop.Path(directory, "[_.]" + pattern))
+    return found[0].getPath().toString() if found else None
 
 
 def with_parquet_schema(files: DataFrame) -> DataFrame:
@@ -72,14 +86,6 @@ def _open(path: str) -> Any:
     return system.open_input_file(inner)
 
 
-def _first_line(path: str) -> str:
-    head = b""
-    with _open(path) as handle:
-        while b"\n" not in head and (chunk := handle.read(CHUNK)):
-            head += chunk
-    return head.split(b"\n", 1)[0].decode("utf-8-sig", errors="replace").rstrip("\r")
-
-
 def _footer(path: str) -> str:
     with _open(path) as handle:
         return str(pyarrow.parquet.read_schema(handle).remove_metadata())

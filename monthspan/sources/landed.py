@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from monthspan.operators.dedup import keep_first
 from monthspan.panel import DEFAULT_MIN_YEAR, col
-from monthspan.sources.files import list_files
-from monthspan.sources.raw import PATTERN, SPLIT_ABOVE, keep_from_year, readable_in_pieces
+from monthspan.sources.files import file_name, list_files
+from monthspan.sources.raw import PATTERN, keep_from_year
 
 INDEX_POS = "index_pos"
 
 
-def read_lease_index(spark: SparkSession, path: str) -> DataFrame:
-    """Index file, every column text, plus the row's place in it."""
-    files = list_files(spark, path, "*")
-    in_pieces = readable_in_pieces(spark, files, SPLIT_ABOVE)
-    whole = files.count() != len(in_pieces)
-    index = spark.read.csv(path, header=True, escape='"', multiLine=whole)
+def read_lease_index(spark: SparkSession, path: str, quoted_breaks: bool = False) -> DataFrame:
+    """Index file, every column text, plus the row's place in it.
+
+    All parts have one header. They are read in parallel pieces, unless ``quoted_breaks`` says that
+    cells in quotes may hold line breaks: each part is then read by one task.
+    """
+    index = spark.read.csv(path, header=True, escape='"', multiLine=quoted_breaks)
     place = F.struct(
         F.col("_metadata.file_path"),
         F.col("_metadata.file_block_start"),
@@ -50,18 +51,18 @@ def not_landed(manifest: DataFrame, landed: DataFrame) -> DataFrame:
 def file_lines(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Lines of all landed files, read in parallel pieces."""
     lines = spark.read.option("pathGlobFilter", PATTERN).text(raw_dir)
-    return lines.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line"))
+    return lines.select(file_name().alias("file_name"), F.col("value").alias("line"))
 
 
 def integrity(expected: DataFrame, lines: DataFrame) -> DataFrame:
     """One row per expected file: is it there with content, valid UTF-8, with a row after the header?
 
-    Spark lists no empty files, so the expected names must come from elsewhere; a name without
+    Blank lines are no content and no rows. Spark lists no empty files, so the expected names must come from elsewhere; a name without
     lines is an empty or absent file. A line end cannot lie inside a UTF-8 character, so a file is
     valid exactly when all its lines are, and no file has to fit into one task.
     """
     checked = lines.groupBy("file_name").agg(
-        F.count("*").alias("lines"), F.bool_and(F.is_valid_utf8("line")).alias("utf8")
+        F.count_if(F.trim("line") != "").alias("lines"), F.bool_and(F.is_valid_utf8("line")).alias("utf8")
     )
     joined = expected.select("file_name").distinct().join(checked, "file_name", "left")
     n = F.coalesce(col("lines"), F.lit(0))

@@ -1,77 +1,163 @@
-"""Raw monthly files: CSV texts whose headers differ from file to file."""
+"""Raw monthly files: CSV texts whose headers differ from file to file.
 
-from __future__ import annotations
+LF, CRLF and a lone CR end a row outside quotes, whatever a file's size or its other rows look like. A
+quote has a meaning only where a cell begins; inside, a doubled quote is a quote.
+"""
 
-import csv
-import logging
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthspan.functions import casts
 from monthspan.functions.months import is_from_year
 from monthspan.panel import DEFAULT_MIN_YEAR, col
-from monthspan.sources.files import list_files, with_first_line
+from monthspan.sources.files import file_name, list_files
 
-logger = logging.getLogger(__name__)
 PATTERN = "*.txt"
 SOURCE_FILE = "source_file"
 # Where a row stood in its file. Stage tables are unordered, so "first" needs a value to sort by.
 SOURCE_POS = "source_pos"
-SPLIT_ABOVE = 256 * 1024 * 1024
+
+# A cell in quotes, and one that may hold line breaks there; possessive, so that no text is tried twice.
+_QUOTED = r'"(?:[^"]++|"")*+"'
+_CELL = rf"((?:{_QUOTED})?+[^,]*+)"
+_ROW = r"{cell}(?:,{cell})*+".format(cell=rf"(?:(?:{_QUOTED})?+[^,\r\n]*+)")
+# A character that no text has: what is separated by it is a whole line.
+_NO_CHARACTER = "\uffff"
 
 
 def scan_raw(
-    spark: SparkSession, raw_dir: str, schema: T.StructType, split_above: int = SPLIT_ABOVE
+    spark: SparkSession, raw_dir: str, schema: T.StructType, quoted_breaks: bool = True
 ) -> DataFrame:
     """All raw rows as texts: the schema's columns in order, then source_file and source_pos.
 
-    Files are grouped by header line and each group is one scan, because one scan over differing
-    headers would put values into the wrong columns. Columns that the schema does not name are
-    dropped; nullable columns that a file lacks are null; a file lacking a required column is an
-    error.
+    Each row is read by its own file's header. Columns that the schema does not name are dropped;
+    nullable columns that a file lacks are null; a file lacking a required column is an error, and so
+    is a row with more cells than its header, blank ones included. Blank lines count for nothing.
 
-    Line breaks inside quotes are honoured by reading a file in one piece. A file longer than
-    ``split_above`` is instead read in parallel pieces, provided that it has no such line breaks.
+    With ``quoted_breaks`` a cell in quotes may hold line breaks: a file is then read in one piece, by
+    one task that holds it in memory. Without, every line end ends a row and files are read in
+    parallel pieces of any size; the headers are looked up first, in a pass over the files' beginnings.
+    Files without such cells give the same rows either way.
     """
-    files = with_first_line(list_files(spark, raw_dir, PATTERN))
-    headers = {
-        row["first_line"]: row
-        for row in files.groupBy("first_line")
-        .agg(F.min("path").alias("example"), F.max("length").alias("longest"))
-        .collect()  # one row per distinct header
-    }
-    for line, row in headers.items():
-        _check_required(parse_header(line), schema, row["example"])
-    if len(headers) == 1 and all(r["longest"] <= split_above for r in headers.values()):
-        return _scan(spark, [raw_dir], parse_header(next(iter(headers))), schema, in_pieces=False)
-
-    in_pieces = readable_in_pieces(spark, files, split_above)
-    # One short row per file: the same list that Spark's own file index keeps on the driver.
-    groups: dict[tuple[str, bool], list[str]] = {}
-    for row in files.select("path", "first_line").collect():
-        key = (row["first_line"], row["path"] in in_pieces)
-        groups.setdefault(key, []).append(row["path"])
-    scans = [
-        _scan(spark, sorted(paths), parse_header(line), schema, pieces)
-        for (line, pieces), paths in sorted(groups.items())
+    list_files(spark, raw_dir, PATTERN)  # an error without files
+    rows = _whole_files(spark, raw_dir, schema) if quoted_breaks else _lines(spark, raw_dir, schema)
+    too_long = F.concat(F.lit("row with more cells than its header, in "), F.col("_file"))
+    fits = F.when(F.size("_cells") <= F.col("_width"), F.lit(True))
+    rows = rows.filter(fits.otherwise(F.raise_error(too_long).cast("boolean")))
+    values = [
+        F.nullif(F.get("_cells", F.get("_places", F.lit(i)) - 1), F.lit("")) for i in range(len(schema))
     ]
-    return reduce(DataFrame.unionByName, scans)
+    return rows.select(
+        *[value.alias(f.name, metadata=f.metadata) for f, value in zip(schema, values)],
+        F.col("_file").alias(SOURCE_FILE),
+        F.struct(F.col("_block").alias("block"), F.col("_row").alias("row")).alias(SOURCE_POS),
+    )
+
+
+def split_cells(line: Column) -> Column:
+    """A row's cells, quotes removed."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f",{_CELL}"), F.lit(1))
+    return F.when(F.contains(line, F.lit('"')), F.transform(cells, _unquoted)).otherwise(cells)
+
+
+def _unquoted(cell: Column) -> Column:
+    inside = F.regexp_extract(cell, f"^(?:{_QUOTED})", 0)
+    behind = F.substring(cell, F.length(inside) + 1, F.length(cell))
+    inside = F.substring(inside, F.lit(2), F.greatest(F.length(inside) - 2, F.lit(0)))
+    return F.concat(F.replace(inside, F.lit('""'), F.lit('"')), behind)
+
+
+def _placed(header: Column, schema: T.StructType) -> tuple[Column, Column]:
+    """For a header's cells, the place of each of the schema's columns (0: absent) and their number.
+
+    A repeated name counts only the first time.
+    """
+    places = F.array(*[F.array_position(header, f.name) for f in schema])
+    return places, F.size(header)
 
 
-def parse_header(line: str) -> list[str]:
-    """Header line to column names; a repeated name counts only the first time."""
-    names = next(csv.reader([line]), [])
-    return [n if n not in names[:i] else f"{n}.{i}" for i, n in enumerate(names)]
+def _checked(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """An error for a file whose header lacks a required column."""
+    required = [(i, f.name) for i, f in enumerate(schema) if f.metadata.get("required")]
+    held = F.lit(True)
+    for i, name in required:
+        message = F.concat(F.lit(f"required column '{name}' is absent from "), F.col("_file"))
+        present = F.get("_places", F.lit(i)) > 0
+        held = held & F.when(present, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return rows.filter(held)
+
+
+def _header(line: Column) -> Column:
+    return split_cells(F.regexp_replace(line, "^\ufeff", ""))
+
+
+def _whole_files(spark: SparkSession, raw_dir: str, schema: T.StructType) -> DataFrame:
+    texts = spark.read.option("pathGlobFilter", PATTERN).text(raw_dir, wholetext=True)
+    found = F.regexp_extract_all("value", F.lit(_ROW), F.lit(0))
+    rows = texts.select(
+        file_name().alias("_file"), F.filter(found, lambda row: F.trim(row) != "").alias("_rows")
+    )
+    rows = rows.filter(F.size("_rows") > 0)
+    rows = rows.select("_file", "_rows", _header(F.get("_rows", F.lit(0))).alias("_header"))
+    places, width = _placed(F.col("_header"), schema)
+    rows = _checked(rows.select("_file", "_rows", places.alias("_places"), width.alias("_width")), schema)
+    rows = rows.select("_file", "_places", "_width", F.posexplode("_rows").alias("_row", "_line"))
+    return rows.filter("_row > 0").select(
+        "_file",
+        "_places",
+        "_width",
+        F.lit(0).cast("bigint").alias("_block"),
+        F.col("_row").cast("bigint").alias("_row"),
+        split_cells(F.col("_line")).alias("_cells"),
+    )
+
+
+def _lines(spark: SparkSession, raw_dir: str, schema: T.StructType) -> DataFrame:
+    reader = spark.read.option("pathGlobFilter", PATTERN)
+    block = F.col("_metadata.file_block_start")
+    path = F.col("_metadata.file_path")
+    starts = reader.text(raw_dir).filter(block == 0).select(
+        path.alias("_path"),
+        file_name().alias("_file"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.col("value").alias("_line"),
+    )
+    first = starts.filter(F.trim("_line") != "").groupBy("_path", "_file").agg(
+        F.min_by("_line", "_row").alias("_line")
+    )
+    headers = first.select("_path", "_file", _header(F.col("_line")).alias("_header"))
+    places, width = _placed(F.col("_header"), schema)
+    headers = headers.select("_path", "_file", places.alias("_places"), width.alias("_width"))
+    # The CSV source leaves each file's first line out, whatever pieces the file is read in.
+    lines = reader.schema("_line string").options(
+        header=True, sep=_NO_CHARACTER, quote="", enforceSchema=True
+    )
+    rows = lines.csv(raw_dir).select(
+        path.alias("_path"),
+        block.alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.col("_line"),
+    )
+    rows = rows.filter(F.trim("_line") != "").join(_checked(headers, schema), "_path")
+    return rows.select(
+        "_file", "_places", "_width", "_block", "_row", split_cells(F.col("_line")).alias("_cells")
+    )
 
 
 def align_columns(frame: DataFrame, schema: T.StructType, where: str = "input") -> DataFrame:
     """Canonical projection of a table of texts: the schema's columns in its order, the rest
     dropped, absent nullable columns null, absent required columns an error."""
-    _check_required(frame.columns, schema, where)
-    return frame.select(*_canonical({n: col(n) for n in frame.columns}, schema))
+    for field in schema:
+        if field.metadata.get("required") and field.name not in frame.columns:
+            raise ValueError(f"required column '{field.name}' is absent from {where}")
+    present = {name: col(name) for name in frame.columns}
+    absent = F.lit(None).cast("string")
+    return frame.select(
+        *[present.get(f.name, absent).alias(f.name, metadata=f.metadata) for f in schema]
+    )
 
 
 def keep_from_year(
@@ -92,41 +178,14 @@ def ingest_rows(
     raw_dir: str,
     schema: T.StructType,
     min_year: int = DEFAULT_MIN_YEAR,
-    split_above: int = SPLIT_ABOVE,
+    quoted_breaks: bool = True,
 ) -> DataFrame:
     """Raw files to typed rows. The year filter comes first: only kept rows must be castable."""
-    rows = keep_from_year(scan_raw(spark, raw_dir, schema, split_above), min_year)
+    rows = keep_from_year(scan_raw(spark, raw_dir, schema, quoted_breaks), min_year)
     return enforce_types(rows, schema)
 
 
-def readable_in_pieces(spark: SparkSession, files: DataFrame, split_above: int) -> set[str]:
-    """Paths of the long files without a line break inside quotes, so a piece can start at any line.
-
-    Only a file with such a line break has lines with an odd number of quotes.
-    """
-    long = {r["path"] for r in files.filter(F.col("length") > split_above).collect()}
-    if not long:
-        return set()
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    broken = spark.read.text(sorted(long)).filter(quotes % 2 == 1)
-    names = {r[0] for r in broken.select("_metadata.file_name").distinct().collect()}
-    if names:
-        logger.warning("%d long files have quoted line breaks; each is read by one task", len(names))
-    return {path for path in long if path.rsplit("/", 1)[-1] not in names}
-
-
-def _check_required(names: list[str], schema: T.StructType, where: str) -> None:
-    for field in schema:
-        if field.metadata.get("required") and field.name not in names:
-            raise ValueError(f"required column '{field.name}' is absent from {where}")
-
-
-def _canonical(present: dict, schema: T.StructType) -> list:
-    absent = F.lit(None).cast("string")
-    return [present.get(f.name, absent).alias(f.name, metadata=f.metadata) for f in schema]
-
-
-def _typed(field: T.StructField):
+def _typed(field: T.StructField) -> Column:
     text, label = col(field.name), field.metadata["dtype"]
     if label == "int" and field.metadata["required"]:
         value = casts.to_required_int(text, field.name)
@@ -137,37 +196,3 @@ def _typed(field: T.StructField):
     else:
         value = casts.to_text(text)
     return value.alias(field.name, metadata=field.metadata)
-
-
-def _scan(
-    spark: SparkSession, paths: list[str], header: list[str], schema: T.StructType, in_pieces: bool
-) -> DataFrame:
-    # Columns are read by position and named here, exactly as the header spells them. One column
-    # more than the header has shows rows that are too long.
-    positions = [f"c{i}" for i in range(len(header) + 1)]
-    rows = (
-        spark.read.schema(", ".join(f"{p} string" for p in positions))
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", not in_pieces)
-        .option("pathGlobFilter", PATTERN)
-        .csv(paths)
-    )
-    position = F.struct(
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    present = {name: F.col(p) for name, p in zip(header, positions)}
-    surplus = F.col(positions[-1])
-    return rows.filter(_no_surplus(surplus)).select(
-        *_canonical(present, schema),
-        F.col("_metadata.file_name").alias(SOURCE_FILE),
-        position.alias(SOURCE_POS),
-    )
-
-
-def _no_surplus(surplus):
-    message = F.concat(F.lit("row with more cells than its header, in "), F.input_file_name())
-    return F.when(surplus.isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-
-

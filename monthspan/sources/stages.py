@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +49,31 @@ def write_stage(
     _arrange(frame, files, panel).write.mode("overwrite").parquet(directory)
 
 
+def write_panel(frame: DataFrame, directory: str, panel: Panel = Panel()) -> None:
+    """Overwrite a stage table in buckets by entity, in date order inside each bucket.
+
+    What reads it with ``read_panel`` finds each entity in one partition and shuffles nothing. The
+    number of buckets is that of the shuffle that the rows come from, so the write adds none.
+    """
+    spark = frame.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.sql(f"drop table if exists {_table(directory)}")
+    writer = frame.write.mode("overwrite").format("parquet").option("path", directory)
+    keys = [panel.entity, *[k for k in panel.keys if k != panel.entity]]
+    writer.bucketBy(buckets, panel.entity).sortBy(*keys).saveAsTable(_table(directory))
+
+
+def read_panel(spark: SparkSession, directory: str) -> DataFrame:
+    """A stage table with its buckets, where this session's catalog knows them."""
+    if spark.catalog.tableExists(_table(directory)):
+        return spark.table(_table(directory))
+    return read_stage(spark, directory)
+
+
+def _table(directory: str) -> str:
+    return f"monthspan_{hashlib.sha256(directory.encode()).hexdigest()[:24]}"
+
+
 def write_by_entity(frame: DataFrame, directory: str, panel: Panel = Panel()) -> None:
     """One directory per entity, each file holding one entity. Opt-in: it makes many small files."""
     rows = frame.repartition(col(panel.entity)).sortWithinPartitions(*map(col, panel.keys))
@@ -65,6 +89,42 @@ def _arrange(frame: DataFrame, files: int | None, panel: Panel | None) -> DataFr
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh directory under the cluster's shared folder; a temporary one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="monthspan-")
-    return os.path.join(shared, f"{name}-{uuid.uuid4().hex}")
+    """A fresh directory that all machines see: under spark.checkpoint.dir, else in the warehouse.
+
+    A warehouse on the driver's own disk is shared with nobody, so on a cluster that is an error.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        local = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
+        if not local and _is_local(shared):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _is_local(directory: str) -> bool:
+    return directory.startswith(("file:", "/"))
+
+
+def move_files(spark: SparkSession, contents: DataFrame, write, directory: str, first_name: str) -> None:
+    """Write files to a directory of their own, name the first one, and move them all together.
+
+    Only names pass the driver, those of one call's files.
+    """
+    apart = f"{directory}-{uuid.uuid4().hex}"
+    write(contents, apart)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(apart), hadoop.Path(directory)
+    system = source.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    system.mkdirs(target)
+    found = sorted(s.getPath().getName() for s in system.globStatus(hadoop.Path(source, "part-*")))
+    for i, name in enumerate(found):
+        # A one-part path: the name is taken as it is written, special characters included.
+        system.rename(hadoop.Path(source, name), hadoop.Path(target, name if i else first_name))
+    system.delete(source, True)
+
+
+def drop_dir(spark: SparkSession, directory: str) -> None:
+    """Remove a scratch directory that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

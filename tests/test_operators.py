@@ -269,3 +269,35 @@ def test_chain_equals_the_model(spark, seed, partitions):
     for mine, model in zip(made, model_features(expected)):
         for name, value in model.items():
             assert mine[name] == (None if value is None else pytest.approx(value, rel=1e-9)), name
+
+
+def test_a_gap_beyond_a_thousand_years_is_an_error(spark):
+    rows = spark.createDataFrame(
+        [(1, dt.date(1, 1, 1), 1.0, "O"), (1, dt.date(2000, 1, 1), 2.0, "O")],
+        "LEASE_KID bigint, production_date date, PRODUCTION double, PRODUCT string",
+    )
+    with pytest.raises(PySparkException, match="a gap of more than 12000 months"):
+        calendar.fill_date_gaps(rows).collect()
+
+
+def test_products_have_windows_of_their_own(spark):
+    rows = panel(spark, [(m, v, p) for m in (1, 2, 3) for p, v in (("O", 10 * m), ("G", 100 * m))])
+    made = features.add_features(rows, BY_PRODUCT)
+    oil_rows, gas_rows = (made.filter(f"PRODUCT = '{p}'") for p in "OG")
+    assert values(oil_rows, "cum_oil") == [10, 30, 60] and values(gas_rows, "cum_gas") == [100, 300, 600]
+    assert values(oil_rows, "rolling_3m_oil") == [None, None, 20]
+    assert values(gas_rows, "rolling_3m_gas") == [None, None, 200]
+    assert values(gas_rows, "lag1_gas") == [None, 100, 200]
+    assert values(gas_rows, "decline_rate") == [None, 1.0, 0.5]
+    assert values(made, "gor") == [10.0] * 6
+    mixed = features.add_features(rows)
+    assert values(mixed.filter("PRODUCT = 'O'"), "rolling_3m_oil") == [None] * 3
+
+
+def test_water_has_averages_and_a_lag(spark):
+    rows = oil(spark, 1, 2, 3, 4).selectExpr("*", "PRODUCTION * 2 as WATER")
+    made = features.add_features(rows, Panel(water="WATER"))
+    assert values(made, "rolling_3m_water") == [None, None, 4.0, 6.0]
+    assert values(made, "rolling_6m_water") == [None] * 4
+    assert values(made, "lag1_water") == [None, 2.0, 4.0, 6.0]
+    assert made.columns[-3:] == features.WATER_FEATURES

@@ -9,7 +9,8 @@ from tests.helpers import oil
 
 SF = "/root/testdata/sf0.001"
 LAZY = [n for n in QUERIES if n not in {
-    "raw_scan", "union_files", "stage_roundtrip", "ingest_job", "transform_job", "features_job", "whole_run",
+    "raw_scan", "union_files", "source_files", "dictionary_scan", "clamped_files", "entity_layout", "schema_drift",
+    "file_order", "stage_roundtrip", "acquire_job", "ingest_job", "transform_job", "features_job", "whole_run",
     "all_stages",
 }]
 
@@ -31,6 +32,13 @@ def test_two_shuffles_for_the_whole_chain(spark):
     assert "Exchange hashpartitioning(LEASE_KID" in plan
 
 
+@pytest.mark.parametrize("name", ["features_product", "ratio_features", "fill_date_gaps_product"])
+def test_two_shuffles_by_product(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    assert plan.count("Exchange ") == 2
+    assert "Exchange hashpartitioning(LEASE_KID#" in plan
+
+
 def test_features_after_gap_filling_add_no_shuffle(spark):
     filled = calendar.fill_date_gaps(oil(spark, 1, 2))
     assert plan_of(filled).count("Exchange ") == 1

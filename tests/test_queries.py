@@ -1,8 +1,15 @@
 """Every query against its SQL on the smallest tables."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from monthspan.plans.oracles import ORACLES
+from monthspan.plans.queries import QUERIES
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
@@ -14,7 +21,8 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
@@ -23,9 +31,19 @@ def test_entry(spark):
     assert frame.columns[-12:][0] == "cum_oil"
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, db, name):
-    assert difference(queries()[name](spark, SF), db, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SF), db, ORACLES[name]) is None
+
+
+def test_everything_works_without_the_queries_for_training_data(tmp_path):
+    """The subpackage and the pipeline may be absent."""
+    root = Path(__file__).parent.parent
+    shutil.copytree(root / "monthspan", tmp_path / "monthspan", ignore=shutil.ignore_patterns("llm"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    told = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert told.stdout.split() == [str(len(QUERIES))] * 2
 
 
 @pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kathmandu", "Pacific/Apia"])
@@ -44,3 +62,24 @@ def test_scratch_tables_go_to_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(shared) and first != second
+
+
+def test_scratch_tables_without_a_shared_folder(spark, monkeypatch):
+    """The warehouse serves instead, unless it lies on one machine of several."""
+    from monthspan.sources import stages
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    get = spark.conf.get
+    monkeypatch.setattr(
+        type(spark.conf), "get", lambda _, key, *d: d[0] if key == "spark.checkpoint.dir" else get(key, *d)
+    )
+    try:
+        assert stages.scratch_dir(spark, "x").startswith(warehouse)
+        monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            stages.scratch_dir(spark, "x")
+    finally:
+        monkeypatch.undo()
+        spark.conf.set("spark.checkpoint.dir", shared)

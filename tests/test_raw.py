@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ def ingest(spark, directory, **options):
 def test_sample_row(spark, tmp_path):
     write_file(tmp_path, "lp1.txt", [line()])
     row = ingest(spark, tmp_path).first()
-    assert row["LEASE_KID"] == LEASE and row["PRODUCTION"] == 161.8 and row["WELLS"] == 2
+    assert row["LEASE_KID"] == LEASE and row["PRODUCTION"] == 143.5 and row["WELLS"] == 2
     assert row["source_file"] == "lp1.txt"
     assert ingest(spark, tmp_path).columns == [*COLUMNS, "source_file", "source_pos"]
 
@@ -47,8 +48,9 @@ def test_required_column_absent(spark, tmp_path):
     write_file(tmp_path, "lp1.txt", [line()])
     fewer = [c for c in COLUMNS if c != "LEASE_KID"]
     write_file(tmp_path, "lp2.txt", [line(fewer)], fewer)
-    with pytest.raises(ValueError, match="LEASE_KID.*lp2.txt"):
-        ingest(spark, tmp_path)
+    for quoted_breaks in (True, False):
+        with pytest.raises(PySparkException, match="LEASE_KID.*lp2.txt"):
+            ingest(spark, tmp_path, quoted_breaks=quoted_breaks).collect()
 
 
 def test_headers_differ_from_file_to_file(spark, tmp_path):
@@ -60,7 +62,7 @@ def test_headers_differ_from_file_to_file(spark, tmp_path):
     rows = {r["source_file"]: r for r in ingest(spark, tmp_path).collect()}
     assert [rows[f"lp{i}.txt"]["LEASE"] for i in (1, 2, 3)] == ["A", None, "C"]
     assert [rows[f"lp{i}.txt"]["MONTH-YEAR"] for i in (1, 2, 3)] == ["1-2024", "2-2024", "3-2024"]
-    assert rows["lp2.txt"]["LATITUDE"] is None and rows["lp3.txt"]["LATITUDE"] == 39.999519
+    assert rows["lp2.txt"]["LATITUDE"] is None and rows["lp3.txt"]["LATITUDE"] == 38.125
     assert {r["LEASE_KID"] for r in rows.values()} == {LEASE}
     archive = raw.scan_raw(spark, str(tmp_path), archive_schema())
     assert {r["source_file"]: r["URL"] for r in archive.collect()} == {
@@ -82,10 +84,12 @@ def test_quotes_blanks_and_short_rows(spark, tmp_path):
     assert third["LEASE"] == "two\nlines" and third["PRODUCT"] == "G" and third["PRODUCTION"] is None
 
 
-def test_row_longer_than_its_header(spark, tmp_path):
-    write_file(tmp_path, "lp1.txt", [line() + ",surplus"])
-    with pytest.raises(PySparkException, match="more cells"):
-        ingest(spark, tmp_path).collect()
+@pytest.mark.parametrize("surplus", [",surplus", ",", ",,lost"])
+@pytest.mark.parametrize("quoted_breaks", [True, False])
+def test_row_longer_than_its_header(spark, tmp_path, surplus, quoted_breaks):
+    write_file(tmp_path, "lp1.txt", [line() + surplus])
+    with pytest.raises(PySparkException, match="more cells.*lp1.txt"):
+        ingest(spark, tmp_path, quoted_breaks=quoted_breaks).collect()
 
 
 def test_no_files(spark, tmp_path):
@@ -98,26 +102,96 @@ def test_no_files(spark, tmp_path):
         ingest(spark, tmp_path)
 
 
-def test_long_files_are_read_in_pieces_with_the_same_result(spark, tmp_path):
-    lines = [line(LEASE_KID=str(i), LEASE=f'"L, {i}"') for i in range(5000)]
-    write_file(tmp_path, "lp1.txt", lines)
-    write_file(tmp_path, "lp2.txt", [line(LEASE_KID="9", LEASE='"two\nlines"')] * 3)
-    whole = ingest(spark, tmp_path)
+ENDS = {"lf": "\n", "crlf": "\r\n", "cr": "\r"}
+
+
+@pytest.mark.parametrize("header_end", ENDS)
+@pytest.mark.parametrize("row_end", ENDS)
+def test_any_line_end_in_pieces_of_any_size(spark, tmp_path, header_end, row_end):
+    """Both ways of reading, and every size of pieces, give the rows that pandas gives."""
+    lines = [line(LEASE_KID=str(i), LEASE=f'"L, ""{i}"""', PRODUCTION=str(i)) for i in range(600)]
+    lines[7] = line(LEASE_KID="7", LEASE='5" pipe', PRODUCTION="7")
+    text = ",".join(COLUMNS) + ENDS[header_end] + ENDS[row_end].join(lines) + "\n\r\n" + ENDS[row_end]
+    (tmp_path / "lp1.txt").write_bytes(text.encode())
+    wanted = pd.read_csv(tmp_path / "lp1.txt", dtype=str, keep_default_na=False)
+    wanted = [tuple(v or None for v in row) for row in wanted.itertuples(index=False)]
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
-        pieces = ingest(spark, tmp_path, split_above=100)
-        blocks = {r["source_pos"]["block"] for r in pieces.filter("source_file = 'lp1.txt'").collect()}
-        columns = [f"`{c}`" for c in COLUMNS]
-        assert len(blocks) > 3
-        assert pieces.count() == whole.count() == 5003
-        assert pieces.select(columns).exceptAll(whole.select(columns)).count() == 0
-        in_order = pieces.filter("source_file = 'lp1.txt'").orderBy("source_pos").select("LEASE_KID")
-        assert [r[0] for r in in_order.collect()] == list(range(5000))
+        for size, quoted_breaks in (("128m", True), ("128m", False), ("40k", False), ("3001", False)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = raw.scan_raw(spark, str(tmp_path), SCHEMA, quoted_breaks=quoted_breaks)
+            found = [tuple(r)[:20] for r in rows.orderBy("source_file", "source_pos").collect()]
+            assert found == wanted
+            if size == "3001":
+                assert len({r["source_pos"]["block"] for r in rows.collect()}) > 10
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_only_the_option_decides_whether_quotes_hold_line_breaks(spark, tmp_path):
+    write_file(tmp_path, "lp1.txt", [line(LEASE='"two\nlines"')])
+    assert ingest(spark, tmp_path).first()["LEASE"] == "two\nlines"
+    rows = raw.scan_raw(spark, str(tmp_path), SCHEMA, quoted_breaks=False)
+    assert rows.count() == 2
+
+
+@pytest.mark.parametrize("quoted_breaks", [True, False])
+def test_names_that_need_care(spark, tmp_path, quoted_breaks):
+    """Files are read once each, and named as they are on disk."""
+    names = ["lp1.txt", "lp[1].txt", "lp 1.txt", "lp%201.txt", "lp+1.txt", "lp{1,2}.txt", "lp*.txt", "lpé.txt"]
+    fewer = [c for c in COLUMNS if c != "LEASE"]
+    for i, name in enumerate(names):
+        columns = fewer if i % 2 else COLUMNS
+        write_file(tmp_path, name, [line(columns, LEASE_KID=str(i))], columns)
+    rows = ingest(spark, tmp_path, quoted_breaks=quoted_breaks).collect()
+    assert sorted((r["LEASE_KID"], r["source_file"]) for r in rows) == list(enumerate(names))
+
+
+@pytest.mark.parametrize("name", ["_lp1.txt", ".lp1.txt"])
+def test_a_file_that_spark_would_pass_over_is_an_error(spark, tmp_path, name):
+    write_file(tmp_path, "lp2.txt", [line()])
+    write_file(tmp_path, name, [line()])
+    with pytest.raises(ValueError, match=name):
+        ingest(spark, tmp_path)
+
+
+def test_a_byte_order_mark_and_leading_blank_lines(spark, tmp_path):
+    (tmp_path / "lp1.txt").write_text("\ufeff" + ",".join(COLUMNS) + "\n" + line() + "\n")
+    (tmp_path / "lp2.txt").write_text("\n\n" + ",".join(COLUMNS) + "\n" + line() + "\n")
+    (tmp_path / "lp3.txt").write_text(",".join(COLUMNS) + "\n")
+    for quoted_breaks in (True, False):
+        rows = ingest(spark, tmp_path, quoted_breaks=quoted_breaks).collect()
+        assert sorted(r["source_file"] for r in rows) == ["lp1.txt", "lp2.txt"]
+        assert {r["LEASE_KID"] for r in rows} == {LEASE}
+
+
+def test_whole_files_are_read_once_without_a_shuffle(spark, tmp_path):
+    write_file(tmp_path, "lp1.txt", [line()])
+    write_file(tmp_path, "lp2.txt", [line(COLUMNS[::-1])], COLUMNS[::-1])
+    plan = ingest(spark, tmp_path)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize(
+    ("text", "cells"),
+    [
+        ("a,b", ["a", "b"]),
+        ("", [""]),
+        (",", ["", ""]),
+        ('"a,b",c', ["a,b", "c"]),
+        ('"a ""b""",', ['a "b"', ""]),
+        ('5" pipe,x', ['5" pipe', "x"]),
+        ('"a"b,c', ["ab", "c"]),
+        ('"open,c', ['"open', "c"]),
+        (' "a",b', [' "a"', "b"]),
+        ('"",""""', ["", '"']),
+    ],
+)
+def test_cells(spark, text, cells):
+    frame = spark.createDataFrame([(text,)], "line string")
+    assert frame.select(raw.split_cells(frame["line"])).first()[0] == cells
+
+
 def test_align_columns(spark):
     frame = spark.createDataFrame([("1-2024", "O", "7", "x")], ["MONTH-YEAR", "PRODUCT", "LEASE_KID", "more"])
     aligned = raw.enforce_types(raw.align_columns(frame, SCHEMA), SCHEMA)
@@ -126,7 +200,3 @@ def test_align_columns(spark):
     assert aligned.first()["LEASE_KID"] == 7
     with pytest.raises(ValueError, match="PRODUCT"):
         raw.align_columns(frame.drop("PRODUCT"), SCHEMA)
-
-
-def test_header_parsing():
-    assert raw.parse_header('A,"B, C",A,') == ["A", "B, C", "A.2", ""]
