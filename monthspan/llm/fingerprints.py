@@ -134,7 +134,7 @@ def following(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = texts.select("doc_id")
     cuts = ids.stat.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *sorted(set(cuts) or {0.0}), float("inf")]
     texts = texts.withColumn("place", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
     dealt = Bucketizer(splits=splits, inputCol="place", outputCol="range").transform(texts)
     dealt = dealt.select(F.col("range").cast("int").alias("range"), "doc_id", "text")
