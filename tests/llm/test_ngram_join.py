@@ -80,7 +80,7 @@ def test_odd_tables(spark):
 
 
 def test_rows_of_one_id_with_different_texts(spark):
-    texts = near_copies(6, 3)
+    texts = near_copies(6, 3, words=200)
     frame = docs(spark, texts).selectExpr("doc_id % 2 as doc_id", "text")
     found = joined(frame)
     assert [class_id for _, class_id, _ in found] == [0] * 6
