@@ -109,7 +109,7 @@ def test_the_method_adds_what_only_looks_like_it(spark, model):
     texts = [f"Call me: tel +1 (555) 123-4567 or mail zz@mail.example.com today. {clean}", clean]
     rows = {r["doc_id"]: r["spans"] for r in pii.find(docs(spark, texts), model).collect()}
     assert rows[1] == ""
-    assert "phone:14:31" in rows[0]
+    assert {"phone:13:30", "email:39:58"} <= set(rows[0].split(","))
 
 
 def test_overlapping_spans_are_redacted_together(spark):
