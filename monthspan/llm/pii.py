@@ -249,21 +249,30 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
     texts = whole_texts(docs, id_col, text_col).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     rows = texts.select("doc_id", F.col("text").alias("_text"))
     rows = _found(_with_spans(rows, Model()), _CANDIDATES, "_candidate")
-    examples = None
+    known, listed = [], []
     for number, kind in enumerate(KINDS):
         true = F.transform(
             F.filter(F.col("_base"), lambda s: s["kind"] == number),
             lambda s: F.struct(s["start"], s["end"]),
         )
-        part = rows.select("doc_id", true.alias("_true"), F.explode(f"_candidate_{kind}").alias("s"))
-        label = F.array_contains(F.col("_true"), F.struct(F.col("s.start"), F.col("s.end")))
-        part = part.select(
-            F.xxhash64("doc_id", "s.start").alias("_order"),
-            F.lit(number).alias("_kind"),
-            label.cast("double").alias("_label"),
-            _features(number, F.col("s")).alias("_f"),
+        known.append(true.alias(f"_true_{kind}"))
+        example = F.transform(
+            F.col(f"_candidate_{kind}"),
+            lambda s: F.struct(
+                F.lit(number).alias("kind"),
+                s["start"].alias("start"),
+                F.array_contains(F.col(f"_true_{kind}"), F.struct(s["start"], s["end"])).alias("label"),
+                _features(number, s).alias("features"),
+            ),
         )
-        examples = part if examples is None else examples.unionByName(part)
+        listed.append(example)
+    rows = rows.select("doc_id", *[f"_candidate_{kind}" for kind in KINDS], *known)
+    examples = rows.select("doc_id", F.explode(F.concat(*listed)).alias("e")).select(
+        F.xxhash64("doc_id", "e.kind", "e.start").alias("_order"),
+        F.col("e.kind").alias("_kind"),
+        F.col("e.label").cast("double").alias("_label"),
+        F.col("e.features").alias("_f"),
+    )
     columns = [F.get("_f", F.lit(i)).alias(f"_f_{i}") for i in range(N_FEATURES)]
     examples = examples.orderBy("_order").limit(SAMPLE_CANDIDATES)
     examples = saved(examples.select("_order", "_kind", "_label", "_f", *columns), "pii-sample").coalesce(2)
