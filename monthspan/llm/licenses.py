@@ -4,7 +4,7 @@ Texts are cut into overlapping windows of ``WINDOW`` words, ``STEP`` words apart
 ``WORDS`` words lies whole in a window. A window's bands are MinHash values of its word shingles, one
 value each, under ``BANDS`` orders. A window that holds a shingle of a template meets a template window
 in a given band when that shingle comes first in the band's order, one time in n for a window of n
-shingles; of all bands at least one does with probability 1 - (1 - 1/n)^bands, over 99.9% for a single
+shingles; of all bands at least one does with probability 1 - (1 - 1/n)^bands, over 99.998% for a single
 shared shingle and more with each further one. Windows that meet retrieve templates, and a document
 contains a template when the exact containment of the template's shingles in the document reaches
 ``CONTAINMENT``.
@@ -25,7 +25,7 @@ from monthspan.llm.shared import whole_texts
 WORDS = 5
 WINDOW = 6
 STEP = 2
-BANDS = 10
+BANDS = 16
 CONTAINMENT = 0.8
 # Shingles of all templates together at most.
 MOST_SHINGLES = 20_000
