@@ -34,7 +34,7 @@ THRESHOLD = 0.8
 TREES = 20
 DEPTH = 5
 RECALL = 0.9999
-BLOCK = 128
+BLOCK = 256
 
 _SEED = np.random.default_rng(20)
 _FACTORS = _SEED.integers(0, 1 << 31, TREES * DEPTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)

@@ -103,7 +103,8 @@ class Cache(dict):
         return value
 
 
-WORD_HASHES = Cache(lambda word: xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")))
+# A hash is quickly made again, so only frequent words need to be held.
+WORD_HASHES = Cache(lambda word: xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")), 60_000)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

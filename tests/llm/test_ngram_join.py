@@ -46,7 +46,8 @@ def test_documents(spark):
     assert joined(table(spark, "documents")) == plain(rows)
 
 
-def test_a_group_of_many_blocks(spark):
+def test_a_group_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 96)
     texts = near_copies(3 * ngram_join.BLOCK, 1) + near_copies(20, 2) + [f"alone {i} a b c d" for i in range(50)]
     assert joined(docs(spark, texts)) == plain(list(enumerate(texts)))
 
