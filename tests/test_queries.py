@@ -68,18 +68,11 @@ def test_scratch_tables_without_a_shared_folder(spark, monkeypatch):
     """The warehouse serves instead, unless it lies on one machine of several."""
     from monthspan.sources import stages
 
-    shared = spark.conf.get("spark.checkpoint.dir")
-    warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    get = spark.conf.get
+    warehouse, get = spark.conf.get("spark.sql.warehouse.dir"), spark.conf.get
     monkeypatch.setattr(
         type(spark.conf), "get", lambda _, key, *d: d[0] if key == "spark.checkpoint.dir" else get(key, *d)
     )
-    try:
-        assert stages.scratch_dir(spark, "x").startswith(warehouse)
-        monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
-        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-            stages.scratch_dir(spark, "x")
-    finally:
-        monkeypatch.undo()
-        spark.conf.set("spark.checkpoint.dir", shared)
+    assert stages.scratch_dir(spark, "x").startswith(warehouse)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        stages.scratch_dir(spark, "x")
