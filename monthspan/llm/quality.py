@@ -180,4 +180,7 @@ def good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = docs.select(row, F.col(f"`{text_col}`").alias("_text"))
     found, names = described(rows, F.col("_text"), "_row")
-    return found.where(model.score([F.col(n) for n in names]) >= 0.5).select("_row.*")
+    # A filter would be pushed below the statistics and work each of them out once per rule.
+    is_good = model.score([F.col(n) for n in names]) >= 0.5
+    kept = F.explode(F.when(is_good, F.array("_row")).otherwise(F.slice(F.array("_row"), 1, 0)))
+    return found.select(kept.alias("_kept")).select("_kept.*")
