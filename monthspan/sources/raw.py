@@ -104,14 +104,16 @@ def _whole_files(spark: SparkSession, raw_dir: str, schema: T.StructType) -> Dat
     rows = rows.select("_file", "_rows", _header(F.get("_rows", F.lit(0))).alias("_header"))
     places, width = _placed(F.col("_header"), schema)
     rows = _checked(rows.select("_file", "_rows", places.alias("_places"), width.alias("_width")), schema)
-    rows = rows.select("_file", "_places", "_width", F.posexplode("_rows").alias("_row", "_line"))
+    # Cells are cut before rows are spread, once: filters on them are not pushed below that.
+    cells = F.posexplode(F.transform("_rows", split_cells)).alias("_row", "_cells")
+    rows = rows.select("_file", "_places", "_width", cells)
     return rows.filter("_row > 0").select(
         "_file",
         "_places",
         "_width",
         F.lit(0).cast("bigint").alias("_block"),
         F.col("_row").cast("bigint").alias("_row"),
-        split_cells(F.col("_line")).alias("_cells"),
+        "_cells",
     )
 
 
@@ -142,9 +144,9 @@ def _lines(spark: SparkSession, raw_dir: str, schema: T.StructType) -> DataFrame
         F.col("_line"),
     )
     rows = rows.filter(F.trim("_line") != "").join(_checked(headers, schema), "_path")
-    return rows.select(
-        "_file", "_places", "_width", "_block", "_row", split_cells(F.col("_line")).alias("_cells")
-    )
+    # Spread from an array of one, so that filters on the cells don't cut them again.
+    cells = F.explode(F.array(split_cells(F.col("_line")))).alias("_cells")
+    return rows.select("_file", "_places", "_width", "_block", "_row", cells)
 
 
 def align_columns(frame: DataFrame, schema: T.StructType, where: str = "input") -> DataFrame:
