@@ -30,7 +30,10 @@ CELLS = 4096
 SAMPLE = 40_000
 ROUNDS = 8
 SPREAD = 5.0
-BLOCK = 512
+BLOCK = 4096
+# Rows of a product, and pairs, that are held at once.
+_TILE = 512
+_PAIRS = 1 << 14
 _KEYS = ["size_of", "cell"]
 
 
@@ -193,31 +196,36 @@ def _links(nodes: DataFrame, centroids: dict[int, np.ndarray], threshold: float)
 
 def _compared(cell: pa.Table, threshold: float) -> list[tuple]:
     units = _matrix(cell.column("unit"))
-    near = np.triu(units @ units.T >= threshold, 1)
-    if cell.column("lo")[0].as_py() != cell.column("hi")[0].as_py():
-        own = cell.column("own").to_numpy()
-        near &= own[:, None] != own[None, :]
-    left, right = np.nonzero(near)
-    if not len(left):
-        return []
-    earlier = _earlier(cell.column("cells").to_pylist(), cell.column("cell")[0].as_py())
-    if earlier.shape[1]:
-        met = (earlier @ earlier.T)[left, right] > 0
-        left, right = left[~met], right[~met]
     n = len(units)
+    across = cell.column("lo")[0].as_py() != cell.column("hi")[0].as_py()
+    own = cell.column("own").to_numpy()
     weights = cell.column("weight").to_numpy()
-    links = np.bincount(left, weights=weights[right], minlength=n)
-    links = (links + np.bincount(right, weights=weights[left], minlength=n)).astype(np.int64)
-    roots = least_reached(n, left, right)
+    earlier = _earlier(cell.column("cells").to_pylist(), cell.column("cell")[0].as_py())
+    links, least = np.zeros(n), np.arange(n)
+    for start in range(0, n, _TILE):
+        near = np.triu(units[start : start + _TILE] @ units[start:].T >= threshold, 1)
+        if across:
+            near &= own[start : start + _TILE, None] != own[None, start:]
+        left, right = (places + start for places in np.nonzero(near))
+        first = [np.empty(0, dtype=bool)]
+        for k in range(0, len(left), _PAIRS):
+            i, j = left[k : k + _PAIRS], right[k : k + _PAIRS]
+            first.append(~(earlier[i] & earlier[j]).any(axis=1))
+        first = np.concatenate(first)
+        left, right = left[first], right[first]
+        links += np.bincount(left, weights=weights[right], minlength=n)
+        links += np.bincount(right, weights=weights[left], minlength=n)
+        if len(left):
+            least = least_reached(n, np.append(left, np.arange(n)), np.append(right, least))
     ids = cell.column("node").to_pylist()
-    return [(ids[i], links[i], ids[roots[i]]) for i in np.flatnonzero(links)]
+    return [(ids[i], int(links[i]), ids[least[i]]) for i in np.flatnonzero(links)]
 
 
 def _earlier(cells: list[list[int]], cell: int) -> np.ndarray:
     """Which of the cells before this one each member also belongs to."""
     before = sorted({c for held in cells for c in held if c < cell})
     places = {c: i for i, c in enumerate(before)}
-    member = np.zeros((len(cells), len(before)), dtype=np.float32)
+    member = np.zeros((len(cells), len(before)), dtype=bool)
     for row, held in enumerate(cells):
-        member[row, [places[c] for c in held if c < cell]] = 1
+        member[row, [places[c] for c in held if c < cell]] = True
     return member
