@@ -29,7 +29,7 @@ PER_CELL = 256
 CELLS = 4096
 SAMPLE = 40_000
 ROUNDS = 8
-SPREAD = 5.0
+SPREAD = 3.0
 BLOCK = 4096
 # Rows of a product, and pairs, that are held at once.
 _TILE = 512
