@@ -1,12 +1,14 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products within cells.
 
-Centroids are fitted on a bounded sample and assign every vector to its nearest cell and to all cells
-that are nearly as near: two vectors of the wanted cosine differ by a vector of known length, whose
-part along the line between two centroids is ``SPREAD`` standard deviations at most (of a random
-direction), and each of the two bears half of it. Vectors that share a cell are compared by exact
-cosines; a pair counts in the first cell that it shares. Cells of many vectors are compared in pairs
-of blocks, equal vectors are one node with a weight, and a task passes on sums per vector and a
-spanning forest of its links. One representative per group of linked vectors is kept.
+Centroids are fitted on a bounded sample. Every vector is at home in its nearest cell and visits all
+cells that are nearly as near: two vectors of the wanted cosine differ by a vector of known length, and
+the border between their homes lies between them, so at least one of the two is within half that length
+of it and visits the other's home. No pair is missed, whatever the
+vectors' directions and the number of cells. A cell's vectors are compared by exact cosines with each
+other and with its visitors, visitors not among themselves; a pair that meets in two cells counts in
+the first. Cells of many vectors are compared in pairs of blocks, equal vectors are one node with a
+weight, and a task passes on sums per vector and a spanning forest of its links. One representative
+per group of linked vectors is kept.
 """
 
 from __future__ import annotations
@@ -19,22 +21,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthspan.llm.graph import blocked, components, least_reached, together
+from monthspan.llm.graph import components, least_reached, together
 from monthspan.llm.shared import runs, saved, slices
 
 THRESHOLD = 0.9
 # Vectors per cell that the number of cells aims at, and the bounds of cells and sample, which bound
-# what is collected and broadcast: CELLS centroids and SAMPLE vectors.
-PER_CELL = 256
+# what is collected and broadcast: CELLS centroids and SAMPLE vectors. Links don't depend on them:
+# smaller cells spare products, larger ones copies of visitors.
+PER_CELL = 2048
 CELLS = 4096
 SAMPLE = 40_000
 ROUNDS = 8
-SPREAD = 3.0
 BLOCK = 4096
-# Rows of a product, and pairs, that are held at once.
+# Rows of a product that are held at once.
 _TILE = 512
-_PAIRS = 1 << 14
 _KEYS = ["size_of", "cell"]
+# What rounding may take from a margin.
+_ROUNDING = 1e-9
 
 
 def link(
@@ -135,18 +138,49 @@ def _spherical(units: np.ndarray, k: int) -> np.ndarray:
     return centroids
 
 
-def cells_of(units: np.ndarray, centroids: np.ndarray | None, threshold: float) -> list[np.ndarray]:
-    """For each vector the sorted cells it belongs to."""
+def cells_of(
+    units: np.ndarray, centroids: np.ndarray | None, threshold: float
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """For each vector its home, and the sorted cells it belongs to."""
     if centroids is None:  # no vector of this length in the sample
-        return [np.zeros(1, dtype=np.int32)] * len(units)
+        return np.zeros(len(units), dtype=np.int32), [np.zeros(1, dtype=np.int32)] * len(units)
     near = units @ centroids.T
     home = near.argmax(axis=1)
     best = near[np.arange(len(units)), home]
     gaps = np.sqrt(np.maximum(0, 2 - 2 * (centroids @ centroids.T)))[home]
-    apart = np.sqrt(2 - 2 * threshold) / np.sqrt(units.shape[1])
-    inside = best[:, None] - near <= 0.5 * SPREAD * apart * gaps
+    apart = np.sqrt(max(0, 2 - 2 * threshold))
+    inside = best[:, None] - near <= 0.5 * apart * gaps + _ROUNDING
     inside[np.arange(len(units)), home] = True
-    return [np.flatnonzero(row).astype(np.int32) for row in inside]
+    return home.astype(np.int32), [np.flatnonzero(row).astype(np.int32) for row in inside]
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Cut cells into pairs of blocks (lo, hi) of those at home there, or of those and of visitors.
+
+    ``members`` has a row per cell and node, with its home. Cells in which nobody meets are left out.
+    Sizes are counted before rows move, as in ``graph.blocked``; blocks of visitors are numbered
+    behind the others.
+    """
+    at_home = F.col("home") == F.col("cell")
+    sizes = members.groupBy(*_KEYS).agg(
+        F.sum(at_home.cast("long")).alias("_at_home"), F.count(F.lit(1)).alias("_n")
+    )
+    sizes = sizes.where("_at_home > 0 and _n > 1").select(
+        *_KEYS,
+        F.ceil(F.col("_at_home") / BLOCK).cast("int").alias("_homes"),
+        F.ceil((F.col("_n") - F.col("_at_home")) / BLOCK).cast("int").alias("_visits"),
+    )
+    sized = members.join(sizes, _KEYS)
+    place = F.xxhash64("node")
+    own = F.when(at_home, F.pmod(place, F.col("_homes"))).otherwise(
+        F.col("_homes") + F.pmod(place, F.col("_visits"))
+    )
+    blocks = F.when(at_home, F.col("_homes") + F.col("_visits")).otherwise(F.col("_homes"))
+    sized = sized.withColumn("own", own.cast("int"))
+    paired = sized.withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return paired.select(
+        *_KEYS, "node", "own", F.least("own", "_other").alias("lo"), F.greatest("own", "_other").alias("hi")
+    )
 
 
 def _links(nodes: DataFrame, centroids: dict[int, np.ndarray], threshold: float) -> DataFrame:
@@ -157,26 +191,29 @@ def _links(nodes: DataFrame, centroids: dict[int, np.ndarray], threshold: float)
         for batch in slices(batches):
             units = batch.column("unit").to_pylist()
             found: list = [None] * len(units)
+            homes = np.zeros(len(units), dtype=np.int32)
             lengths = np.array([len(u) // 8 for u in units])
             for length in np.unique(lengths):
                 rows = np.flatnonzero(lengths == length)
                 held = np.frombuffer(b"".join(units[i] for i in rows)).reshape(len(rows), -1)
-                for i, cells in zip(rows, cells_of(held, shared.value.get(int(length)), threshold)):
+                homes[rows], listed = cells_of(held, shared.value.get(int(length)), threshold)
+                for i, cells in zip(rows, listed):
                     found[i] = cells
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
                     pa.array(lengths, pa.int32()),
+                    pa.array(homes, pa.int32()),
                     pa.array(found, pa.list_(pa.int32())),
                 ],
-                ["node", "size_of", "cells"],
+                ["node", "size_of", "home", "cells"],
             )
 
-    assigned = nodes.select("node", "unit").mapInArrow(assign, "node binary, size_of int, cells array<int>")
-    assigned = saved(assigned, "vector-cells")
-    members = assigned.select("node", "size_of", F.explode("cells").alias("cell"))
-    cells = blocked(members, _KEYS, "node", BLOCK)
-    cells = cells.join(assigned.select("node", "cells"), "node").join(nodes.drop("least"), "node")
+    schema = "node binary, size_of int, home int, cells array<int>"
+    assigned = saved(nodes.select("node", "unit").mapInArrow(assign, schema), "vector-cells")
+    members = assigned.select("node", "size_of", "home", F.explode("cells").alias("cell"))
+    cells = _blocks(members)
+    cells = cells.join(assigned.select("node", "home", "cells"), "node").join(nodes.drop("least"), "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, offsets in runs(batches, [*_KEYS, "lo", "hi"]):
@@ -195,24 +232,28 @@ def _links(nodes: DataFrame, centroids: dict[int, np.ndarray], threshold: float)
 
 
 def _compared(cell: pa.Table, threshold: float) -> list[tuple]:
-    units = _matrix(cell.column("unit"))
-    n = len(units)
-    across = cell.column("lo")[0].as_py() != cell.column("hi")[0].as_py()
+    n = cell.num_rows
     own = cell.column("own").to_numpy()
+    lo, hi = cell.column("lo")[0].as_py(), cell.column("hi")[0].as_py()
+    ones, others = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+    units = _matrix(cell.column("unit"))
+    against = units[others].T
     weights = cell.column("weight").to_numpy()
-    earlier = _earlier(cell.column("cells").to_pylist(), cell.column("cell")[0].as_py())
+    homes = cell.column("home").to_numpy()
+    number = cell.column("cell")[0].as_py()
+    earlier = _earlier(cell.column("cells").take(pa.array(ones)).to_pylist(), number)
     links, least = np.zeros(n), np.arange(n)
-    for start in range(0, n, _TILE):
-        near = np.triu(units[start : start + _TILE] @ units[start:].T >= threshold, 1)
-        if across:
-            near &= own[start : start + _TILE, None] != own[None, start:]
-        left, right = (places + start for places in np.nonzero(near))
-        first = [np.empty(0, dtype=bool)]
-        for k in range(0, len(left), _PAIRS):
-            i, j = left[k : k + _PAIRS], right[k : k + _PAIRS]
-            first.append(~(earlier[i] & earlier[j]).any(axis=1))
-        first = np.concatenate(first)
-        left, right = left[first], right[first]
+    for start in range(0, len(ones), _TILE):
+        near = units[ones[start : start + _TILE]] @ against >= threshold
+        if lo == hi:
+            near = np.triu(near, start + 1)
+        left, right = np.nonzero(near)
+        left, right = left + start, others[right]
+        # A pair of two homes has met in the visitor's home already, if that comes first and the one at
+        # home here visits it.
+        met = homes[right] < number
+        met[met] = earlier[left[met], homes[right[met]]]
+        left, right = ones[left[~met]], right[~met]
         links += np.bincount(left, weights=weights[right], minlength=n)
         links += np.bincount(right, weights=weights[left], minlength=n)
         if len(left):
@@ -223,9 +264,7 @@ def _compared(cell: pa.Table, threshold: float) -> list[tuple]:
 
 def _earlier(cells: list[list[int]], cell: int) -> np.ndarray:
     """Which of the cells before this one each member also belongs to."""
-    before = sorted({c for held in cells for c in held if c < cell})
-    places = {c: i for i, c in enumerate(before)}
-    member = np.zeros((len(cells), len(before)), dtype=bool)
+    member = np.zeros((len(cells), cell), dtype=bool)
     for row, held in enumerate(cells):
-        member[row, [places[c] for c in held if c < cell]] = True
+        member[row, [c for c in held if c < cell]] = True
     return member

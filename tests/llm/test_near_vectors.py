@@ -1,6 +1,7 @@
 """Near vectors against all cosines."""
 
 import numpy as np
+import pytest
 
 from monthspan.llm import near_vectors
 from tests.llm.data import groups, table
@@ -49,6 +50,16 @@ def test_recall_on_many_cells(spark, monkeypatch):
         assert all(f[1] <= w[1] for f, w in zip(found, wanted))
 
 
+@pytest.mark.parametrize("n, rank, per_cell", [(600, 6, 16), (2000, 6, 64), (2000, 8, 16), (4000, 6, 256)])
+def test_no_link_is_lost_on_few_directions(spark, monkeypatch, n, rank, per_cell):
+    monkeypatch.setattr(near_vectors, "PER_CELL", per_cell)
+    monkeypatch.setattr(near_vectors, "BLOCK", 300)
+    rng = np.random.default_rng(n + rank)
+    values = rng.normal(size=(n, rank)) @ rng.normal(size=(rank, 64))
+    rows = list(enumerate(values.astype(np.float32).tolist()))
+    assert linked(frame(spark, rows)) == sorted(plain(rows), key=str)
+
+
 def test_a_group_of_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_vectors, "BLOCK", 64)
     rows = [(i, v.tolist()) for i, v in enumerate(clustered(500, 2, 0.1, 4))]
