@@ -4,9 +4,11 @@ High-recall patterns propose spans of four kinds, which may overlap. Fixed patte
 sizes, check digits, numbers of digits) make the base spans. Whether a candidate looks like one is
 learned by boosted trees from its format and the text around it, on a bounded sample in which the base
 spans are the positive examples; for each kind, the threshold is the least score from which on the
-calibration part of the sample keeps its precision. Spans above it are added to the base ones.
+candidates of all documents, but those learned from, keep their precision. Spans above it are added to
+the base ones.
 
-Finding, scoring and redacting are column expressions on each row: no shuffle, no Python.
+Finding, scoring and redacting are column expressions on each row: no shuffle, no Python. Learning
+counts scores of all candidates, and only these counts are shuffled.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ DEPTH = 3
 PRECISION = 0.98
 # Candidates above a threshold that it takes to trust it.
 ENOUGH = 30
+# Scores are counted in steps of 1 / STEPS.
+STEPS = 1024
 # Characters of context on either side.
 BEFORE, AFTER = 24, 8
 
@@ -239,15 +243,9 @@ def _told(spans: Column) -> Column:
     return F.array_join(told, ",")
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit trees and thresholds to the candidates in ``SAMPLE`` documents.
-
-    A sample without both kinds of examples gives a model that adds nothing.
-    """
-    ids = docs.select(F.col(f"`{id_col}`").alias("_id")).where("_id is not null")
-    chosen = ids.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE).distinct()
-    texts = whole_texts(docs, id_col, text_col).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    rows = texts.select("doc_id", F.col("text").alias("_text"))
+def _examples(texts: DataFrame, *others: str) -> DataFrame:
+    """The candidates in every text: _order (a hash), _kind, _label and _f, beside other columns."""
+    rows = texts.select("doc_id", *others, F.col("text").alias("_text"))
     rows = _found(_with_spans(rows, Model()), _CANDIDATES, "_candidate")
     known, listed = [], []
     for number, kind in enumerate(KINDS):
@@ -266,15 +264,28 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
             ),
         )
         listed.append(example)
-    rows = rows.select("doc_id", *[f"_candidate_{kind}" for kind in KINDS], *known)
-    examples = rows.select("doc_id", F.explode(F.concat(*listed)).alias("e")).select(
+    rows = rows.select("doc_id", *others, *[f"_candidate_{kind}" for kind in KINDS], *known)
+    return rows.select("doc_id", *others, F.explode(F.concat(*listed)).alias("e")).select(
+        *others,
         F.xxhash64("doc_id", "e.kind", "e.start").alias("_order"),
         F.col("e.kind").alias("_kind"),
         F.col("e.label").cast("double").alias("_label"),
         F.col("e.features").alias("_f"),
     )
+
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fit trees to the candidates in ``SAMPLE`` documents, and thresholds to those in all others.
+
+    Of the sample's candidates, a third is left to the thresholds. A sample without both kinds of
+    examples gives a model that adds nothing.
+    """
+    ids = docs.select(F.col(f"`{id_col}`").alias("_id")).where("_id is not null")
+    chosen = saved(ids.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE).distinct(), "pii-chosen")
+    texts = whole_texts(docs, id_col, text_col)
+    sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     columns = [F.get("_f", F.lit(i)).alias(f"_f_{i}") for i in range(N_FEATURES)]
-    examples = examples.orderBy("_order").limit(SAMPLE_CANDIDATES)
+    examples = _examples(sample).orderBy("_order").limit(SAMPLE_CANDIDATES)
     examples = saved(examples.select("_order", "_kind", "_label", "_f", *columns), "pii-sample").coalesce(2)
     calibrating = F.pmod(F.col("_order"), F.lit(3)) == 0
     fitting = examples.where(~calibrating)
@@ -289,23 +300,27 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mo
     fitted = Model(
         tuple((float(w), trees.parsed(t)) for w, t in zip(boosted.treeWeights, boosted.trees))
     )
-    scored = examples.where(calibrating).select("_kind", "_label", fitted.margin(F.col("_f")).alias("score"))
-    # At most SAMPLE_CANDIDATES numbers.
-    told = scored.collect()
-    thresholds = tuple(
-        _threshold([(r["score"], r["_label"]) for r in told if r["_kind"] == number])
-        for number in range(len(KINDS))
-    )
-    return Model(fitted.trees, thresholds)
-
-
-def _threshold(scored: list[tuple[float, float]]) -> float | None:
-    """The least score from which on the wanted precision holds, among enough candidates."""
-    best, right = None, 0.0
-    scored = sorted(scored, reverse=True)
-    for n, (score, label) in enumerate(scored, 1):
-        right += label
-        last_of_ties = n == len(scored) or scored[n][0] < score
+    marked = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left")
+    unseen = _examples(marked, "_id").where(F.col("_id").isNull() | calibrating)
+    score = F.floor(fitted.margin(F.col("_f")) * STEPS) / STEPS
+    # At most a number per kind, label and step of the scores, which the trees' weights bound.
+    told = unseen.groupBy("_kind", "_label", score.alias("score")).count().collect()
+    thresholds = []
+    for number in range(len(KINDS)):
+        held = [r for r in told if r["_kind"] == number]
+        thresholds.append(_threshold([(r["score"], r["_label"]) for r in held], [r["count"] for r in held]))
+    return Model(fitted.trees, tuple(thresholds))
+
+
+def _threshold(scored: list[tuple[float, float]], counts: list[int] | None = None) -> float | None:
+    """The least score from which on the wanted precision holds, among enough candidates; counts tell
+    how often each score and label occur, once by default."""
+    best, right, n = None, 0.0, 0
+    counted = sorted(zip(scored, counts or [1] * len(scored)), reverse=True)
+    for place, ((score, label), count) in enumerate(counted, 1):
+        right += label * count
+        n += count
+        last_of_ties = place == len(counted) or counted[place][0][0] < score
         if last_of_ties and n >= ENOUGH and right >= PRECISION * n:
             best = score
     return best

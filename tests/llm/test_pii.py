@@ -145,6 +145,19 @@ def test_odd_tables(spark, model):
     assert pii.learn(odd(spark)) == pii.Model()
 
 
+def test_thresholds_see_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE", 60)
+    texts = [f"Mail ab{i}@mail.example.com on host 10.{i % 200}.7.{i % 250} now." for i in range(200)]
+    texts += [f"The version {i}.777.888.999 is old." for i in range(40)]
+    found = pii.learn(docs(spark, texts))
+    assert None not in (found.thresholds[0], found.thresholds[1])
+
+
+def test_thresholds_count_equal_scores_together():
+    assert pii._threshold([(0.9, 1.0), (0.9, 0.0), (0.5, 1.0)], [98, 3, 100]) == 0.5
+    assert pii._threshold([(0.9, 1.0), (0.5, 0.0)], [29, 1]) is None
+
+
 def test_thresholds_keep_the_precision():
     scored = [(i / 100, float(i >= 40)) for i in range(100)]
     assert pii._threshold(scored) == 0.39
