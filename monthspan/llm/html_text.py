@@ -5,8 +5,8 @@ mean length of its text outside links and its mean number of punctuation marks a
 punctuated blocks are prose, short bare ones are menus. Both are smoothed (a path also gets a part of
 what lies in the containers around it), fused by their product, and a path is content when its score
 reaches a share of the best one. What tags, classes and roles say comes in as a prior: paths through
-furniture (menus, forms, comments and the like) score nothing, and an article or main element, where
-there is one with text, holds all content.
+furniture (menus, forms, comments and the like) score nothing, and paths in an article or main element
+score more, the more of the page's text such elements hold.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from monthspan.llm.shared import slices
 SHARE = 0.03
 # What a path gets of the ratios of the container around it, and again of that one's container.
 PART = 0.5
+# By how much an article or main element that holds all text raises its paths' scores.
+PRIOR = 16.0
 
 # Names in HTML, and words that sites use for parts that are not the article.
 _INLINE = frozenset(
@@ -57,7 +59,15 @@ _FURNITURE_WORDS = frozenset(
 )
 # Lists and tables are one with the container that they stand in.
 _PARTS_OF = frozenset("ul ol li dl dt dd table thead tbody tfoot tr td th".split())
-_CONTAINERS = frozenset(("html", "body", "main", "article"))
+_CONTAINERS = frozenset(("html", "body"))
+# Articles that are not the page's own. Other words on article and main tell topics or settings, as do
+# these behind the words of _SETTINGS (tag-reply, no-comments).
+_ARTICLES = frozenset(("main", "article"))
+_CARD_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertorial sponsor sponsored promo promoted comment comments "
+    "commentlist reply replies related recommended recommendation recommendations teaser teasers".split()
+)
+_SETTINGS = frozenset("tag tags category topic has no with".split())
 # An opening tag of the first kind ends an open element of the second kind in its container.
 _ENDS = {
     "li": ("li",),
@@ -135,9 +145,10 @@ def _content(found: list[tuple]) -> set[tuple]:
             held[1] += len(_MARKS.findall(text))
             held[2] += 1
             held[3] += len(text)
-    inside = {p for p in sums if any(name in ("article", "main") for name, _ in p)}
-    paths = inside or set(sums)
-    ratios = {p: (sums[p][0] / sums[p][2], sums[p][1] / sums[p][2]) for p in paths}
+    inside = {p for p in sums if any(name in _ARTICLES for name, _ in p)}
+    held_inside, unlinked = sum(sums[p][0] for p in inside), sum(held[0] for held in sums.values())
+    prior = 1 + (PRIOR - 1) * held_inside / unlinked if unlinked else 1.0
+    ratios = {p: (held[0] / held[2], held[1] / held[2]) for p, held in sums.items()}
     around: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0.0])
     for path, (length, marks) in ratios.items():
         for depth in range(1, len(path)):
@@ -154,14 +165,13 @@ def _content(found: list[tuple]) -> set[tuple]:
                 length += part * around[path[:depth]][0]
                 marks += part * around[path[:depth]][1]
         scores[path] = length * (1 + marks) * sums[path][0] / sums[path][3]
-    if inside:
-        # The page says itself where its article is: all that is not furniture there belongs to it.
-        return paths
+        if path in inside:
+            scores[path] *= prior
     # Headings stand beside the text that they belong to, whatever their own ratios.
     best = max(scores.values(), default=0.0)
     content = {p for p, score in scores.items() if score >= SHARE * best}
     parents = {p[:-1] for p in content}
-    return content | {p for p in paths if p and p[-1][0] in _HEADINGS and p[:-1] in parents}
+    return content | {p for p in sums if p and p[-1][0] in _HEADINGS and p[:-1] in parents}
 
 
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -272,10 +282,18 @@ def _furniture(name: str, rest: str, stack: list[str]) -> bool:
         return False
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), "".join(values).lower()
-        if key in ("class", "id") and not _FURNITURE_WORDS.isdisjoint(_WORD.findall(value)):
-            return True
+        if key in ("class", "id"):
+            if name in _ARTICLES:
+                if any(_is_card(_WORD.findall(token)) for token in value.split()):
+                    return True
+            elif not _FURNITURE_WORDS.isdisjoint(_WORD.findall(value)):
+                return True
         if key == "role" and value.strip() in _FURNITURE_ROLES:
             return True
         if key == "hidden" or key == "style" and "display:none" in value.replace(" ", ""):
             return True
     return False
+
+
+def _is_card(words: list[str]) -> bool:
+    return not _CARD_WORDS.isdisjoint(words) and words[0] not in _SETTINGS

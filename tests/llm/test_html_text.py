@@ -61,6 +61,35 @@ def test_furniture_inside_the_article_is_left_out():
     assert main_text(page) == f"{PROSE}\n\n{MORE}"
 
 
+@pytest.mark.parametrize(
+    "other",
+    [
+        f"<article class='teaser'><h3>Next</h3><p>{MORE}</p></article>" * 3,
+        f"<article class='reader-comment'><p>{MORE}</p></article>" * 3,
+        f"<article id=comment-7 role=complementary><p>{MORE}</p></article>",
+        f"<article><p><a href='/x'>{MORE}</a></p></article>" * 3,
+    ],
+)
+def test_articles_beside_the_body(other):
+    page = f"<body><div id=story><p>{PROSE}</p><p>{MORE[::-1]}</p></div>{other}</body>"
+    assert main_text(page) == f"{PROSE}\n\n{MORE[::-1]}"
+
+
+def test_a_body_beside_plain_articles_is_not_lost():
+    page = f"<div><p>{PROSE} {MORE}</p><p>{PROSE}</p></div><article><p>Short one, too.</p></article>"
+    assert main_text(page).startswith(f"{PROSE} {MORE}\n\n{PROSE}")
+
+
+def test_unnamed_menus_in_main():
+    menu = "<div><ul><li><a href='/'>Home</a></li><li><a href='/n'>News, of today.</a></li></ul></div>"
+    assert main_text(f"<main>{menu}<h1>T</h1><p>{PROSE}</p></main>") == f"T\n\n{PROSE}"
+
+
+def test_words_on_the_article_that_tell_its_topic():
+    for words in ("post tag-social tags-share", "post no-comments category-ads", "hentry has-sidebar"):
+        assert main_text(f"<article class='{words}'><p>{PROSE}</p></article>") == PROSE
+
+
 def test_short_blocks_of_the_article_stay():
     page = f"<div id=c><h2>T</h2><p>{PROSE}</p><ul><li>one</li><li>two</li></ul><p>Yes.</p><p>{MORE}</p></div>"
     assert main_text(page) == f"T\n\n{PROSE}\n\none\n\ntwo\n\nYes.\n\n{MORE}"
