@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthspan.llm import fingerprints, html_text, language, licenses, near_vectors, ngram_join
-from monthspan.llm import packing, pieces, pii, quality
+from monthspan.llm import byte_pairs, conversations, fingerprints, html_text, language, licenses
+from monthspan.llm import near_vectors, ngram_join, packing, periodic_runs, pieces, pii, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +85,83 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edits(_table(spark, sf_dir, "documents"))
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text by the byte-level vocabulary, decoded again."""
+    docs = _table(spark, sf_dir, "documents")
+    return byte_pairs.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults: by a checksum of its place, a row is lost, loses its text or the ends of its
+    sentences, comes twice or is given to the user."""
+    place = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    text = F.coalesce("text", F.lit(" "))
+    rows = rows.withColumn("fault", F.crc32(place.cast("binary")) % 20).filter("fault <> 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate(text, ".!?", "")).otherwise(text)
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.coalesce("role", F.lit(" ")))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("fault") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repairs of all conversations after damage; those that lost all rows need none."""
+    rows = _table(spark, sf_dir, "conversations")
+    repairs = conversations.repair(damaged(rows))
+    every = rows.select(F.col("conv_id").alias("id")).distinct()
+    found = every.join(repairs, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return found.select(
+        F.col("id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the documents, by the id's checksum, words from some place on repeat with a
+    period. A document without an id stays as it is."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = h % 10 == 0
+    words = F.when(chosen, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    docs = docs.select("doc_id", "text", (h / 10).cast("long").alias("g"), words.alias("words"))
+    docs = docs.select("*", F.size("words").cast("long").alias("n"))
+    docs = docs.select("*", F.when(F.col("n") > 0, F.col("g") % F.col("n")).alias("a"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    docs = docs.select("*", period.cast("int").alias("p"), (F.col("n") - F.col("a")).cast("int").alias("rest"))
+    first = F.slice("words", F.lit(1), F.col("a").cast("int"))
+    repeated = F.slice("words", F.col("a").cast("int") + 1, F.col("p"))
+    times = F.ceil(F.col("rest") / F.col("p")).cast("int")
+    rest = F.slice(F.flatten(F.array_repeat(repeated, times)), F.lit(1), F.col("rest"))
+    text = F.when(F.col("n") > 0, F.array_join(F.concat(first, rest), " ")).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every text, a tenth of the texts made periodic, and the texts without repeats."""
+    found = periodic_runs.find(made_periodic(_table(spark, sf_dir, "documents")))
+    more = lambda x, y: x["length"] * y["period"] - y["length"] * x["period"]
+    by_exponent = F.array_sort(
+        "runs",
+        lambda x, y: F.when(more(x, y) != 0, -F.signum(more(x, y)).cast("int"))
+        .when(x["start"] != y["start"], F.signum(x["start"] - y["start"]).cast("int"))
+        .otherwise(F.signum(x["period"] - y["period"]).cast("int")),
+    )
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    found = found.select("*", F.get(by_exponent, F.lit(0)).alias("best"), lines.alias("lines"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -98,6 +175,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_licenses,
         op10_fingerprints,
+        op11_byte_pairs,
+        op12_conversations,
+        op13_periodic_runs,
     )
 }
 
