@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from array import array
+from ast import literal_eval
 from collections.abc import Iterator
 
 import pandas as pd
@@ -344,24 +345,17 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if row.audit is not None:
                 final, letters, state = row, [row.audit], int(row.state)
             width = int.from_bytes(row.back[:4], "little")
-            # A literal of tuples, numbers and letters, written by this module.
-            tails = _literal(row.back[4 : 4 + width].decode())
+            tails = literal_eval(row.back[4 : 4 + width].decode())
             numbers = array("H")
             numbers.frombytes(row.back[4 + width :])
             found, state = _backwards(numbers, tails, state)
-            letters.append("".join(found))
+            letters.append("".join(reversed(found)))
             if row.part == 0:
-                audit = letters[0] + "".join(letters[1:])
-                rows.append((*final[:2], *map(int, final[2:8]), audit[::-1], final.repaired_sha256, state, None))
+                audit = "".join(reversed(letters))
+                rows.append((*final[:2], *map(int, final[2:8]), audit, final.repaired_sha256, state, None))
         yield _frame(rows)
 
 
-def _literal(text: str) -> list:
-    from ast import literal_eval
-
-    return literal_eval(text)
-
-
 def _edit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Turns as the edits, which come before the rows they belong to, say."""
     for batch in _with_edits(batches):

@@ -233,9 +233,75 @@ select held.doc_id, count(license) as n_licenses,
     coalesce(max(part), 0)::double as containment
 from held left join verified using (doc_id) group by all"""
 
+# A conversation's rows one after the other, with the cheapest edits for each of four states: nothing, system,
+# user, pair. Lines begin with their line break, so the first character of the whole is cut off.
+_CONVERSATIONS = """
+with recursive crc as (
+        select list_transform(range(256), lambda i: list_reduce(range(8),
+            lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end, i)) as t),
+    placed as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, coalesce(conv_id::text, ' ') as conv,
+            concat(coalesce(conv_id::text, ' '), ':', coalesce(turn::text, ' ')) as place from conversations),
+    hit as (
+        select placed.*, xor(4294967295, list_reduce(list_transform(range(1, strlen(place) + 1), lambda k: ord(place[k])),
+            lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295)) % 20 as fault from placed, crc),
+    damaged as (
+        select conv, turn, case when fault = 4 then 'user' else role end as role,
+            case when fault = 1 then '' when fault = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+            unnest(range(case when fault = 3 then 2 else 1 end)) as copy
+        from hit where fault <> 0),
+    numbered as (
+        select *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as content,
+            row_number() over (partition by conv order by turn nulls first, role, text, copy) as i from damaged),
+    faults as (
+        select conv, i, turn, role, text, left(role, 1) as initial, case when content = '' then 'blank'
+            when row_number() over (partition by conv, role, text order by i) > 1 then 'duplicate'
+            when right(content, 1) not in ('.', '!', '?') then 'truncated' end as fault
+        from numbered),
+    inserts(state, after, letters, price, lines) as (values
+        (0, 0, '', 0, ''), (0, 2, 'I', 2, chr(10) || 'user:'), (0, 3, 'II', 4, chr(10) || 'user:' || chr(10) || 'assistant:'),
+        (1, 1, '', 0, ''), (1, 2, 'I', 2, chr(10) || 'user:'), (1, 3, 'II', 4, chr(10) || 'user:' || chr(10) || 'assistant:'),
+        (2, 2, '', 0, ''), (2, 3, 'I', 2, chr(10) || 'assistant:'), (3, 3, '', 0, ''), (3, 2, 'I', 2, chr(10) || 'user:')),
+    edits(state, initial, letter, after, price, role) as (values
+        (0, null, 'D', 0, 3, null), (1, null, 'D', 1, 3, null), (2, null, 'D', 2, 3, null), (3, null, 'D', 3, 3, null),
+        (0, 's', 'K', 1, 0, null), (0, 'u', 'K', 2, 0, null), (1, 'u', 'K', 2, 0, null), (2, 'a', 'K', 3, 0, null),
+        (3, 'u', 'K', 2, 0, null), (0, null, 'R', 2, 2, 'user'), (1, null, 'R', 2, 2, 'user'),
+        (2, null, 'R', 3, 2, 'assistant'), (3, null, 'R', 2, 2, 'user')),
+    best as (
+        select distinct conv, 0::bigint as i, 0 as state, 0::bigint as cost, '' as audit, '' as lines from placed
+        union all
+        select conv, i, state, least.cost, least.audit, least.lines from (
+            select f.conv, f.i, e.after as state, min({
+                'cost': b.cost + n.price + e.price + case when e.letter <> 'D' and f.fault = 'truncated' then 1 else 0 end,
+                'audit': concat(b.audit, n.letters, e.letter),
+                'lines': concat(b.lines, n.lines, case when e.letter <> 'D'
+                    then concat(chr(10), coalesce(e.role, f.role), ':', f.text) end)}) as least
+            from best b join faults f on f.conv = b.conv and f.i = b.i + 1
+            join inserts n on n.state = b.state join edits e on e.state = n.after
+                and (e.initial is null or e.initial = f.initial)
+                and (e.letter = 'D' or coalesce(f.fault, '') not in ('blank', 'duplicate'))
+            group by all)),
+    ends as (
+        select conv, min({'cost': b.cost + n.price, 'audit': b.audit || n.letters, 'lines': b.lines || n.lines}) as least
+        from best b join inserts n on n.state = b.state
+        where n.after in (0, 3) and b.i = (select count(*) from faults f where f.conv = b.conv) group by all),
+    pairs as (
+        select *, lag(initial) over (partition by conv order by i) || initial as pair from faults),
+    counts as (
+        select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+            count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+            count(*) filter (fault = 'truncated') as truncated,
+            count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+        from pairs group by all)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+    coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, least.cost as cost, least.audit as audit,
+    sha256(substr(least.lines, 2)) as repaired_sha256
+from (select distinct conv_id, conv from placed) o join ends using (conv) left join counts using (conv)"""
+
 # The others are no matter of SQL; the tests hold them against plain versions, libraries and labels.
 ORACLES: dict[str, str] = {
     "op1_ngram_join": _NGRAM_JOIN,
     "op4_near_vectors": _NEAR_VECTORS,
     "op9_licenses": _LICENSES,
+    "op12_conversations": _CONVERSATIONS,
 }
