@@ -1,7 +1,7 @@
 """Byte-level BPE by overlapping chunks.
 
-A long text is cut into chunks that overlap, and the chunks are dealt out evenly, so that one giant text is worked
-on by many tasks. Each chunk is cut into pre-tokens from its own beginning, which may lie inside one. The pattern
+A long text is cut into chunks that overlap. The chunks are written to the shared folder in small row groups, so
+that one giant text is read and worked on by many tasks. Each chunk is cut into pre-tokens from its own beginning, which may lie inside one. The pattern
 looks ahead but never back, so once two chunks have a border of pre-tokens at the same place, they agree from there
 on: within each overlap the first common border is where they are stitched. Borders near a chunk's end, which what
 follows could change, do not count. Where an overlap has no common border, because one pre-token covers it, the
@@ -31,7 +31,8 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthspan.llm.shared import Cache, saved, slices, whole_texts
+from monthspan.llm.shared import Cache, slices, whole_texts
+from monthspan.sources.stages import scratch_dir
 
 # Characters of a chunk, and those of the next one that it has besides.
 CHUNK = 16_384
@@ -39,6 +40,8 @@ OVERLAP = 512
 # Characters behind a pre-token that the pattern may have looked at: a white space and what follows it, or the
 # two letters of a contraction.
 AHEAD = 3
+# Bytes of a row group of written chunks.
+ROW_GROUP = 8 << 20
 
 _CHUNKS = "row long, doc_id {id}, chunk long, last boolean, own string, more string"
 _CUT = "row long, chunk long, head array<int>, tail array<int>, widths binary"
@@ -179,7 +182,10 @@ def _encoded(
 
 def _parts(long: DataFrame, path: str, id_type: str, chunk: int, overlap: int) -> DataFrame:
     """Long texts' ids, part by part: row, doc_id, chunk, ids."""
-    chunks = saved(chunked(long, chunk, overlap), "byte-pair-chunks")
+    directory = scratch_dir(long.sparkSession, "byte-pair-chunks")
+    # Small row groups, so that the chunks of one giant text are read by many tasks.
+    chunked(long, chunk, overlap).write.option("parquet.block.size", ROW_GROUP).parquet(directory)
+    chunks = long.sparkSession.read.parquet(directory)
     cut = chunks.mapInArrow(lambda batches: _cut(batches, path, chunk, overlap), _CUT)
     stitched = chunks.join(stitches(cut, chunk), ["row", "chunk"])
     schema = _PART.format(id=id_type)
@@ -207,14 +213,14 @@ def _parts(long: DataFrame, path: str, id_type: str, chunk: int, overlap: int) -
 
 
 def chunked(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """Rows of chunks, dealt out evenly: row, doc_id, chunk (its number), last, own (its text) and more (the
+    """Rows of chunks: row, doc_id, chunk (its number), last, own (its text) and more (the
     beginning of the next one)."""
     pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
     rows = long.select(F.monotonically_increasing_id().alias("row"), "doc_id", pieces.alias("pieces"))
     places = F.posexplode("pieces").alias("chunk", "own")
     ahead = F.transform("pieces", lambda piece: F.left(piece, F.lit(overlap)))
     rows = rows.select("row", "doc_id", F.size("pieces").alias("n"), ahead.alias("ahead"), places)
-    dealt = rows.select(
+    return rows.select(
         "row",
         "doc_id",
         F.col("chunk").cast("long").alias("chunk"),
@@ -222,7 +228,6 @@ def chunked(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
         "own",
         F.coalesce(F.get("ahead", F.col("chunk") + 1), F.lit("")).alias("more"),
     )
-    return dealt.repartition("row", "chunk")
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, chunk: int, overlap: int) -> Iterator[pa.RecordBatch]:
