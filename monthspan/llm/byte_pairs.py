@@ -31,7 +31,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthspan.llm.shared import Cache, slices, whole_texts
+from monthspan.llm.shared import Cache, saved, slices, whole_texts
 from monthspan.sources.stages import scratch_dir
 
 # Characters of a chunk, and those of the next one that it has besides.
@@ -40,11 +40,14 @@ OVERLAP = 512
 # Characters behind a pre-token that the pattern may have looked at: a white space and what follows it, or the
 # two letters of a contraction.
 AHEAD = 3
-# Bytes of a row group of written chunks.
+# Bytes of a row group of written chunks, and rows of five numbers that are broadcast at most.
 ROW_GROUP = 8 << 20
+MOST_BROADCAST = 500_000
+# Pre-tokens whose ids a worker remembers.
+REMEMBERED = 200_000
 
 _CHUNKS = "row long, doc_id {id}, chunk long, last boolean, own string, more string"
-_CUT = "row long, chunk long, head array<int>, tail array<int>, widths binary"
+_CUT = "row long, chunk long, head array<int>, tail array<int>"
 _PART = "row long, doc_id {id}, chunk long, ids binary"
 
 
@@ -57,7 +60,7 @@ class Encoder:
         self.bytes = dict(map(reversed, ranks.items()))
         # A pre-token is one match.
         self.library = tiktoken.Encoding("pieces", pat_str="(?s:.+)", mergeable_ranks=ranks, special_tokens={})
-        self.known = Cache(None)
+        self.known = Cache(None, REMEMBERED)
         self.pattern = regex.compile(pattern)
         self.late = _late_characters()
 
@@ -167,49 +170,89 @@ def _encoded(
             yield rows(ids, batch.column("doc_id"), encoder)
 
     def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        """Parts in order to whole texts; of a text only its last part is held, or sums of all."""
+        encoder, text = _encoder(path), None
         for batch in batches:
             for i in range(batch.num_rows):
-                ids = b"".join(part["ids"] for part in batch.column("parts")[i].as_py())
-                yield rows([ids], batch.column("doc_id").slice(i, 1), encoder)
+                row = batch.column("row")[i].as_py()
+                if text is None or text.row != row:
+                    if text is not None:
+                        yield text.end()
+                    text = _Whole(row, batch.column("doc_id").slice(i, 1), names, digests)
+                ids = batch.column("ids")[i].as_py()
+                text.add(ids, encoder.decode(ids))
+        if text is not None:
+            yield text.end()
 
     short = texts.filter(F.length("text") <= chunk).mapInArrow(at_once, result)
     parts = _parts(texts.filter(F.length("text") > chunk), path, id_type, chunk, overlap)
-    ordered = F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts")
-    whole = parts.groupBy("row").agg(F.any_value("doc_id").alias("doc_id"), ordered).select("doc_id", "parts")
-    return short.union(whole.mapInArrow(in_order, result))
+    ordered = parts.repartition("row").sortWithinPartitions("row", "chunk")
+    return short.union(ordered.mapInArrow(in_order, result))
+
+
+class _Whole:
+    """A text put together from its parts, or the digests of such a text."""
+
+    def __init__(self, row: int, owner: pa.Array, names: list[str], digests: bool):
+        self.row, self.owner, self.names, self.n = row, owner, names, 0
+        self.sums = [hashlib.sha256(), hashlib.sha256()] if digests else None
+        self.held: tuple[list, list] = ([], [])
+
+    def add(self, *values: bytes) -> None:
+        self.n += len(values[0]) // 4
+        for i, value in enumerate(values):
+            if self.sums:
+                self.sums[i].update(value)
+            else:
+                self.held[i].append(value)
+
+    def end(self) -> pa.RecordBatch:
+        values = [s.hexdigest() for s in self.sums] if self.sums else [b"".join(held) for held in self.held]
+        kind = pa.string() if self.sums else pa.binary()
+        columns = [pa.array([value], kind) for value in values]
+        n = pa.array([self.n], pa.int64())
+        return pa.RecordBatch.from_arrays([self.owner, n, *columns], ["doc_id", "n_tokens", *self.names])
 
 
 def _parts(long: DataFrame, path: str, id_type: str, chunk: int, overlap: int) -> DataFrame:
     """Long texts' ids, part by part: row, doc_id, chunk, ids."""
-    directory = scratch_dir(long.sparkSession, "byte-pair-chunks")
+    spark = long.sparkSession
+    directory = scratch_dir(spark, "byte-pair-chunks")
     # Small row groups, so that the chunks of one giant text are read by many tasks.
     chunked(long, chunk, overlap).write.option("parquet.block.size", ROW_GROUP).parquet(directory)
-    chunks = long.sparkSession.read.parquet(directory)
+    chunks = spark.read.parquet(directory)
     cut = chunks.mapInArrow(lambda batches: _cut(batches, path, chunk, overlap), _CUT)
-    stitched = chunks.join(stitches(cut, chunk), ["row", "chunk"])
+    found = saved(stitches(cut, chunk), "byte-pair-stitches")
+    regular = chunks.join(_small(found.filter("size = 1")), ["row", "chunk"])
+    regular = regular.select("row", "doc_id", "chunk", "own", "more", "begin", "end")
     schema = _PART.format(id=id_type)
-    regular = stitched.filter("size = 1")
-    regular = regular.select("row", "doc_id", "chunk", "own", "more", "widths", "begin", "end")
+    encoded = lambda batches: _encode_parts(batches, path)
+    parts = regular.mapInArrow(encoded, schema)
+    together = found.filter("size > 1")
+    if together.isEmpty():
+        return parts
     # Chunks without a common border go together, from the last stitch before them to the first one behind.
-    joined = stitched.filter("size > 1").groupBy("row", "first").agg(
+    joined = chunks.join(_small(together), ["row", "chunk"]).groupBy("row", "first").agg(
         F.any_value("doc_id").alias("doc_id"),
-        F.array_sort(F.collect_list(F.struct("chunk", "own", "more", "begin", "end", "last"))).alias("chunks"),
+        F.array_sort(F.collect_list(F.struct("chunk", "own", "more", "begin", "end"))).alias("chunks"),
     )
-    texts = F.transform("chunks", lambda c: c["own"])
     ending = F.element_at("chunks", -1)
     joined = joined.select(
         "row",
         "doc_id",
         F.col("first").alias("chunk"),
-        F.array_join(texts, "").alias("own"),
+        F.array_join(F.transform("chunks", lambda c: c["own"]), "").alias("own"),
         ending["more"].alias("more"),
-        F.lit(None).cast("binary").alias("widths"),
         F.element_at("chunks", 1)["begin"].alias("begin"),
         (ending["end"] + chunk * (F.size("chunks") - 1)).alias("end"),
     )
-    encoded = lambda batches: _encode_parts(batches, path)
-    return regular.mapInArrow(encoded, schema).union(joined.mapInArrow(encoded, schema))
+    return parts.union(joined.mapInArrow(encoded, schema))
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """Rows of a written table for a join, broadcast if their number has been found to be small."""
+    few = rows.select("row", "chunk", "begin", "end", "first")
+    return F.broadcast(few) if rows.count() <= MOST_BROADCAST else few
 
 
 def chunked(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
@@ -231,23 +274,19 @@ def chunked(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, chunk: int, overlap: int) -> Iterator[pa.RecordBatch]:
-    """Each chunk's pre-tokens by their widths; the borders in its first characters and in those that it shares
-    with the next chunk, counted from there."""
+    """Borders of pre-tokens in each chunk's first characters, and in those that it shares with the next chunk,
+    counted from there."""
     encoder = _encoder(path)
     for batch in slices(batches):
-        heads, tails, widths = [], [], []
+        heads, tails = [], []
         for last, own, more in zip(*(batch.column(c).to_pylist() for c in ("last", "own", "more"))):
-            width = np.fromiter(map(len, encoder.pieces(own + more)), dtype=np.uint16)
-            ends = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
+            ends = np.array([0, *accumulate(map(len, encoder.pieces(own + more)))])
             certain = ends if last else ends[ends + AHEAD <= len(own) + len(more)]
             heads.append(certain[certain < overlap].tolist())
             tails.append((certain[certain >= chunk] - chunk).tolist())
-            widths.append(width.tobytes())
         keys = [batch.column("row"), batch.column("chunk")]
         values = [pa.array(heads, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays(
-            [*keys, *values, pa.array(widths, pa.binary())], ["row", "chunk", "head", "tail", "widths"]
-        )
+        yield pa.RecordBatch.from_arrays([*keys, *values], ["row", "chunk", "head", "tail"])
 
 
 def stitches(cut: DataFrame, chunk: int) -> DataFrame:
@@ -261,7 +300,6 @@ def stitches(cut: DataFrame, chunk: int) -> DataFrame:
     rows = rows.select(
         "row",
         "chunk",
-        "widths",
         F.coalesce(before, F.lit(0)).alias("begin"),
         (F.col("stitch") + chunk).alias("end"),
         F.max(F.when(starts, F.col("chunk"))).over(in_text).alias("first"),
@@ -272,19 +310,15 @@ def stitches(cut: DataFrame, chunk: int) -> DataFrame:
 def _encode_parts(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(path)
     for batch in slices(batches):
-        parts = batch.select(["own", "more", "widths", "begin", "end"]).to_pylist()
+        parts = batch.select(["own", "more", "begin", "end"]).to_pylist()
         ids = encoder.encoded([_part(encoder, **part) for part in parts])
         keys = [batch.column(c) for c in ("row", "doc_id", "chunk")]
         yield pa.RecordBatch.from_arrays([*keys, pa.array(ids, pa.binary())], ["row", "doc_id", "chunk", "ids"])
 
 
-def _part(encoder: Encoder, own: str, more: str, widths: bytes | None, begin: int, end: int | None) -> list[str]:
-    """The pre-tokens from one stitch to the next."""
+def _part(encoder: Encoder, own: str, more: str, begin: int, end: int | None) -> list[str]:
+    """The pre-tokens from one stitch to the next; what follows the second one is only looked at."""
     text = own + more
-    if widths is None:
-        ends = list(accumulate(map(len, encoder.pieces(text[begin:])), initial=begin))
-    else:
-        ends = [0, *accumulate(np.frombuffer(widths, dtype=np.uint16).tolist())]
-    stop = len(text) if end is None else end
-    ends = ends[ends.index(begin) : ends.index(stop) + 1]
-    return [text[a:b] for a, b in zip(ends, ends[1:])]
+    pieces = encoder.pieces(text[begin:])
+    ends = list(accumulate(map(len, pieces), initial=begin))
+    return pieces[: ends.index(len(text) if end is None else end)]
