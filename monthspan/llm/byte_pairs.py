@@ -21,7 +21,7 @@ import sys
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -80,7 +80,7 @@ class Encoder:
     def encoded(self, cut: list[list[str]]) -> list[bytes]:
         """The ids of texts that are cut into pre-tokens."""
         self.known.room()
-        new = self.known.new(chain.from_iterable(cut))
+        new = self.known.missing(cut)
         encode = self.library.encode_ordinary
         self.known.update((piece, array("I", encode(piece)).tobytes()) for piece in new)
         return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]

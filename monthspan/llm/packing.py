@@ -119,7 +119,7 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.library = Tokenizer.from_file(vocabulary)
-        self.words = Cache(self._in_parts)
+        self.words = Cache(None)
         self.parts = Cache(None)
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -129,44 +129,39 @@ class WordIds:
         split = [text.replace("\n", " ").split(" ") for text in texts]
         self.words.room()
         self.parts.room()
-        new = self.words.new(word for words in split for word in words)
-        parts = self.parts.new(part for word in new for part in _parts(word))
-        self.parts.update(self._encoded(parts))
-        for word in new:
-            self.words[word] = self._in_parts(word)
+        new = self.words.missing(split)
+        cut = list(map(_parts, new))
+        self.parts.update(self._encoded(self.parts.missing(cut)))
+        ids = self.parts.__getitem__
+        self.words.update((w, ids(p[0]) if len(p) == 1 else ids(p[0]) + ids(p[1])) for w, p in zip(new, cut))
         return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
     def _encoded(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of new parts. Parts of letters are encoded many at once: each ends in the only one of
         its ids that can end a word."""
         letters = [part for part in parts if part.isalpha()]
-        lines = [letters[i : i + 64] for i in range(0, len(letters), 64)]
-        for line, found in zip(lines, self._library(" ".join(line) for line in lines)):
+        lines = [letters[i : i + 256] for i in range(0, len(letters), 256)]
+        for line, found in zip(lines, self._library([" ".join(line) for line in lines])):
             ends = np.flatnonzero(self.ends[found]) + 1
             if len(ends) != len(line):
                 yield from zip(line, map(bytes, self._library(line)))
                 continue
-            start = 0
-            for part, end in zip(line, ends.tolist()):
-                yield part, found[start:end].tobytes()
-                start = end
+            blob, places = found.tobytes(), [0, *(4 * ends).tolist()]
+            yield from zip(line, [blob[a:b] for a, b in zip(places, places[1:])])
         others = [part for part in parts if not part.isalpha()]
         yield from zip(others, map(bytes, self._library(others)))
 
-    def _library(self, texts) -> list[np.ndarray]:
-        found = self.library.encode_batch_fast(list(texts), add_special_tokens=False)
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4") for x in found]
 
-    def _in_parts(self, word: str) -> bytes:
-        return b"".join(self.parts[part] for part in _parts(word))
-
 
 def _parts(word: str) -> tuple[str, ...]:
     """A word as the vocabulary sees it: small letters, and a closing mark behind letters by itself.
 
     Only for plain Latin letters, whose small form and composition depend on nothing beside them.
     """
-    if word and max(word) < "\u0130":
+    if word and (word.isascii() or max(word) < "\u0130"):
         if word.isalpha():
             return (word.lower(),)
         if word[-1] in _CLOSING and word[:-1].isalpha():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -97,6 +98,15 @@ class Cache(dict):
             keys.discard(key)
         return list(keys)
 
+    def missing(self, lists: list) -> list:
+        """The keys in lists whose values are not known in either half."""
+        keys = list(filterfalse(self.__contains__, set(chain.from_iterable(lists))))
+        if self._older:
+            held = list(filter(self._older.__contains__, keys))
+            self.update(zip(held, map(self._older.__getitem__, held)))
+            keys = list(filterfalse(self._older.__contains__, keys))
+        return keys
+
     def __missing__(self, key):
         self.room()
         value = self[key] = self._older[key] if key in self._older else self._make(key)
