@@ -1,4 +1,8 @@
-"""Text to typed value, column by column, as the data dictionary demands."""
+"""Text to typed value, column by column, as the data dictionary demands.
+
+No cast raises an error: a value that can't be read is null, and a second expression tells why. So the order in
+which filters and projections are worked out cannot matter.
+"""
 
 from __future__ import annotations
 
@@ -20,33 +24,28 @@ def _integer(text: Column) -> Column:
     return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
 
 
-def to_nullable_int(text: Column, name: str) -> Column:
-    """'7' and '7.0' are 7, garbage is null, and a fraction is an error."""
+def to_nullable_int(text: Column) -> Column:
+    """'7' and '7.0' are 7; null for anything else."""
     number = to_float(text)
-    return F.coalesce(
-        _integer(text),
-        F.when(number % 1 != 0, _fail(name, "is not a whole number", text)).otherwise(
-            number.cast("bigint")
-        ),
-    )
+    return F.coalesce(_integer(text), F.when(number % 1 == 0, number.try_cast("bigint")))
 
 
-def to_required_int(text: Column, name: str) -> Column:
-    """Like an integer cast that fails on blank or garbage; fractions are cut off."""
-    number = to_float(text)
-    return F.coalesce(
-        _integer(text),
-        F.when(number.isNull(), _fail(name, "needs a number", text)).otherwise(
-            number.cast("bigint")
-        ),
-    )
+def why_no_nullable_int(text: Column) -> Column:
+    """The reason why a text is an error where an integer or nothing is expected; garbage is nothing."""
+    wrong = to_float(text).isNotNull() & to_nullable_int(text).isNull()
+    return F.when(wrong, F.lit("is not a whole number"))
+
+
+def to_required_int(text: Column) -> Column:
+    """Like an integer cast; fractions are cut off; null for blank or garbage."""
+    return F.coalesce(_integer(text), to_float(text).try_cast("bigint"))
+
+
+def why_no_required_int(text: Column) -> Column:
+    """The reason why a text is an error where an integer is expected."""
+    return F.when(to_required_int(text).isNull(), F.lit("needs a number"))
 
 
 def to_text(text: Column) -> Column:
     """Blank becomes null."""
     return F.nullif(text, F.lit(""))
-
-
-def _fail(name: str, why: str, text: Column) -> Column:
-    message = F.concat(F.lit(f"column {name} {why}, got: "), F.coalesce(text, F.lit("null")))
-    return F.raise_error(message).cast("bigint")

@@ -14,7 +14,7 @@ DIGITS = r"^[0-9]+$"
 TWO_NUMBERS = r"^[0-9]+-[0-9]+(?:-|$)"
 YEARLY_TOTAL = r"^0+-"
 MONTH = r"^0*(?:[1-9]|1[0-2])-[0-9]+(?:-|$)"
-YEAR = r"^[0-9]+-0*[1-9][0-9]{0,3}(?:-|$)"
+DATE = r"^0*(?:[1-9]|1[0-2])-0*[1-9][0-9]{0,3}(?:-|$)"
 
 
 def is_from_year(text: Column, min_year: int) -> Column:
@@ -38,9 +38,16 @@ def claims_month(text: Column) -> Column:
 
 
 def month_start(text: Column) -> Column:
-    """First day of the month, for a text of which ``is_month`` holds; a year that no date can hold
-    is an error."""
+    """First day of the month; null for what is no month and for a year that no date can hold."""
     month = F.substring_index(text, "-", 1).try_cast("int")
     year = F.substring_index(F.substring_index(text, "-", 2), "-", -1).try_cast("int")
-    beyond = F.raise_error(F.concat(F.lit("no date has the year of "), text)).cast("date")
-    return F.when(text.rlike(YEAR), F.make_date(year, month, F.lit(1))).otherwise(beyond)
+    return F.when(text.rlike(DATE), F.make_date(year, month, F.lit(1)))
+
+
+def why_no_month(text: Column) -> Column:
+    """The reason why a text that claims a month has no date; null for texts that claim none."""
+    return (
+        F.when(text.rlike(DATE), F.lit(None).cast("string"))
+        .when(is_month(text), F.lit("no date has the year"))
+        .when(claims_month(text), F.lit("no such month"))
+    )

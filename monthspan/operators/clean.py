@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthspan.functions.months import claims_month, is_month, month_start
+from monthspan.functions.months import claims_month, is_month, month_start, why_no_month
+from monthspan.operators import rejects
 from monthspan.panel import OIL, OIL_CAP, Panel, col
 from monthspan.sources.dictionary import categories
 
@@ -18,14 +19,17 @@ def parse_date(frame: DataFrame, panel: Panel = Panel(), on_bad_date: str = "dro
     is an error with ``on_bad_date="fail"``. Years 1 to 9999 are kept; a month of any other year is
     always an error, as no date can hold it.
     """
+    return rejects.strict(checked_date(frame, panel, on_bad_date))
+
+
+def checked_date(frame: DataFrame, panel: Panel = Panel(), on_bad_date: str = "drop") -> DataFrame:
+    """As ``parse_date``, but errors are faults of the rows, whose date is null."""
     if on_bad_date not in ("drop", "fail"):
         raise ValueError(f"on_bad_date is 'drop' or 'fail', not '{on_bad_date}'")
     text = col(panel.month_year)
-    if on_bad_date == "drop":
-        return frame.filter(is_month(text)).withColumn(panel.date, month_start(text))
-    no_month = F.raise_error(F.concat(F.lit("no such month: "), text)).cast("date")
-    date = F.when(is_month(text), month_start(text)).otherwise(no_month)
-    return frame.filter(claims_month(text)).withColumn(panel.date, date)
+    dated = frame.filter(is_month(text) if on_bad_date == "drop" else claims_month(text))
+    dated = dated.withColumn(panel.date, month_start(text))
+    return rejects.with_faults(dated, [rejects.fault(panel.month_year, text, why_no_month(text))])
 
 
 def cast_categoricals(frame: DataFrame, schema: T.StructType) -> DataFrame:
@@ -44,8 +48,15 @@ def validate_bounds(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
 def clean_rows(
     frame: DataFrame, schema: T.StructType, panel: Panel = Panel(), on_bad_date: str = "drop"
 ) -> DataFrame:
+    return rejects.strict(checked_rows(frame, schema, panel, on_bad_date))
+
+
+def checked_rows(
+    frame: DataFrame, schema: T.StructType, panel: Panel = Panel(), on_bad_date: str = "drop"
+) -> DataFrame:
+    """As ``clean_rows``, with the rows' faults."""
     return (
-        frame.transform(parse_date, panel, on_bad_date)
+        frame.transform(checked_date, panel, on_bad_date)
         .transform(cast_categoricals, schema)
         .transform(validate_bounds, panel)
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,44 +13,76 @@ from monthspan.operators.calendar import entity_span
 from monthspan.panel import GAS, OIL, OIL_CAP, Panel, col
 from monthspan.sources.dictionary import categories
 from monthspan.sources.files import file_name
+from monthspan.sources.stages import read_stage
+
+
+def write_checks(panel: Panel = Panel(), schema: T.StructType | None = None, columns: Sequence[str] = ()) -> dict[str, Column]:
+    """Conditions by name that offending rows of a table meet, for checks in the pass that writes it: bounds, units,
+    categories, running totals and gaps, as far as the table's ``columns`` tell. The windows are those of the
+    features, so that they add no shuffle to a panel."""
+    checks = {"bounds": _any(_bounds(panel, columns)), "units": _over_cap(panel)}
+    if schema is not None:
+        checks["category"] = _any([~col(n).isin(c) for n, c in categories(schema).items() if n in columns])
+    if panel.date in columns:
+        before = F.lag(col(panel.date)).over(panel.along_series())
+        checks["complete"] = F.trunc(col(panel.date), "month") != F.add_months(F.trunc(before, "month"), 1)
+    idle = {n: c for n, c in _idle_months(panel).items() if n in columns}
+    if idle:
+        earlier = panel.along_series().rowsBetween(Window.unboundedPreceding, -1)
+        before = {n: F.last(F.col(n), ignorenulls=True).over(earlier) for n in idle}
+        checks["monotone"] = _any([offence for n, c in idle.items() for offence in _falls(F.col(n), before[n], c)])
+    return checks
 
 
 def out_of_bounds(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Negative or infinite volume, negative gas-oil ratio, water cut outside [0, 1]."""
+    return frame.filter(_any(_bounds(panel, frame.columns)))
+
+
+def _bounds(panel: Panel, columns: Sequence[str]) -> list[Column]:
     volume = col(panel.volume)
     offences = [(volume < 0) | F.isnan(volume) | (F.abs(volume) == float("inf"))]
-    if "gor" in frame.columns:
+    if "gor" in columns:
         offences.append(F.col("gor") < 0)
-    if "water_cut" in frame.columns:
+    if "water_cut" in columns:
         offences.append(~F.col("water_cut").between(0.0, 1.0))
-    return frame.filter(_any(offences))
+    return offences
 
 
 def over_cap(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Oil volumes that can only be a unit error."""
-    return frame.filter(panel.is_product(OIL) & (col(panel.volume) > OIL_CAP))
+    return frame.filter(_over_cap(panel))
+
+
+def _over_cap(panel: Panel) -> Column:
+    return panel.is_product(OIL) & (col(panel.volume) > OIL_CAP)
 
 
 def not_monotone(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Running totals that fall, or that move in a month without volume of the product."""
-    rows = panel.along_series()
-    earlier = rows.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = panel.along_series().rowsBetween(Window.unboundedPreceding, -1)
     marked = frame
     offences = []
-    idle_months = {
-        "cum_oil": panel.is_product(OIL) & (col(panel.volume) == 0),
-        "cum_gas": panel.is_product(GAS) & (col(panel.volume) == 0),
-    }
-    if panel.water:
-        idle_months["cum_water"] = col(panel.water) == 0
-    for total, idle in idle_months.items():
+    for total, idle in _idle_months(panel).items():
         before = f"_before_{total}"
         marked = marked.withColumn(before, F.last(F.col(total), ignorenulls=True).over(earlier))
-        offences.append(F.col(total) < F.col(before))
-        offences.append(idle & (F.col(total) != F.coalesce(F.col(before), F.lit(0.0))))
+        offences += _falls(F.col(total), F.col(before), idle)
     return marked.filter(_any(offences)).select(*map(col, frame.columns))
 
 
+def _idle_months(panel: Panel) -> dict[str, Column]:
+    """For each running total, whether a row's month has no volume of its product."""
+    idle = {
+        "cum_oil": panel.is_product(OIL) & (col(panel.volume) == 0),
+        "cum_gas": panel.is_product(GAS) & (col(panel.volume) == 0),
+    }
+    return idle | ({"cum_water": col(panel.water) == 0} if panel.water else {})
+
+
+def _falls(total: Column, before: Column, idle: Column) -> list[Column]:
+    return [total < before, idle & (total != F.coalesce(before, F.lit(0.0)))]
+
+
 def incomplete(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Entities whose number of rows differs from the months of their span."""
     return entity_span(frame, panel).filter("rows <> months")
@@ -104,7 +137,7 @@ def out_of_order(spark: SparkSession, directory: str, panel: Panel = Panel()) ->
 
     Meant for processed tables, whose months are unique in their entity.
     """
-    rows = spark.read.parquet(directory).select(
+    rows = read_stage(spark, directory).select(
         col(panel.entity),
         col(panel.date),
         file_name().alias("file_name"),

@@ -117,10 +117,10 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as landed files, line by line, whole texts.
 
-    Every seventh one ends in bytes that are no UTF-8; every fifth one has blank lines after its first.
+    Every seventh one ends in bytes that are no UTF-8; every fifth one ends in blank lines.
     """
     lines = F.split("text", "\n")
-    blank = F.concat(F.slice(lines, 1, 1), F.array(F.lit(""), F.lit(" ")))
+    blank = F.concat(lines, F.array(F.lit(""), F.lit(" ")))
     invalid = F.concat(lines, F.array(F.unhex(F.lit("FFFE")).cast("string")))
     chosen = F.when(F.expr("doc_id % 5 = 0"), blank).when(F.expr("doc_id % 7 = 0"), invalid)
     return table(spark, sf_dir, "documents").select(
@@ -134,14 +134,19 @@ ROWS_PER_FILE = 4000
 LINE_ENDS = {"G": "\n", "O": "\r\n", None: "\r"}
 
 
-def raw_contents(rows: DataFrame, columns: list[str], line_end: str, mixed: bool = False) -> DataFrame:
+def raw_contents(
+    rows: DataFrame, columns: list[str], line_end: str, mixed: bool = False, surplus: int = 0
+) -> DataFrame:
     """Whole texts of raw files with the given columns, ``ROWS_PER_FILE`` positions in each, in order.
 
-    With ``mixed``, every third row ends in LF whatever the others end in.
+    With ``mixed``, every third row ends in LF whatever the others end in. One in ``surplus`` rows has two more cells
+    than the header.
     """
     header = ",".join(f'"{c}"' if "," in c else c for c in columns)
     cells = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in columns]), {"escape": '"', "emptyValue": ""})
     end = F.when(F.lit(mixed) & (F.col(POSITION) % 3 == 0), "\n").otherwise(line_end)
+    if surplus:
+        cells = F.concat(cells, F.when(F.col(POSITION) % surplus == 0, ",more,").otherwise(""))
     lines = rows.select(
         F.floor(F.col(POSITION) / ROWS_PER_FILE).alias("file"),
         F.struct(POSITION, F.concat(cells, end).alias("line")).alias("row"),

@@ -306,8 +306,7 @@ PART_CHAIN = ", ".join(
 )
 DOCUMENT_FILES = """lines as (
   select concat('lp', doc_id, '.txt') as file_name, doc_id % 7 > 0 or doc_id % 5 = 0 as valid,
-         len([l for l in case when doc_id % 5 = 0 then string_split(text, chr(10))[1:1]
-                              else string_split(text, chr(10)) end if trim(l) <> ''])
+         len([l for l in string_split(text, chr(10)) if trim(l) <> ''])
          + case when doc_id % 7 = 0 and doc_id % 5 > 0 then 1 else 0 end as n
   from documents)
 select concat('lp', c_custkey, '.txt') as file_name, cast(coalesce(n, 0) as bigint) as lines,
@@ -339,7 +338,65 @@ MANIFEST = f"""{INDEX}, {LINKS}, {LANDED},
               when {{landed}} then 'landed' else 'pending' end as status
   from ids left join links using (lease_id)"""
 
+# Cells that can't be read, rows that are too long, files that lack the lease, dates beyond the last year.
+BAD_CELLS = f"""cells as (
+  select o_orderkey as k, {PRODUCT} as product, o_orderstatus,
+         case when o_orderkey % 71 = 0 then 'none' when o_orderkey % 73 <> 0 then '1' end as lease,
+         o_orderkey % 67 = 0 as half, case when o_orderkey % 79 = 0 then '5-12345' else {MONTH_YEAR} end as my
+  from orders),
+marked as (
+  select *, product = 'O' and k % 31 = 0 as long, regexp_matches(string_split(my, '-')[-1], '^[0-9]+$')
+         and try_cast(string_split(my, '-')[-1] as bigint) >= {MIN_YEAR} as kept
+  from cells),
+faults as (
+  select 'ingest' as stage, 'LEASE_KID' as "column", 'is required and absent' as reason, null as text
+  from (select distinct k // {ROWS_PER_FILE} from cells where product = 'P')
+  union all
+  select 'ingest', null, 'row with more cells than its header', 'more,' from marked where long
+  union all
+  select 'ingest', 'LEASE_KID', 'needs a number', lease from marked
+  where product in ('G', 'O') and not long and kept and (lease is null or lease = 'none')
+  union all
+  select 'ingest', 'SECTION', 'is not a whole number', '7.5' from marked
+  where product in ('G', 'O') and not long and kept and half
+  union all
+  select 'transform', 'MONTH-YEAR', 'no date has the year', my from marked
+  where product in ('G', 'O') and not long and lease = '1' and not half and my = '5-12345')"""
+
+
+def check(name: str, condition: str, source: str = "marked") -> str:
+    key = "min({'entity': LEASE_KID::text, 'month': production_date::text}) filter (bad)"
+    return f"""select '{name}' as "check", count(*) filter (bad) as offences, {key}.entity || ' ' || {key}.month as example
+  from (select *, coalesce({condition}, false) as bad from {source})"""
+
+
+REPORT = f"""{REPORTED},
+totals as (select *, {", ".join(CUMULATIVE)} from reported {windows()}),
+marked as (
+  select *, lag(production_date) over o as before, last_value(cum_oil ignore nulls) over p as before_oil,
+         last_value(cum_gas ignore nulls) over p as before_gas
+  from totals
+  window o as (partition by LEASE_KID order by production_date),
+         p as (partition by LEASE_KID order by production_date rows between unbounded preceding and 1 preceding))
+""" + "\nunion all\n".join(
+    [
+        check("bounds", "PRODUCTION < 0 or isnan(PRODUCTION) or isinf(PRODUCTION)"),
+        check("units", "PRODUCT = 'O' and PRODUCTION > 50000"),
+        check("category", "coalesce(PRODUCT not in ('O', 'G'), false) or coalesce(TWN_DIR not in ('S', 'N'), false)"),
+        check("complete", "production_date <> before + interval 1 month"),
+        check(
+            "monotone",
+            "coalesce(cum_oil < before_oil, false) or coalesce(cum_gas < before_gas, false)"
+            " or coalesce(PRODUCT = 'O' and PRODUCTION = 0 and cum_oil <> coalesce(before_oil, 0), false)"
+            " or coalesce(PRODUCT = 'G' and PRODUCTION = 0 and cum_gas <> coalesce(before_gas, 0), false)",
+        ),
+    ]
+)
+
 ORACLES: dict[str, str] = {
+    "rejected_rows": f"with {BAD_CELLS} select *, count(*) as rows from faults group by all",
+    "stage_report": f"with {REPORT}",
+    "committed_versions": f"with {FILLED} select LEASE_KID, count(*) as rows from filled group by 1",
     "lease_index": f"with {INDEX} select * from leases",
     "raw_scan": f"select {SCANNED} from orders",
     "union_files": f"""with {RAW_ALL}

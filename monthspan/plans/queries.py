@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,7 +157,7 @@ def clamped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per lease from a stage of as many files as three inputs get."""
     directory = stages.scratch_dir(spark, "stage")
     stages.write_stage(given.raw_panel(spark, sf_dir), directory, files=stages.file_count(3))
-    files = list_files(spark, directory, "*.parquet").count()
+    files = list_files(spark, stages.current_path(spark, directory), "*.parquet").count()
     rows = stages.read_stage(spark, directory).groupBy("LEASE_KID").agg(F.count("*").alias("rows"))
     return rows.withColumn("files", F.lit(files))
 
@@ -192,6 +193,59 @@ def file_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.integrity(expected, given.document_lines(spark, sf_dir))
 
 
+def with_bad_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw texts with leases, sections and dates that can't be, of any year."""
+    key = F.col(given.POSITION)
+    return given.raw_text(spark, sf_dir).withColumns(
+        {
+            "LEASE_KID": F.when(key % 71 == 0, "none").when(key % 73 == 0, "").otherwise(F.col("LEASE_KID")),
+            "SECTION": F.when(key % 67 == 0, "7.5").otherwise(F.col("SECTION")),
+            "MONTH-YEAR": F.when(key % 79 == 0, "5-12345").otherwise(F.col("`MONTH-YEAR`")),
+        }
+    )
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faults that ingest and transform keep apart, from files with bad cells, surplus cells and a file
+    without leases; some files are read in pieces."""
+    rows = with_bad_cells(spark, sf_dir)
+    columns = [c for c in rows.columns if c not in (given.POSITION, "URL")]
+    raw_dir = stages.scratch_dir(spark, "raw")
+    for product, chosen in {"G": columns, "O": [*columns, "URL"], "P": [c for c in columns if c != "LEASE_KID"]}.items():
+        part = rows.filter(F.col("PRODUCT") == product)
+        # Two cells more than the header has.
+        contents = given.raw_contents(part, chosen, "\r\n", surplus=31 if product == "O" else 0)
+        stages.move_files(spark, contents, write_raw_files, raw_dir, f"lp {product}.txt")
+    directories = {name: stages.scratch_dir(spark, name) for name in ("interim", "processed", "rejects")}
+    paths = jobs.Paths(raw=raw_dir, **directories)
+    jobs.run(spark, paths, ["ingest", "transform"], replace(SETTINGS, on_reject="keep", whole_up_to=100_000))
+    faults = [stages.read_stage(spark, paths.rejects_of(stage)) for stage in ("ingest", "transform")]
+    stages.drop_dir(spark, raw_dir)
+    every = faults[0].withColumn("stage", F.lit("ingest")).unionByName(faults[1].withColumn("stage", F.lit("transform")))
+    return every.groupBy("stage", "column", "reason", "text").agg(F.count("*").alias("rows"))
+
+
+def stage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the checks found when a panel that was never bounded nor filled was written."""
+    directory = stages.scratch_dir(spark, "stage")
+    rows = reported(spark, sf_dir).transform(features.add_cumulative)
+    checks = quality.write_checks(PANEL, monthly_schema(), rows.columns)
+    stages.write_stage(rows, directory, checks=checks)
+    return jobs.report(spark, directory)
+
+
+def committed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per lease of a panel after a second write that broke off; its buckets come from the list of commits."""
+    directory = stages.scratch_dir(spark, "panel")
+    stages.write_panel(filled(spark, sf_dir), directory)
+    broken = filled(spark, sf_dir).withColumn("PRODUCTION", F.raise_error(F.lit("broken off")).cast("double"))
+    try:
+        stages.write_panel(broken, directory)
+    except PySparkException:
+        pass
+    return stages.read_panel(spark, directory).groupBy("LEASE_KID").agg(F.count("*").alias("rows"))
+
+
 # Schema and casts
 
 
@@ -512,6 +566,9 @@ QUERIES: dict[str, Query] = {
         schema_drift,
         stage_roundtrip,
         file_integrity,
+        rejected_rows,
+        stage_report,
+        committed_versions,
         typed_cast,
         absent_column,
         canonical_select,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from typing import Any
 
@@ -24,7 +25,7 @@ def file_name() -> Column:
 
 
 def list_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
-    """Non-empty files as (path, file_name, length); no content is read.
+    """Non-empty files as (path, file_name, length, modificationTime); no content is read.
 
     Raises FileNotFoundError when the directory holds no such file, and ValueError when one of them
     begins with an underscore or a dot: Spark's readers pass over such files, and leaving out rows
@@ -34,14 +35,14 @@ def list_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     if hidden := _hidden(spark, directory, pattern):
         raise ValueError(f"Spark does not read files whose names begin like this one: {hidden}")
     try:
-        files = reader.load(directory).select("path", "length", file_name().alias("file_name"))
+        files = reader.load(directory).select("path", "length", "modificationTime", file_name().alias("file_name"))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no directory {directory}") from error
         raise
     if files.isEmpty():
         raise FileNotFoundError(f"no {pattern} files in {directory}")
-    return files.select("path", "file_name", "length")
+    return files.select("path", "file_name", "length", "modificationTime")
 
 
 def _hidden(spark: SparkSession, directory: str, pattern: str) -> str | None:
@@ -89,3 +90,21 @@ def _open(path: str) -> Any:
 def _footer(path: str) -> str:
     with _open(path) as handle:
         return str(pyarrow.parquet.read_schema(handle).remove_metadata())
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh directory that all machines see: under spark.checkpoint.dir, else in the warehouse.
+
+    A warehouse on the driver's own disk is shared with nobody, so on a cluster that is an error.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        local = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
+        if not local and _is_local(shared):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _is_local(directory: str) -> bool:
+    return directory.startswith(("file:", "/"))

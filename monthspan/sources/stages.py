@@ -1,19 +1,55 @@
-"""Stage tables: Parquet directories that are overwritten whole."""
+"""Stage tables: Parquet directories with versions.
+
+Each write goes to a folder of its own inside the stage's directory, and counts only when a row has been appended to
+the list of commits beside it. Readers take the last version that was committed, so a write that is killed leaves
+the version before it as it is. The last two versions are kept. A stage has one writer at a time. A directory without
+commits is read as plain Parquet.
+"""
 
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
+from collections.abc import Mapping
+from dataclasses import asdict, dataclass, field
+from fnmatch import fnmatch
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from monthspan.operators.rejects import FAULTS, accepted
 from monthspan.panel import Panel, col
+from monthspan.sources.files import list_files
+from monthspan.sources.files import scratch_dir as scratch_dir
 from monthspan.sources.raw import SOURCE_FILE, SOURCE_POS
 
 # The classic range of output files per stage.
 FEWEST_FILES = 10
 MOST_FILES = 50
+# Versions of a stage that stay.
+VERSIONS = 2
+_COMMIT = "number bigint, version string, content string"
+
+
+@dataclass(frozen=True)
+class Commit:
+    """A version of a stage table.
+
+    ``source`` tells what it was made from, ``faulty`` how many rows were left out for their faults, ``checks`` what
+    the checks of the write found: name, offences and one example. ``buckets`` are the number of buckets by ``keys[0]``,
+    sorted by ``keys``, and ``schema`` their columns.
+    """
+
+    number: int
+    version: str
+    rows: int
+    faulty: int = 0
+    source: str = ""
+    checks: list[dict] = field(default_factory=list)
+    buckets: int = 0
+    keys: list[str] = field(default_factory=list)
+    schema: str = ""
 
 
 def file_count(n: int, low: int = FEWEST_FILES, high: int = MOST_FILES) -> int:
@@ -21,8 +57,23 @@ def file_count(n: int, low: int = FEWEST_FILES, high: int = MOST_FILES) -> int:
     return max(low, min(n, high))
 
 
+def commits(spark: SparkSession, directory: str) -> list[Commit]:
+    """The versions that stay, the last one first."""
+    path = f"{directory}/_commits"
+    if not _exists(spark, path):
+        return []
+    rows = spark.read.schema(_COMMIT).json(path).orderBy(F.desc("number")).limit(VERSIONS).collect()
+    return [Commit(**json.loads(row["content"])) for row in rows]
+
+
+def current_path(spark: SparkSession, directory: str) -> str:
+    """The folder of the last version, or the directory itself if it has none."""
+    found = commits(spark, directory)
+    return f"{directory}/{found[0].version}" if found else directory
+
+
 def read_stage(spark: SparkSession, directory: str) -> DataFrame:
-    return spark.read.parquet(directory)
+    return spark.read.parquet(current_path(spark, directory))
 
 
 def read_rows_in_order(spark: SparkSession, directory: str) -> tuple[DataFrame, list[str]]:
@@ -38,40 +89,134 @@ def read_rows_in_order(spark: SparkSession, directory: str) -> tuple[DataFrame,
 
 
 def write_stage(
-    frame: DataFrame, directory: str, files: int | None = None, panel: Panel | None = None
-) -> None:
-    """Overwrite a stage table.
+    frame: DataFrame,
+    directory: str,
+    files: int | None = None,
+    panel: Panel | None = None,
+    checks: Mapping[str, Column] | None = None,
+    source: str = "",
+    faulty: int = 0,
+) -> Commit:
+    """Write a new version of a stage table.
 
     By default the file sizes follow the plan's own partitions, which scale with the data. With
     ``files``, rows are spread over that many files first: by entity and in date order for a panel,
-    evenly otherwise.
+    evenly otherwise. Faulty rows are left out and counted, besides those that ``faulty`` tells of. ``checks`` are conditions that offending rows meet;
+    they are counted in the same pass, with the least offending row's first column and date as an example.
     """
-    _arrange(frame, files, panel).write.mode("overwrite").parquet(directory)
-
-
-def write_panel(frame: DataFrame, directory: str, panel: Panel = Panel()) -> None:
-    """Overwrite a stage table in buckets by entity, in date order inside each bucket.
+    observed, seen = _observed(frame, panel or Panel(), checks or {})
+    version, number = _next_version(frame.sparkSession, directory)
+    _arrange(observed, files, panel).write.parquet(f"{directory}/{version}")
+    return _commit(frame.sparkSession, directory, Commit(number, version, source=source, **_counts(seen, checks, faulty)))
+
+
+def write_panel(
+    frame: DataFrame,
+    directory: str,
+    panel: Panel = Panel(),
+    checks: Mapping[str, Column] | None = None,
+    source: str = "",
+    faulty: int = 0,
+) -> Commit:
+    """Write a new version of a stage table in buckets by entity, in date order inside each bucket.
 
     What reads it with ``read_panel`` finds each entity in one partition and shuffles nothing. The
     number of buckets is that of the shuffle that the rows come from, so the write adds none.
     """
     spark = frame.sparkSession
+    observed, seen = _observed(frame, panel, checks or {})
+    version, number = _next_version(spark, directory)
+    path = f"{directory}/{version}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.sql(f"drop table if exists {_table(directory)}")
-    writer = frame.write.mode("overwrite").format("parquet").option("path", directory)
     keys = [panel.entity, *[k for k in panel.keys if k != panel.entity]]
-    writer.bucketBy(buckets, panel.entity).sortBy(*keys).saveAsTable(_table(directory))
+    writer = observed.write.format("parquet").option("path", path)
+    writer.bucketBy(buckets, panel.entity).sortBy(*keys).saveAsTable(_table(path))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in observed.schema)
+    layout = {"buckets": buckets, "keys": keys, "schema": schema}
+    return _commit(spark, directory, Commit(number, version, source=source, **layout, **_counts(seen, checks, faulty)))
 
 
 def read_panel(spark: SparkSession, directory: str) -> DataFrame:
-    """A stage table with its buckets, where this session's catalog knows them."""
-    if spark.catalog.tableExists(_table(directory)):
-        return spark.table(_table(directory))
-    return read_stage(spark, directory)
-
-
-def _table(directory: str) -> str:
-    return f"monthspan_{hashlib.sha256(directory.encode()).hexdigest()[:24]}"
+    """A stage table with its buckets, whichever session wrote it."""
+    found = commits(spark, directory)
+    if not found or not found[0].buckets:
+        return read_stage(spark, directory)
+    path = f"{directory}/{found[0].version}"
+    if not spark.catalog.tableExists(_table(path)):
+        _register(spark, path, found[0])
+    return spark.table(_table(path))
+
+
+def _register(spark: SparkSession, path: str, commit: Commit) -> None:
+    """Make the buckets known to this session's catalog, after a look at the files' names."""
+    bucket = F.regexp_extract("file_name", r"_([0-9]{5})(?:\.|$)", 1).cast("int")
+    astray = list_files(spark, path, "*.parquet").filter(bucket.isNull() | (bucket >= commit.buckets))
+    if not astray.isEmpty():
+        raise ValueError(f"{path} holds files that belong to none of its {commit.buckets} buckets")
+    keys = ", ".join(f"`{key}`" for key in commit.keys)
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"create table {_table(path)} ({commit.schema}) using parquet clustered by (`{commit.keys[0]}`) "
+        f"sorted by ({keys}) into {commit.buckets} buckets location '{location}'"
+    )
+
+
+def _table(path: str) -> str:
+    return f"monthspan_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+
+
+def _observed(
+    frame: DataFrame, panel: Panel, checks: Mapping[str, Column]
+) -> tuple[DataFrame, Observation]:
+    """The rows to write, and what will be known of them when they are written."""
+    seen = Observation()
+    clean = F.size(FAULTS) == 0 if FAULTS in frame.columns else F.lit(True)
+    marks = {f"_check_{name}": F.coalesce(offends, F.lit(False)) for name, offends in checks.items()}
+    marked = frame.withColumns(marks) if marks else frame
+    key = [F.col(f"`{frame.columns[0]}`").cast("string")]
+    if panel.date in frame.columns:
+        key.append(col(panel.date).cast("string"))
+    found = [F.count_if(clean).alias("rows"), F.count_if(~clean).alias("faulty")]
+    for name in checks:
+        bad = F.col(f"_check_{name}") & clean
+        example = F.min(F.when(bad, F.struct(*[part.alias(f"k{i}") for i, part in enumerate(key)])))
+        found += [F.count_if(bad).alias(f"n_{name}"), F.to_json(example).alias(f"e_{name}")]
+    observed = marked.observe(seen, *found).drop(*marks)
+    return (accepted(observed) if FAULTS in frame.columns else observed), seen
+
+
+def _counts(seen: Observation, checks: Mapping[str, Column] | None, faulty: int) -> dict:
+    found = seen.get
+    return {
+        "rows": found["rows"],
+        "faulty": found["faulty"] + faulty,
+        "checks": [
+            {"check": name, "offences": found[f"n_{name}"], "example": _example(found[f"e_{name}"])}
+            for name in checks or {}
+        ],
+    }
+
+
+def _example(key: str | None) -> str | None:
+    return " ".join(json.loads(key).values()) if key else None
+
+
+def _next_version(spark: SparkSession, directory: str) -> tuple[str, int]:
+    found = commits(spark, directory)
+    number = found[0].number + 1 if found else 1
+    return f"v{number}-{uuid.uuid4().hex[:12]}", number
+
+
+def _commit(spark: SparkSession, directory: str, commit: Commit) -> Commit:
+    """Append to the list of commits; only then does a version count. Drop versions that are too old."""
+    row = spark.createDataFrame([(commit.number, commit.version, json.dumps(asdict(commit)))], _COMMIT)
+    row.coalesce(1).write.mode("append").json(f"{directory}/_commits")
+    kept = {found.version for found in commits(spark, directory)}
+    for name in _names(spark, directory, "v*-*"):
+        if name not in kept:
+            spark.sql(f"drop table if exists {_table(f'{directory}/{name}')}")
+            drop_dir(spark, f"{directory}/{name}")
+    return commit
 
 
 def write_by_entity(frame: DataFrame, directory: str, panel: Panel = Panel()) -> None:
@@ -88,24 +233,6 @@ def _arrange(frame: DataFrame, files: int | None, panel: Panel | None) -> DataFr
     return frame.sortWithinPartitions(*map(col, panel.keys))
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh directory that all machines see: under spark.checkpoint.dir, else in the warehouse.
-
-    A warehouse on the driver's own disk is shared with nobody, so on a cluster that is an error.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = spark.conf.get("spark.sql.warehouse.dir")
-        local = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
-        if not local and _is_local(shared):
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def _is_local(directory: str) -> bool:
-    return directory.startswith(("file:", "/"))
-
-
 def move_files(spark: SparkSession, contents: DataFrame, write, directory: str, first_name: str) -> None:
     """Write files to a directory of their own, name the first one, and move them all together.
 
@@ -126,5 +253,24 @@ def move_files(spark: SparkSession, contents: DataFrame, write, directory: str,
 
 def drop_dir(spark: SparkSession, directory: str) -> None:
     """Remove a scratch directory that nothing reads any more."""
+    path, system = _file_system(spark, directory)
+    system.delete(path, True)
+
+
+def _exists(spark: SparkSession, directory: str) -> bool:
+    path, system = _file_system(spark, directory)
+    return system.exists(path)
+
+
+def _names(spark: SparkSession, directory: str, pattern: str) -> list[str]:
+    """Names of a directory's folders; of few, as only some versions are kept."""
+    path, system = _file_system(spark, directory)
+    if not system.exists(path):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(path) if status.isDirectory()]
+    return [name for name in names if fnmatch(name, pattern)]
+
+
+def _file_system(spark: SparkSession, directory: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(directory)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

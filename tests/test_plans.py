@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 LAZY = [n for n in QUERIES if n not in {
     "raw_scan", "union_files", "source_files", "dictionary_scan", "clamped_files", "entity_layout", "schema_drift",
     "file_order", "stage_roundtrip", "acquire_job", "ingest_job", "transform_job", "features_job", "whole_run",
-    "all_stages",
+    "all_stages", "rejected_rows", "stage_report", "committed_versions",
 }]
 
 

@@ -1,10 +1,13 @@
+import random
+
 import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
+from monthspan.operators import rejects
 from monthspan.sources import raw
-from monthspan.sources.dictionary import archive_schema, monthly_schema
+from monthspan.sources.dictionary import archive_schema, build_schema, monthly_schema
 from tests.helpers import COLUMNS, LEASE, line, write_file
 
 SCHEMA = monthly_schema()
@@ -117,15 +120,83 @@ def test_any_line_end_in_pieces_of_any_size(spark, tmp_path, header_end, row_end
     wanted = [tuple(v or None for v in row) for row in wanted.itertuples(index=False)]
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
-        for size, quoted_breaks in (("128m", True), ("128m", False), ("40k", False), ("3001", False)):
+        for size, quoted_breaks in (("128m", True), ("128m", False), ("3001", True), ("3001", False)):
             spark.conf.set("spark.sql.files.maxPartitionBytes", size)
-            rows = raw.scan_raw(spark, str(tmp_path), SCHEMA, quoted_breaks=quoted_breaks)
-            found = [tuple(r)[:20] for r in rows.orderBy("source_file", "source_pos").collect()]
-            assert found == wanted
-            if size == "3001":
-                assert len({r["source_pos"]["block"] for r in rows.collect()}) > 10
+            whole_up_to = 0 if size == "3001" else raw.WHOLE_UP_TO
+            rows = raw.scan_raw(spark, str(tmp_path), SCHEMA, quoted_breaks, whole_up_to)
+            rows = rows.orderBy("source_file", "source_pos").collect()
+            assert [tuple(r)[:20] for r in rows] == wanted
+            if whole_up_to == 0 and (row_end != "cr" or not quoted_breaks):
+                assert len({r["source_pos"]["block"] for r in rows}) > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def quoted_texts():
+    """Files with line breaks and marks in quotes, quotes that mean nothing and quotes that never close."""
+    chance = random.Random(11)
+    cells = ["a", "", '"two\nlines"', '"crlf\r\nin"', '"cr\rin"', '"say ""x"""', '5" pipe', '"q"tail', '"\n\n"', '"","', '""']
+    files = []
+    for _ in range(6):
+        rows = [",".join([str(i), *chance.choices(cells, k=3)]) for i in range(chance.randint(1, 120))]
+        ends = chance.choices(["\n", "\r\n", "\r", "\n\n"], k=len(rows))
+        files.append("K,A,B,C\n" + "".join(map("".join, zip(rows, ends))))
+    files += [
+        "K,A,B,C\n1,x,y,z\n2,\"open,y\n3,a,b,c\n4,\"\"\"\",b,c\n",  # never closes
+        'K,"A",B,"C"\r\n1,"' + "long\n" * 300 + '",b,c\r\n2,x,"y\n"\n3',  # a cell over many pieces
+        '\n\n"K",A,B,C\n"1\n",2,3,4\n',
+        "K,A,B,C",
+        '"K\n,A",B\n1,2\n',
+    ]
+    return files
+
+
+@pytest.mark.parametrize("size", ["50", "333"])
+def test_quoted_line_breaks_in_pieces_of_any_size(spark, tmp_path, size):
+    """Pieces give the rows that whole files give, faults included."""
+    schema = build_schema([("K", "string", "no", ""), *[(c, "string", "yes", "") for c in "ABC"]])
+    for i, text in enumerate(quoted_texts()):
+        (tmp_path / f"lp{i}.txt").write_bytes(text.encode())
+
+    def rows(whole_up_to):
+        frame = raw.checked_scan(spark, str(tmp_path), schema, True, whole_up_to)
+        found = frame.orderBy("source_file", "source_pos").collect()
+        return [(*r[:5], r["faults"]) for r in found]
+
+    wanted = rows(1 << 20)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        assert rows(0) == wanted
+        assert rows(500) == wanted  # some files at once, others in pieces
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(wanted) > 200 and any(r[5] for r in wanted)
+
+
+def test_a_large_file_without_breaks_in_quotes_is_not_shuffled(spark, tmp_path):
+    write_file(tmp_path, "lp1.txt", [line(LEASE='"a, ""b"""')] * 50)
+    plan = raw.scan_raw(spark, str(tmp_path), SCHEMA, True, 0)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_faults_name_every_bad_cell(spark, tmp_path):
+    write_file(tmp_path, "lp1.txt", [
+        line(), line(LEASE_KID="x", WELLS="1.5"), line() + ",more,,", line(LEASE_KID="y", MONTH_YEAR="1-2020"),
+    ])
+    fewer = [c for c in COLUMNS if c not in ("LEASE_KID", "PRODUCT")]
+    write_file(tmp_path, "lp2.txt", [line(fewer)] * 3, fewer)
+    for whole_up_to in (0, raw.WHOLE_UP_TO):
+        checked = raw.checked_ingest(spark, str(tmp_path), SCHEMA, whole_up_to=whole_up_to)
+        found = rejects.rejected(checked, ["source_file"]).collect()
+        assert sorted(map(tuple, found), key=str) == sorted([
+            ("lp1.txt", "LEASE_KID", "x", "needs a number"),
+            ("lp1.txt", "WELLS", "1.5", "is not a whole number"),
+            ("lp1.txt", None, "more,,", "row with more cells than its header"),
+            ("lp2.txt", "LEASE_KID", None, "is required and absent"),
+            ("lp2.txt", "PRODUCT", None, "is required and absent"),
+        ], key=str)
+        assert rejects.accepted(checked).count() == 1
 
 
 def test_only_the_option_decides_whether_quotes_hold_line_breaks(spark, tmp_path):

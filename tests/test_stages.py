@@ -1,8 +1,9 @@
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from monthspan import Panel
-from monthspan.operators import dedup, manifest, quality
+from monthspan.operators import dedup, manifest, quality, rejects
 from monthspan.operators.features import FEATURES, add_features
 from monthspan.plans import jobs
 from monthspan.sources import dictionary, files, landed, stages
@@ -26,7 +27,7 @@ def test_write_with_a_number_of_files(spark, tmp_path):
         rows = rows.unionByName(panel(spark, [(2, 1, "O"), (1, 2, "O")], lease=lease))
     stages.write_stage(rows, str(tmp_path / "a"), files=4, panel=Panel())
     written = stages.read_stage(spark, str(tmp_path / "a"))
-    assert len(list((tmp_path / "a").glob("*.parquet"))) == 4
+    assert len(list((tmp_path / "a").glob("v1-*/*.parquet"))) == 4
     assert written.exceptAll(rows).count() == 0 and written.count() == rows.count()
     assert quality.out_of_order(spark, str(tmp_path / "a")).count() == 0
     stages.write_stage(rows, str(tmp_path / "a"), files=2)
@@ -72,8 +73,86 @@ def test_a_panel_in_buckets_needs_no_shuffle(spark, tmp_path):
         assert "Exchange" not in plan
     assert quality.out_of_order(spark, directory).count() == 0
     assert stages.read_stage(spark, directory).count() == 5
-    # Another session's catalog does not know the buckets; the rows are the same.
-    assert sorted(stages.read_panel(spark, f"{directory}/").select(rows.columns).collect()) == sorted(rows.collect())
+    # A session whose catalog does not know the buckets learns of them from the list of commits.
+    spark.sql(f"drop table {stages._table(stages.current_path(spark, directory))}")
+    plan = add_features(stages.read_panel(spark, directory))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert sorted(stages.read_panel(spark, directory).collect()) == sorted(rows.collect())
+
+
+def test_files_outside_the_buckets_are_an_error(spark, tmp_path):
+    directory = str(tmp_path / "a")
+    stages.write_panel(oil(spark, 1, 2), directory)
+    path = stages.current_path(spark, directory)
+    spark.sql(f"drop table {stages._table(path)}")
+    oil(spark, 3).write.mode("append").parquet(path)
+    with pytest.raises(ValueError, match="none of its"):
+        stages.read_panel(spark, directory)
+
+
+@pytest.mark.parametrize("write", [stages.write_stage, stages.write_panel])
+def test_a_write_that_breaks_off_leaves_the_version_before(spark, tmp_path, write):
+    directory = str(tmp_path / "a")
+    write(oil(spark, 1, 2), directory)
+    broken = oil(spark, 5, 6, 7).withColumn("PRODUCTION", F.raise_error(F.lit("killed")).cast("double"))
+    with pytest.raises(PySparkException, match="killed"):
+        write(broken, directory)
+    assert stages.read_panel(spark, directory).count() == 2
+    # So does one that is killed between its files and its commit.
+    oil(spark, 1, 2, 3).write.parquet(f"{directory}/v2-abc")
+    assert stages.read_panel(spark, directory).count() == 2
+    for n in (3, 4, 5):
+        write(oil(spark, *range(n)), directory)
+        assert stages.read_panel(spark, directory).count() == n
+    assert [c.number for c in stages.commits(spark, directory)] == [4, 3]
+    assert len(list((tmp_path / "a").glob("v*"))) == 2
+
+
+def test_an_empty_table_is_committed_with_its_checks(spark, tmp_path):
+    none = oil(spark, 1).filter("PRODUCTION > 5").repartition(3, "LEASE_KID")
+    checks = quality.write_checks(Panel(), SCHEMA, none.columns)
+    commit = stages.write_stage(none, str(tmp_path / "a"), checks=checks)
+    assert commit.rows == 0 and {c["offences"] for c in commit.checks} == {0}
+    assert stages.read_stage(spark, str(tmp_path / "a")).columns == none.columns
+
+
+def test_checks_are_counted_in_the_pass_that_writes(spark, tmp_path):
+    rows = panel(spark, [(1, -5, "O"), (2, 60000, "O"), (5, 1, "X")])
+    commit = stages.write_stage(rows, str(tmp_path / "a"), checks=quality.write_checks(Panel(), SCHEMA, rows.columns))
+    found = {c["check"]: (c["offences"], c["example"]) for c in commit.checks}
+    assert found == {
+        "bounds": (1, f"{LEASE} 2024-01-01"), "units": (1, f"{LEASE} 2024-02-01"),
+        "category": (1, f"{LEASE} 2024-05-01"), "complete": (1, f"{LEASE} 2024-05-01"),
+    }
+    report = {r["check"]: (r["offences"], r["example"]) for r in jobs.report(spark, str(tmp_path / "a")).collect()}
+    assert report == found
+
+
+def test_a_run_names_all_bad_cells_after_it_has_written_the_good_rows(spark, tmp_path):
+    write_file(tmp_path / "raw", "lp1.txt", [line(), line(LEASE_KID="x"), line(SECTION="1.5"), line(MONTH_YEAR="2-20244")])
+    with pytest.raises(rejects.RejectedRows, match="2 rows.*needs a number: x") as told:
+        run(spark, tmp_path, ["ingest"])
+    faults = stages.read_stage(spark, told.value.directory).collect()
+    assert sorted((r["source_file"], r["column"], r["text"]) for r in faults) == [
+        ("lp1.txt", "LEASE_KID", "x"), ("lp1.txt", "SECTION", "1.5"),
+    ]
+    paths = run(spark, tmp_path, ["ingest", "transform"], on_reject="keep")
+    assert stages.read_stage(spark, paths.interim).count() == 2
+    assert stages.read_stage(spark, paths.processed).count() == 1
+    faults = stages.read_stage(spark, paths.rejects_of("transform")).collect()
+    assert [(r["column"], r["text"], r["reason"]) for r in faults] == [("MONTH-YEAR", "2-20244", "no date has the year")]
+
+
+def test_a_run_resumes_after_the_last_stage_that_was_committed(spark, tmp_path):
+    raw_files(tmp_path)
+    names = ["ingest", "transform", "features"]
+    paths = run(spark, tmp_path, names)
+    assert list(jobs.run(spark, paths, names, resume=True)) == []
+    other = jobs.Settings(panel=Panel(by_product=True))
+    assert list(jobs.run(spark, paths, ["transform"], other, resume=True)) == ["transform"]
+    write_file(tmp_path / "raw", "lp9.txt", [line(LEASE_KID="9")])
+    assert list(jobs.run(spark, paths, names, resume=True)) == names
+    assert stages.read_stage(spark, paths.features).filter("LEASE_KID = 9").count() == 1
 
 
 def test_dictionary_file_drives_the_jobs(spark, tmp_path):
@@ -89,7 +168,7 @@ def test_dictionary_file_drives_the_jobs(spark, tmp_path):
         interim=str(tmp_path / "interim"), processed=str(tmp_path / "processed"),
     )
     jobs.run(spark, paths, ["ingest", "transform"])
-    made = spark.read.parquet(paths.processed)
+    made = stages.read_stage(spark, paths.processed)
     assert "SPOT" not in made.columns and "WELLS" not in made.columns
     # The undeclared product is nulled, and the gap filling carries the last known one on.
     assert values(made, "PRODUCT") == ["O", "O"]
@@ -212,12 +291,12 @@ def raw_files(tmp_path):
 def test_whole_run(spark, tmp_path, files_wanted):
     raw_files(tmp_path)
     paths = run(spark, tmp_path, files=files_wanted)
-    interim = spark.read.parquet(paths.interim)
+    interim = stages.read_stage(spark, paths.interim)
     assert interim.columns == [*COLUMNS, "source_file", "source_pos"]
     assert [f.dataType for f in interim.schema][:20] == [f.dataType for f in SCHEMA]
     assert interim.count() == 11
 
-    processed = spark.read.parquet(paths.processed)
+    processed = stages.read_stage(spark, paths.processed)
     assert processed.columns == [*COLUMNS, "source_file", "production_date"]
     assert dict(processed.dtypes)["production_date"] == "date"
     mine = processed.filter(f"LEASE_KID = {LEASE}")
@@ -226,9 +305,9 @@ def test_whole_run(spark, tmp_path, files_wanted):
     assert values(processed.filter("LEASE_KID = 5"), "PRODUCTION") == [1, 2, 0, 4]
 
     if files_wanted:
-        assert all(len(list((tmp_path / d).glob("*.parquet"))) <= 10 for d in ("interim", "processed", "features"))
+        assert all(len(list((tmp_path / d).glob("v1-*/*.parquet"))) <= 10 for d in ("interim", "processed", "features"))
 
-    made = spark.read.parquet(paths.features)
+    made = stages.read_stage(spark, paths.features)
     assert made.columns == [*processed.columns, *FEATURES]
     assert len(made.columns) == 34
     assert values(made.filter("LEASE_KID = 5"), "cum_oil") == [1, 3, 3, 7]
@@ -237,21 +316,23 @@ def test_whole_run(spark, tmp_path, files_wanted):
         assert check(made).count() == 0, check.__name__
     assert quality.undeclared_categories(made, SCHEMA).count() == 0
     for directory in (paths.interim, paths.processed, paths.features):
-        assert files.schema_variants(spark, directory).count() == 1
+        assert files.schema_variants(spark, stages.current_path(spark, directory)).count() == 1
+        found = [r for r in jobs.report(spark, directory).collect() if r["offences"]]
+        assert found == []
     for directory in (paths.processed, paths.features):
         assert quality.out_of_order(spark, directory).count() == 0
 
     before = made.collect()
     run(spark, tmp_path, files=files_wanted)
-    assert sorted(map(str, spark.read.parquet(paths.features).collect())) == sorted(map(str, before))
+    assert sorted(map(str, stages.read_stage(spark, paths.features).collect())) == sorted(map(str, before))
 
 
 def test_run_with_settings(spark, tmp_path):
     raw_files(tmp_path)
-    with pytest.raises(PySparkException, match="no such month"):
+    with pytest.raises(rejects.RejectedRows, match="no such month: 13-2024"):
         run(spark, tmp_path, on_bad_date="fail")
     paths = run(spark, tmp_path, ["ingest", "transform"], panel=Panel(by_product=True), min_year=2023)
-    processed = spark.read.parquet(paths.processed).filter(f"LEASE_KID = {LEASE}")
+    processed = stages.read_stage(spark, paths.processed).filter(f"LEASE_KID = {LEASE}")
     assert processed.filter("PRODUCT = 'G'").count() == 1
     assert processed.filter("PRODUCT = 'O'").count() == 25
 
@@ -266,7 +347,7 @@ def test_acquire_stage(spark, tmp_path):
     content = (tmp_path / "raw" / "lp1.txt").read_text()
     for _ in range(2):
         paths = run(spark, tmp_path, ["acquire"])
-        rows = spark.read.parquet(paths.manifest).orderBy("URL").collect()
+        rows = stages.read_stage(spark, paths.manifest).orderBy("URL").collect()
         assert [r["status"] for r in rows] == ["landed", "pending", "bad_url"]
     assert (tmp_path / "raw" / "lp1.txt").read_text() == content
 
