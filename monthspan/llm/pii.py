@@ -1,18 +1,23 @@
 """Personal data: generated candidates, boosted trees, calibrated thresholds.
 
-High-recall patterns propose spans of four kinds, which may overlap. Fixed patterns with checks (part
-sizes, check digits, numbers of digits) make the base spans. Whether a candidate looks like one is
-learned by boosted trees from its format and the text around it, on a bounded sample in which the base
-spans are the positive examples; for each kind, the threshold is the least score from which on the
-candidates of all documents, but those learned from, keep their precision. Spans above it are added to
-the base ones.
-
-Finding, scoring and redacting are column expressions on each row: no shuffle, no Python. Learning
-counts scores of all candidates, and only these counts are shuffled.
+Fixed patterns with checks (part sizes, check digits, numbers of digits) make the base spans. High-recall patterns
+propose further spans of the four kinds in other spellings, which may overlap. Boosted trees tell by a candidate's
+format and the text around it whether it is personal data.
+
+The base spans are the positive examples, as they stand and respelled as candidates may be (``name [at] host [dot]
+org``, ``00`` or brackets for a plus, other separators), each in its own context. The candidates that touch no base
+span have no labels: some are personal data, most are order numbers, versions and the like. They are weighed like
+negative ones in learning, and thresholds allow for what they hide. A threshold makes the most of the share of
+respelled examples above it less ``FALSE`` times the share of unlabelled ones. If a part of the unlabelled is personal
+data too, it lowers that difference by the same factor everywhere, so the best threshold stays where it is.
+
+Finding, scoring and redacting are column expressions on each row: no shuffle, no Python. Learning reads the texts
+once and writes spans and candidates, which are few; of scores, only counts are collected.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -24,16 +29,14 @@ from monthspan.llm import trees
 from monthspan.llm.shared import saved, whole_texts
 
 KINDS = ("email", "ip", "card", "phone")
-# Documents that are learned from at most, and candidates in them; a hash decides which.
-SAMPLE = 4_000
-SAMPLE_CANDIDATES = 20_000
+# Examples of each label that trees are fitted to at most; a hash decides which. All others give the thresholds.
+SAMPLE_CANDIDATES = 10_000
 ROUNDS = 12
 DEPTH = 3
-PRECISION = 0.98
-# Candidates above a threshold that it takes to trust it.
-ENOUGH = 30
+# What a share of the unlabelled candidates weighs against the same share of the positive examples.
+FALSE = 5
 # Scores are counted in steps of 1 / STEPS.
-STEPS = 1024
+STEPS = 8
 # Characters of context on either side.
 BEFORE, AFTER = 24, 8
 
@@ -54,6 +57,30 @@ _CANDIDATES = {
     "card": r"(?<![0-9])[0-9](?:[ ./-]{0,2}[0-9]){11,18}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z])(?:\+|00|\()?[0-9](?:[ ().\-/]{0,2}[0-9]){6,14}(?![0-9A-Za-z])",
 }
+# A text without any of this has no candidate of the kind.
+_TOLD = {
+    "email": r"@|[\[(](?:at|AT)[\])]| at [A-Za-z0-9-]+(?:\.| ?[\[(](?:dot|DOT)[\])]| dot )",
+    "ip": r"[0-9](?:[.,:]|\[\.\])[0-9]",
+    "card": r"[0-9][ ./-]{0,2}[0-9][ ./-]{0,2}[0-9][ ./-]{0,2}[0-9]",
+    "phone": r"[0-9][ ().\-/]{0,2}[0-9][ ().\-/]{0,2}[0-9][ ().\-/]{0,2}[0-9]",
+}
+# Other spellings of base spans: pattern and replacement, one after the other.
+_SPELLINGS = {
+    "email": (
+        [("@", " [at] "), (r"\.", " [dot] ")],
+        [("@", "(at)"), (r"\.", ".")],
+        [("@", "[AT]"), (r"\.", "[DOT]")],
+        [("@", " at "), (r"\.", " dot ")],
+    ),
+    "ip": ([(r"\.", "[.]")], [(r"\.([0-9]+)$", "[.]$1")]),
+    "card": ([("[ -]", "")], [("[ -]", "."), ], [("[ -]?([0-9]{4})", " / $1"), ("^ / ", "")]),
+    "phone": (
+        [(r"^\+", "00")],
+        [(r"^\+", "")],
+        [(r"^\+[0-9]{1,2}[ .-]*", "(0"), (r"^(\(0[0-9]{2,4})[ ().-]*", "$1) ")],
+        [(r"[().]", ""), (r"[ -]+", "/"), (r"^\+", "00")],
+    ),
+}
 # Words around a kind of personal data, in the languages of the corpus.
 _CUES = (
     r"mail|write|contact|schreib|écri|correo",
@@ -64,9 +91,8 @@ _CUES = (
 )
 
 
-def _matches(text: Column, pattern: str, kind: int) -> tuple[Column, Column]:
-    """The matches of a pattern and the texts between them; none where no character says so."""
-    told = text.contains("@") | text.contains("at") if KINDS[kind] == "email" else text.rlike("[0-9]")
+def _matches(text: Column, pattern: str, told: Column) -> tuple[Column, Column]:
+    """The matches of a pattern and the texts between them; none where nothing tells of one."""
     found = F.when(told, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     found = F.coalesce(found, F.array().cast("array<string>"))
     gaps = F.when(F.size(found) > 0, F.split(text, pattern, -1))
@@ -137,9 +163,14 @@ def _small(number: Column) -> Column:
 
 
 def _features(kind: int, span: Column) -> Column:
-    """Format and context of a candidate as numbers; whether it passes a check is not among them."""
+    """Format and context of a candidate as numbers, with whether its digits pass the kind's check."""
     value, before, after = span["value"], span["before"], span["after"]
     digits = _digits(value)
+    checked = F.lit(True)
+    if KINDS[kind] == "card":
+        checked = _luhn(digits)
+    elif KINDS[kind] == "ip":
+        checked = F.forall(F.regexp_extract_all(value, F.lit("[0-9]+"), F.lit(0)), lambda part: _small(F.ltrim(part, F.lit("0"))))
     columns = [
         F.lit(kind),
         F.length(value),
@@ -159,11 +190,12 @@ def _features(kind: int, span: Column) -> Column:
         after.rlike(r"^[0-9A-Za-z@]|^[^0-9A-Za-z\s][0-9A-Za-z]").cast("int"),
         F.regexp_count(before, F.lit("[0-9]")),
         F.regexp_count(after, F.lit("[0-9]")),
+        checked.cast("int"),
     ]
     return F.array(*[c.cast("double") for c in columns])
 
 
-N_FEATURES = 17 + len(_CUES)
+N_FEATURES = 18 + len(_CUES)
 
 
 @dataclass(frozen=True)
@@ -186,10 +218,10 @@ def _found(rows: DataFrame, patterns: dict[str, str], prefix: str) -> DataFrame:
     """Columns of spans per kind, found in the column _text."""
     for step in ("matches", "spans"):
         columns = []
-        for number, (kind, pattern) in enumerate(patterns.items()):
+        for kind, pattern in patterns.items():
             name = f"{prefix}_{kind}"
             if step == "matches":
-                found, gaps = _matches(F.col("_text"), pattern, number)
+                found, gaps = _matches(F.col("_text"), pattern, _tells(kind, patterns is _BASE))
                 columns.append(F.struct(found.alias("found"), gaps.alias("gaps")).alias(name))
             else:
                 columns.append(_spans(F.col(name)["found"], F.col(name)["gaps"]).alias(name))
@@ -198,6 +230,19 @@ def _found(rows: DataFrame, patterns: dict[str, str], prefix: str) -> DataFrame:
     return rows
 
 
+def _tells(kind: str, base: bool) -> Column:
+    """Whether the text may hold a span or candidate of the kind."""
+    text = F.col("_text")
+    if base:
+        return text.contains({"email": "@", "phone": "+"}[kind]) if kind in ("email", "phone") else text.rlike("[0-9]")
+    return text.rlike(_TOLD[kind])
+
+
+def _apart(span: Column, others: Column) -> Column:
+    """Does the span touch none of the others?"""
+    return ~F.exists(others, lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"]))
+
+
 def _numbered(kind: int, spans: Column) -> Column:
     """Spans as (start, kind, end), which is the order that they are told in."""
     return F.transform(
@@ -222,7 +267,7 @@ def _with_spans(rows: DataFrame, model: Model) -> DataFrame:
     for number, (kind, threshold) in enumerate(zip(KINDS, model.thresholds)):
         if threshold is not None:
             scored = F.transform(
-                F.col(f"_candidate_{kind}"),
+                F.filter(F.col(f"_candidate_{kind}"), lambda s: _apart(s, F.col("_base"))),
                 lambda s: F.struct(
                     s["start"].alias("start"), s["end"].alias("end"), _features(number, s).alias("features")
                 ),
@@ -243,86 +288,146 @@ def _told(spans: Column) -> Column:
     return F.array_join(told, ",")
 
 
-def _examples(texts: DataFrame, *others: str) -> DataFrame:
-    """The candidates in every text: _order (a hash), _kind, _label and _f, beside other columns."""
-    rows = texts.select("doc_id", *others, F.col("text").alias("_text"))
-    rows = _found(_with_spans(rows, Model()), _CANDIDATES, "_candidate")
-    known, listed = [], []
+def _listed(texts: DataFrame) -> DataFrame:
+    """All base spans, and the candidates that touch none of them: doc_id, base, kind and span."""
+    rows = texts.select("doc_id", F.col("text").alias("_text"))
+    rows = _found(rows, _BASE, "_base")
+    rows = rows.select(
+        "doc_id",
+        "_text",
+        *[
+            F.filter(F.col(f"_base_{kind}"), lambda s: _passes(kind, s["value"])).alias(f"_base_{kind}")
+            for kind in KINDS
+        ],
+    )
+    rows = _found(rows, _CANDIDATES, "_candidate")
+    every = F.concat(*[F.col(f"_base_{kind}") for kind in KINDS])
+    kinds = [*[f"_base_{kind}" for kind in KINDS], *[f"_candidate_{kind}" for kind in KINDS]]
+    rows = rows.select("doc_id", every.alias("_every"), *kinds)
+    listed = []
+    for number, kind in enumerate(KINDS):
+        free = F.filter(F.col(f"_candidate_{kind}"), lambda s: _apart(s, F.col("_every")))
+        for base, spans in ((True, F.col(f"_base_{kind}")), (False, free)):
+            named = F.struct(F.lit(base).alias("base"), F.lit(number).alias("kind"))
+            listed.append(F.transform(spans, lambda s: named.withField("span", s)))
+    return rows.select("doc_id", F.explode(F.concat(*listed)).alias("e")).select("doc_id", "e.*")
+
+
+def _respelled(spans: DataFrame) -> DataFrame:
+    """Base spans in the spellings of candidates, each in its context: what the candidates' patterns find there.
+
+    As they stand, base spans are candidates too, where the patterns agree on their ends.
+    """
+    made = []
     for number, kind in enumerate(KINDS):
-        true = F.transform(
-            F.filter(F.col("_base"), lambda s: s["kind"] == number),
-            lambda s: F.struct(s["start"], s["end"]),
+        value = F.col("span.value")
+        spelled = [value]
+        for steps in _SPELLINGS[kind]:
+            other = value
+            for pattern, replacement in steps:
+                other = F.regexp_replace(other, pattern, replacement)
+            spelled.append(other)
+        rows = spans.filter(F.col("kind") == number)
+        rows = rows.select("*", F.posexplode(F.array(*spelled)).alias("spelling", "value"))
+        rows = rows.filter((F.col("spelling") == 0) | (F.col("value") != F.col("span.value")))
+        rows = rows.select(
+            "doc_id",
+            "kind",
+            F.col("span.start").alias("start"),
+            "spelling",
+            F.length("span.before").alias("from"),
+            (F.length("span.before") + F.length("value")).alias("to"),
+            F.concat("span.before", "value", "span.after").alias("_text"),
         )
-        known.append(true.alias(f"_true_{kind}"))
-        example = F.transform(
-            F.col(f"_candidate_{kind}"),
-            lambda s: F.struct(
-                F.lit(number).alias("kind"),
-                s["start"].alias("start"),
-                F.array_contains(F.col(f"_true_{kind}"), F.struct(s["start"], s["end"])).alias("label"),
-                _features(number, s).alias("features"),
-            ),
+        rows = _found(rows, {kind: _CANDIDATES[kind]}, "_candidate")
+        same = F.filter(
+            F.col(f"_candidate_{kind}"), lambda s: (s["start"] == F.col("from")) & (s["end"] == F.col("to"))
         )
-        listed.append(example)
-    rows = rows.select("doc_id", *others, *[f"_candidate_{kind}" for kind in KINDS], *known)
-    return rows.select("doc_id", *others, F.explode(F.concat(*listed)).alias("e")).select(
-        *others,
-        F.xxhash64("doc_id", "e.kind", "e.start").alias("_order"),
-        F.col("e.kind").alias("_kind"),
-        F.col("e.label").cast("double").alias("_label"),
-        F.col("e.features").alias("_f"),
+        rows = rows.select("doc_id", "kind", "start", "spelling", F.explode(same).alias("span"))
+        made.append(_example(rows, number, 1.0))
+    return made[0].unionAll(made[1]).unionAll(made[2]).unionAll(made[3])
+
+
+def _example(rows: DataFrame, kind: int, label: float) -> DataFrame:
+    return rows.select(
+        F.xxhash64("doc_id", "kind", "start", "spelling").alias("_order"),
+        F.lit(kind).alias("_kind"),
+        F.lit(label).alias("_label"),
+        (F.col("spelling") > 0).alias("_respelled"),
+        _features(kind, F.col("span")).alias("_f"),
     )
 
 
+def _examples(texts: DataFrame) -> DataFrame:
+    """Positive and unlabelled examples of all texts: _order (a hash), _kind, _label (1 or 0), _respelled
+    (is it a positive one in another spelling?) and _f."""
+    listed = saved(_listed(texts), "pii-spans")
+    examples = _respelled(listed.filter("base"))
+    for number in range(len(KINDS)):
+        rows = listed.filter(~F.col("base") & (F.col("kind") == number))
+        rows = rows.select("doc_id", "kind", F.col("span.start").alias("start"), F.lit(0).alias("spelling"), "span")
+        examples = examples.unionAll(_example(rows, number, 0.0))
+    return saved(examples, "pii-examples")
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit trees to the candidates in ``SAMPLE`` documents, and thresholds to those in all others.
+    """Fit trees to at most ``SAMPLE_CANDIDATES`` examples of each label, and thresholds to all others.
 
-    Of the sample's candidates, a third is left to the thresholds. A sample without both kinds of
-    examples gives a model that adds nothing.
+    A third of the examples, whatever their number, is left to the thresholds. Documents without both kinds of
+    examples give a model that adds nothing.
     """
-    ids = docs.select(F.col(f"`{id_col}`").alias("_id")).where("_id is not null")
-    chosen = saved(ids.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE).distinct(), "pii-chosen")
-    texts = whole_texts(docs, id_col, text_col)
-    sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    examples = _examples(whole_texts(docs, id_col, text_col))
     columns = [F.get("_f", F.lit(i)).alias(f"_f_{i}") for i in range(N_FEATURES)]
-    examples = _examples(sample).orderBy("_order").limit(SAMPLE_CANDIDATES)
-    examples = saved(examples.select("_order", "_kind", "_label", "_f", *columns), "pii-sample").coalesce(2)
-    calibrating = F.pmod(F.col("_order"), F.lit(3)) == 0
-    fitting = examples.where(~calibrating)
-    if fitting.select("_label").distinct().count() < 2:
+    fitting = examples.where(F.pmod(F.col("_order"), F.lit(3)) != 0).select("_order", "_label", *columns)
+    chosen = [fitting.where(F.col("_label") == label).orderBy("_order").limit(SAMPLE_CANDIDATES) for label in (0.0, 1.0)]
+    chosen = saved(chosen[0].unionAll(chosen[1]), "pii-sample").coalesce(2)
+    counts = {row["_label"]: (row["n"], row["last"]) for row in chosen.groupBy("_label").agg(
+        F.count("*").alias("n"), F.max("_order").alias("last")).collect()}
+    if len(counts) < 2:
         return Model()
+    weight = F.when(F.col("_label") == 1, 1.0 / counts[1.0][0]).otherwise(1.0 / counts[0.0][0])
     assembler = VectorAssembler(inputCols=[f"_f_{i}" for i in range(N_FEATURES)], outputCol="_features")
-    vectors = assembler.transform(fitting).select("_features", "_label").cache()
+    weighed = chosen.withColumn("_weight", weight * (counts[0.0][0] + counts[1.0][0]) / 2)
+    vectors = assembler.transform(weighed).select("_features", "_label", "_weight").cache()
     boosted = GBTClassifier(
-        featuresCol="_features", labelCol="_label", maxIter=ROUNDS, maxDepth=DEPTH, seed=1
+        featuresCol="_features", labelCol="_label", weightCol="_weight", maxIter=ROUNDS, maxDepth=DEPTH, seed=1
     ).fit(vectors)
     vectors.unpersist()
     fitted = Model(
         tuple((float(w), trees.parsed(t)) for w, t in zip(boosted.treeWeights, boosted.trees))
     )
-    marked = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left")
-    unseen = _examples(marked, "_id").where(F.col("_id").isNull() | calibrating)
+    last = F.when(F.col("_label") == 1, counts[1.0][1]).otherwise(counts[0.0][1])
+    unseen = examples.where((F.pmod(F.col("_order"), F.lit(3)) == 0) | (F.col("_order") > last))
+    # As they stand, base spans need no threshold.
+    unseen = unseen.where(F.col("_respelled") | (F.col("_label") == 0))
     score = F.floor(fitted.margin(F.col("_f")) * STEPS) / STEPS
     # At most a number per kind, label and step of the scores, which the trees' weights bound.
     told = unseen.groupBy("_kind", "_label", score.alias("score")).count().collect()
-    thresholds = []
-    for number in range(len(KINDS)):
-        held = [r for r in told if r["_kind"] == number]
-        thresholds.append(_threshold([(r["score"], r["_label"]) for r in held], [r["count"] for r in held]))
-    return Model(fitted.trees, tuple(thresholds))
-
-
-def _threshold(scored: list[tuple[float, float]], counts: list[int] | None = None) -> float | None:
-    """The least score from which on the wanted precision holds, among enough candidates; counts tell
-    how often each score and label occur, once by default."""
-    best, right, n = None, 0.0, 0
-    counted = sorted(zip(scored, counts or [1] * len(scored)), reverse=True)
-    for place, ((score, label), count) in enumerate(counted, 1):
-        right += label * count
-        n += count
-        last_of_ties = place == len(counted) or counted[place][0][0] < score
-        if last_of_ties and n >= ENOUGH and right >= PRECISION * n:
-            best = score
+    positive = [Counter(), Counter(), Counter(), Counter()]
+    unlabelled = [Counter(), Counter(), Counter(), Counter()]
+    for row in told:
+        side = positive if row["_label"] == 1 else unlabelled
+        side[row["_kind"]][row["score"]] += row["count"]
+    # A kind's few examples are set against what is usual among the kinds.
+    pooled = sum(positive, Counter())
+    usual = sum(map(Counter.total, unlabelled)) / len(KINDS)
+    return Model(
+        fitted.trees, tuple(_threshold(p or pooled, u, usual) for p, u in zip(positive, unlabelled))
+    )
+
+
+def _threshold(positive: Counter, unlabelled: Counter, usual: float = 0) -> float | None:
+    """The score from which on the share of the positive examples most exceeds ``FALSE`` times that of the
+    unlabelled ones, from how many have each score; None where it never does. The latter share is one of the kind's
+    own number of unlabelled examples and the ``usual`` one."""
+    n, m = positive.total(), unlabelled.total() + usual
+    best, most, held, passed = None, 0.0, 0, 0
+    for score in sorted({*positive, *unlabelled}, reverse=True):
+        held += positive[score]
+        passed += unlabelled[score]
+        gain = held / max(n, 1) - FALSE * passed / max(m, 1)
+        if gain > most:
+            best, most = score, gain
     return best
 
 
