@@ -10,8 +10,10 @@ Packing needs no shuffle: a document's pieces depend on that document alone.
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +29,8 @@ END_ID = 1
 _PIECES = (
     "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, bucket int, ids binary"
 )
+# Letters before this one have a small form and a normal form that depend on nothing beside them.
+_LATIN_END = "\u0130"
 # Marks that the vocabulary's rule for words never joins to the letters before them.
 _CLOSING = frozenset(".,;:!?|)")
 
@@ -54,6 +58,7 @@ def pack(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(vocabulary)
+        gc.disable()  # nothing here refers to itself, and each pass over the cached words costs
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in slices(batches):
             rows, owners = [], []
@@ -121,9 +126,11 @@ class WordIds:
         self.library = Tokenizer.from_file(vocabulary)
         self.words = Cache(None)
         self.parts = Cache(None)
-        vocabulary = self.library.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # How the vocabulary writes letters beyond ASCII.
+        split = self.library.pre_tokenizer.pre_tokenize_str
+        letters = [c for c in map(chr, range(0x80, ord(_LATIN_END))) if c.isalpha()]
+        self.written = {ord(c): "".join(piece for piece, _ in split(c)) for c in letters}
+        self._check()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
@@ -137,20 +144,23 @@ class WordIds:
         return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
     def _encoded(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Ids of new parts. Parts of letters are encoded many at once: each ends in the only one of
-        its ids that can end a word."""
-        letters = [part for part in parts if part.isalpha()]
-        lines = [letters[i : i + 256] for i in range(0, len(letters), 256)]
-        for line, found in zip(lines, self._library([" ".join(line) for line in lines])):
-            ends = np.flatnonzero(self.ends[found]) + 1
-            if len(ends) != len(line):
-                yield from zip(line, map(bytes, self._library(line)))
-                continue
-            blob, places = found.tobytes(), [0, *(4 * ends).tolist()]
-            yield from zip(line, [blob[a:b] for a, b in zip(places, places[1:])])
-        others = [part for part in parts if not part.isalpha()]
+        """Ids of new parts. Parts of Latin letters are whole words in their normal form, so they go to the merges
+        at once, written as the vocabulary writes their bytes; the library does all steps for the others."""
+        plain = [part for part in parts if part.isalpha() and (part.isascii() or max(part) < _LATIN_END)]
+        tokenize, written = self.library.model.tokenize, self.written
+        for part in plain:
+            merged = tokenize(part if part.isascii() else part.translate(written))
+            yield part, array("I", [token.id for token in merged]).tobytes()
+        others = [part for part in parts if not (part.isalpha() and (part.isascii() or max(part) < _LATIN_END))]
         yield from zip(others, map(bytes, self._library(others)))
 
+    def _check(self) -> None:
+        """Words of every Latin letter must come out alike both ways."""
+        letters = [c for c in map(chr, range(ord(_LATIN_END))) if c.isalpha() and c == c.lower()]
+        words = [a + b for a in letters for b in ("", "e", "tion", "übers", "s" + a)]
+        if [ids for _, ids in self._encoded(words)] != list(map(bytes, self._library(words))):
+            raise ValueError("the vocabulary doesn't merge Latin words as they are written")
+
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4") for x in found]
@@ -161,7 +171,7 @@ def _parts(word: str) -> tuple[str, ...]:
 
     Only for plain Latin letters, whose small form and composition depend on nothing beside them.
     """
-    if word and (word.isascii() or max(word) < "\u0130"):
+    if word and (word.isascii() or max(word) < _LATIN_END):
         if word.isalpha():
             return (word.lower(),)
         if word[-1] in _CLOSING and word[:-1].isalpha():
