@@ -6,8 +6,8 @@ paragraphs does not matter, and a paragraph is inserted or deleted by adding or
 vector (``changed``). A vector has two parts:
 
 * ``EXACT`` lanes modulo 2^64 from a cryptographic hash, which tell multisets apart;
-* ``SKETCH`` lanes modulo 2^16, to which each run of ``RUN`` words of the paragraph adds +1 or -1 in
-  one lane. Scalar products of such sums estimate how many runs two documents share.
+* ``SKETCH`` lanes modulo 2^32, more than any text has runs, to which each run of ``RUN`` words of the
+  paragraph adds +1 or -1 in one lane. Scalar products of such sums estimate how many runs two documents share.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def _sum(paragraphs: list[str]) -> tuple[np.ndarray, np.ndarray]:
     h = paragraph_shingles(paragraphs, RUN)
     lanes = (h % np.uint64(SKETCH)).astype(np.int64)
     signs = 1.0 - 2.0 * (h >> np.uint64(63)).astype(np.float64)
-    sketch = np.bincount(lanes, weights=signs, minlength=SKETCH).astype(np.int64).astype("<u2")
+    sketch = np.bincount(lanes, weights=signs, minlength=SKETCH).astype(np.int64).astype("<u4")
     return exact, sketch
 
 
@@ -57,21 +57,21 @@ def changed(print_: str, inserted: list[str] = (), deleted: list[str] = ()) -> s
             more, runs_ = vector(paragraph)
             exact = exact + more if sign > 0 else exact - more
             sketch = sketch + runs_ if sign > 0 else sketch - runs_
-    return (exact.astype("<u8").tobytes() + sketch.astype("<u2").tobytes()).hex()
+    return (exact.astype("<u8").tobytes() + sketch.astype("<u4").tobytes()).hex()
 
 
 def likeness(one: str, other: str) -> float:
     """Estimated share of common word runs, 0 to 1: twice the common ones by all; 1 if equal."""
     if one == other:
         return 1.0
-    a, b = (_lanes(x)[1].astype("<i2").astype(np.float64) for x in (one, other))
+    a, b = (_lanes(x)[1].astype("<i4").astype(np.float64) for x in (one, other))
     both = a @ a + b @ b
     return float(min(1.0, max(0.0, 2 * (a @ b) / both))) if both else 0.0
 
 
 def _lanes(print_: str) -> tuple[np.ndarray, np.ndarray]:
     raw = bytes.fromhex(print_)
-    return np.frombuffer(raw[: 8 * EXACT], dtype="<u8"), np.frombuffer(raw[8 * EXACT :], dtype="<u2")
+    return np.frombuffer(raw[: 8 * EXACT], dtype="<u8"), np.frombuffer(raw[8 * EXACT :], dtype="<u4")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -81,3 +82,11 @@ def test_odd_tables(spark):
     assert fp.against_edits(empty(spark)).collect() == []
     assert len(fp.fingerprints(odd(spark)).collect()) == n_odd()
     assert fp.fingerprints(empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize("n", [32_700, 65_500])
+def test_likeness_of_texts_of_many_equal_runs(n):
+    one, other = ("\n".join(["the same five words here"] * k) for k in (n, n + 100))
+    assert 0.99 < fp.likeness(fp.fingerprint(one), fp.fingerprint(other)) < 1.0
+    fewer = fp.changed(fp.fingerprint(other), deleted=["the same five words here"] * 100)
+    assert fewer == fp.fingerprint(one)
