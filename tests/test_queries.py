@@ -36,6 +36,22 @@ def test_query_equals_sql(spark, db, name):
     assert difference(QUERIES[name](spark, SF), db, ORACLES[name]) is None
 
 
+@pytest.mark.parametrize(
+    "name", ["parse_date", "clean_rows", "typed_cast", "features_all", "dq_zero_null", "dq_spot", "ingest_job", "rejected_rows"]
+)
+@pytest.mark.parametrize(
+    "setting", [("spark.sql.codegen.hugeMethodLimit", "8000"), ("spark.sql.codegen.wholeStage", "false")]
+)
+def test_the_order_of_evaluation_does_not_matter(spark, db, name, setting):
+    """Both settings work out shared expressions before the conditions that stand in front of them."""
+    before = spark.conf.get(setting[0])
+    spark.conf.set(*setting)
+    try:
+        assert difference(QUERIES[name](spark, SF), db, ORACLES[name]) is None
+    finally:
+        spark.conf.set(setting[0], before)
+
+
 def test_everything_works_without_the_queries_for_training_data(tmp_path):
     """The subpackage and the pipeline may be absent."""
     root = Path(__file__).parent.parent
