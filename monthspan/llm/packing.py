@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from monthspan.llm.shared import Cache, slices, whole_texts
 
 LONGEST = 2048
+# Words whose ids a worker remembers.
+REMEMBERED = 1_000_000
 END_ID = 1
 
 _PIECES = (
@@ -124,7 +126,7 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.library = Tokenizer.from_file(vocabulary)
-        self.words = Cache(None)
+        self.words = Cache(None, REMEMBERED)
         self.parts = Cache(None)
         # How the vocabulary writes letters beyond ASCII.
         split = self.library.pre_tokenizer.pre_tokenize_str
@@ -146,12 +148,18 @@ class WordIds:
     def _encoded(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of new parts. Parts of Latin letters are whole words in their normal form, so they go to the merges
         at once, written as the vocabulary writes their bytes; the library does all steps for the others."""
-        plain = [part for part in parts if part.isalpha() and (part.isascii() or max(part) < _LATIN_END)]
-        tokenize, written = self.library.model.tokenize, self.written
-        for part in plain:
-            merged = tokenize(part if part.isascii() else part.translate(written))
-            yield part, array("I", [token.id for token in merged]).tobytes()
-        others = [part for part in parts if not (part.isalpha() and (part.isascii() or max(part) < _LATIN_END))]
+        tokenize, written, others = self.library.model.tokenize, self.written, []
+        for part in parts:
+            if not part.isalpha():
+                others.append(part)
+                continue
+            spelled = part
+            if not part.isascii():
+                if max(part) >= _LATIN_END:
+                    others.append(part)
+                    continue
+                spelled = part.translate(written)
+            yield part, array("I", [token.id for token in tokenize(spelled)]).tobytes()
         yield from zip(others, map(bytes, self._library(others)))
 
     def _check(self) -> None:

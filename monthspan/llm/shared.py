@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import chain, filterfalse
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -100,7 +100,7 @@ class Cache(dict):
 
     def missing(self, lists: list) -> list:
         """The keys in lists whose values are not known in either half."""
-        keys = list(filterfalse(self.__contains__, set(chain.from_iterable(lists))))
+        keys = list(filterfalse(self.__contains__, set().union(*lists)))
         if self._older:
             held = list(filter(self._older.__contains__, keys))
             self.update(zip(held, map(self._older.__getitem__, held)))
