@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,18 +136,83 @@ def row_counts(frame: DataFrame, panel: Panel = Panel()) -> DataFrame:
 def out_of_order(spark: SparkSession, directory: str, panel: Panel = Panel()) -> DataFrame:
     """Rows of a stage table that come before an earlier month of their entity, in file order.
 
-    Meant for processed tables, whose months are unique in their entity.
+    A row is compared with the one before it. Rows of one piece of a file are compared where they are read; the
+    pieces then meet as summaries, one row per entity and piece with its first and last month, so a hot entity moves
+    no more than that and its offences. A month may stand twice only by product.
     """
     rows = read_stage(spark, directory).select(
-        col(panel.entity),
-        col(panel.date),
+        col(panel.entity).alias("entity"),
+        F.unix_date(col(panel.date).cast("date")).alias("day"),
         file_name().alias("file_name"),
+        F.col("_metadata.file_block_start").alias("block"),
         F.col("_metadata.row_index").alias("row_index"),
     )
-    in_files = Window.partitionBy(col(panel.entity)).orderBy("file_name", "row_index")
-    before = F.lag(col(panel.date)).over(in_files)
-    later = F.col("_before") > col(panel.date) if panel.by_product else F.col("_before") >= col(panel.date)
-    return rows.withColumn("_before", before).filter(later).drop("_before")
+    kind = rows.schema["entity"].dataType.simpleString()
+    schema = f"entity {kind}, file_name string, row_index bigint, first int, last int, offends boolean"
+    found = rows.mapInArrow(_in_pieces(0 if panel.by_product else 1), schema)
+    # Offences are rows of the result already, each apart; only summaries follow on each other.
+    alone = F.when(F.col("offends"), F.col("row_index")).otherwise(F.lit(-1))
+    pieces = Window.partitionBy("entity", alone).orderBy("file_name", "row_index")
+    before = F.lag("last").over(pieces)
+    least = F.col("_before") + (0 if panel.by_product else 1)
+    late = F.col("offends") | (F.col("_before").isNotNull() & (F.col("first") < least))
+    return found.withColumn("_before", before).filter(late).select(
+        F.col("entity").alias(panel.entity),
+        F.date_from_unix_date("first").alias(panel.date),
+        "file_name",
+        "row_index",
+    )
+
+
+def _in_pieces(step: int):
+    """Offences inside each piece of a file, and a summary of every entity's rows there.
+
+    A day is an offence when it is below the entity's day before plus ``step``. What is held is one entry per entity
+    of the piece being read.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, held, kind = None, {}, None
+
+        def batch_of(entities, name, places, first, last, offends):
+            n = len(entities)
+            columns = [
+                pa.array(entities, kind), pa.array([name] * n, pa.string()), pa.array(places, pa.int64()),
+                pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array([offends] * n, pa.bool_()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["entity", "file_name", "row_index", "first", "last", "offends"])
+
+        def summary():
+            places, first, last = zip(*held.values())
+            return batch_of(list(held), piece[0], places, first, last, False)
+
+        for batch in batches:
+            kind = batch.schema.field("entity").type
+            names, blocks = batch.column("file_name").to_pylist(), batch.column("block").to_pylist()
+            starts = [i for i in range(len(names)) if not i or (names[i], blocks[i]) != (names[i - 1], blocks[i - 1])]
+            for start, end in zip(starts, [*starts[1:], len(names)]):
+                if (names[start], blocks[start]) != piece:
+                    if held:
+                        yield summary()
+                    piece, held = (names[start], blocks[start]), {}
+                part = batch.slice(start, end - start)
+                entities, days = part.column("entity").to_pylist(), part.column("day").to_pylist()
+                bad, first_place = [], part.column("row_index")[0].as_py()
+                for i, (entity, day) in enumerate(zip(entities, days)):
+                    known = held.get(entity)
+                    if known is None:
+                        held[entity] = [first_place + i, day, day]
+                        continue
+                    if day is not None and known[2] is not None and day < known[2] + step:
+                        bad.append(i)
+                    known[2] = day
+                if bad:
+                    places = [first_place + i for i in bad]
+                    yield batch_of([entities[i] for i in bad], piece[0], places, [days[i] for i in bad], [None] * len(bad), True)
+        if held:
+            yield summary()
+
+    return work
 
 
 def undeclared_categories(frame: DataFrame, schema: T.StructType) -> DataFrame:

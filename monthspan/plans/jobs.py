@@ -65,7 +65,7 @@ class Settings:
     """What a run may vary.
 
     By default the sizes of output files follow the data. ``files`` fixes their number instead, and
-    ``files="clamp"`` gives the classic 10 to 50, by the number of input files.
+    ``files="clamp"`` gives the classic 10 to 50, by the number of input files. ``file_bytes`` sizes files instead.
     """
 
     panel: Panel = Panel()
@@ -76,6 +76,7 @@ class Settings:
     on_bad_date: str = "drop"
     zero_fill_nulls: bool = True
     files: int | str | None = None
+    file_bytes: int | None = None
     quoted_breaks: bool = True
     whole_up_to: int = WHOLE_UP_TO
     on_reject: str = "fail"
@@ -128,7 +129,8 @@ def ingest(spark: SparkSession, paths: Paths, settings: Settings = Settings()) -
         spark, paths.raw, schema, settings.min_year, settings.quoted_breaks, settings.whole_up_to
     )
     files = _files(spark, settings, paths.raw, PATTERN)
-    commit = stages.write_stage(rows, paths.interim, files, source=_source(spark, paths, settings, "ingest"))
+    source = _source(spark, paths, settings, "ingest")
+    commit = stages.write_stage(rows, paths.interim, files, source=source, file_bytes=settings.file_bytes)
     _keep_faults(rows, commit, paths.rejects_of("ingest"), settings)
 
 
@@ -146,10 +148,12 @@ def transform(spark: SparkSession, paths: Paths, settings: Settings = Settings()
     filled = _panel_of(accepted(checked), position, settings)
     checks = write_checks(panel, schema, filled.columns)
     files, source = _files(spark, settings, paths.interim), _source(spark, paths, settings, "transform")
-    if files is None:
+    if files is None and settings.file_bytes is None:
         commit = stages.write_panel(filled, paths.processed, panel, checks, source, faulty)
     else:
-        commit = stages.write_stage(filled, paths.processed, files, panel, checks, source, faulty)
+        commit = stages.write_stage(
+            filled, paths.processed, files, panel, checks, source, faulty, settings.file_bytes
+        )
     _keep_faults(checked, commit, paths.rejects_of("transform"), settings)
 
 
@@ -160,7 +164,9 @@ def features(spark: SparkSession, paths: Paths, settings: Settings = Settings())
     files = _files(spark, settings, paths.processed)
     checks = write_checks(settings.panel, None, result.columns)
     source = _source(spark, paths, settings, "features")
-    stages.write_stage(result, paths.features, files, settings.panel, checks, source)
+    stages.write_stage(
+        result, paths.features, files, settings.panel, checks, source, file_bytes=settings.file_bytes
+    )
 
 
 def report(spark: SparkSession, directory: str) -> DataFrame:

@@ -407,6 +407,10 @@ ORACLES: dict[str, str] = {
     "dictionary_scan": DICTIONARY,
     "clamped_files": "select o_custkey as LEASE_KID, count(*) as rows, 10 as files from orders group by 1",
     "entity_layout": f"with {UNIQUE} select LEASE_KID, count(*) as rows, 1::bigint as files from uniq group by 1",
+    "entity_lookup": f"""with {UNIQUE} select LEASE_KID, count(*) as rows, min(production_date) as first_date,
+        max(production_date) as last_date, case when LEASE_KID % 20 = 0 then count(*) end as looked_up
+        from uniq group by 1""",
+    "sized_files": f"with {UNIQUE} select LEASE_KID, count(*) as rows from uniq group by 1",
     "schema_drift": """select unnest([
         'LEASE_KID: int64' || chr(10) || 'PRODUCT: string' || chr(10) || 'PRODUCTION: double',
         'LEASE_KID: int64' || chr(10) || 'PRODUCTION: double']) as schema""",

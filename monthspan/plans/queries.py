@@ -162,6 +162,14 @@ def clamped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("files", F.lit(files))
 
 
+def sized_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per lease of a stage whose files are sized by bytes; leases share files."""
+    directory = stages.scratch_dir(spark, "stage")
+    stages.write_stage(unique(spark, sf_dir), directory, panel=Panel(), file_bytes=8 << 20)
+    lease = F.col("LEASE_KID").cast("bigint").alias("LEASE_KID")
+    return stages.read_stage(spark, directory).groupBy(lease).agg(F.count("*").alias("rows"))
+
+
 def entity_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and files of every lease's own directory."""
     directory = stages.scratch_dir(spark, "entities")
@@ -172,6 +180,20 @@ def entity_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def entity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the index of a clustered table says of each lease, and the rows that reading every twentieth lease by
+    itself gives."""
+    directory = stages.scratch_dir(spark, "clustered")
+    stages.write_clustered(unique(spark, sf_dir), directory)
+    index = stages.read_index(spark, directory)
+    leases = index.groupBy(F.col("LEASE_KID").cast("bigint").alias("LEASE_KID")).agg(
+        F.sum("rows").alias("rows"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date")
+    )
+    wanted = index.select("LEASE_KID").filter("LEASE_KID % 20 = 0")
+    read = stages.read_entities(spark, directory, wanted).groupBy("LEASE_KID").agg(F.count("*").alias("looked_up"))
+    return leases.join(read, "LEASE_KID", "left")
+
+
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The schemas of a stage whose later files have a column more."""
     directory = stages.scratch_dir(spark, "stage")
@@ -563,6 +585,8 @@ QUERIES: dict[str, Query] = {
         dictionary_scan,
         clamped_files,
         entity_layout,
+        entity_lookup,
+        sized_files,
         schema_drift,
         stage_roundtrip,
         file_integrity,

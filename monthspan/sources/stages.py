@@ -11,7 +11,8 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 from fnmatch import fnmatch
 
@@ -29,6 +30,7 @@ FEWEST_FILES = 10
 MOST_FILES = 50
 # Versions of a stage that stay.
 VERSIONS = 2
+_INDEX = "_index"
 _COMMIT = "number bigint, version string, content string"
 
 
@@ -96,17 +98,20 @@ def write_stage(
     checks: Mapping[str, Column] | None = None,
     source: str = "",
     faulty: int = 0,
+    file_bytes: int | None = None,
 ) -> Commit:
     """Write a new version of a stage table.
 
     By default the file sizes follow the plan's own partitions, which scale with the data. With
     ``files``, rows are spread over that many files first: by entity and in date order for a panel,
-    evenly otherwise. Faulty rows are left out and counted, besides those that ``faulty`` tells of. ``checks`` are conditions that offending rows meet;
+    evenly otherwise. With ``file_bytes``, files get about that many bytes of shuffled rows each, whatever their
+    number: small entities share a file, and a large one is split. Faulty rows are left out and counted, besides those that ``faulty`` tells of. ``checks`` are conditions that offending rows meet;
     they are counted in the same pass, with the least offending row's first column and date as an example.
     """
     observed, seen = _observed(frame, panel or Panel(), checks or {})
     version, number = _next_version(frame.sparkSession, directory)
-    _arrange(observed, files, panel).write.parquet(f"{directory}/{version}")
+    with _advisory_size(frame.sparkSession, file_bytes):
+        _arrange(observed, files, panel, file_bytes).write.parquet(f"{directory}/{version}")
     return _commit(frame.sparkSession, directory, Commit(number, version, source=source, **_counts(seen, checks, faulty)))
 
 
@@ -149,7 +154,7 @@ def read_panel(spark: SparkSession, directory: str) -> DataFrame:
 
 def _register(spark: SparkSession, path: str, commit: Commit) -> None:
     """Make the buckets known to this session's catalog, after a look at the files' names."""
-    bucket = F.regexp_extract("file_name", r"_([0-9]{5})(?:\.|$)", 1).cast("int")
+    bucket = F.regexp_extract("file_name", r"_([0-9]{5})(?:\.|$)", 1).try_cast("int")
     astray = list_files(spark, path, "*.parquet").filter(bucket.isNull() | (bucket >= commit.buckets))
     if not astray.isEmpty():
         raise ValueError(f"{path} holds files that belong to none of its {commit.buckets} buckets")
@@ -225,7 +230,90 @@ def write_by_entity(frame: DataFrame, directory: str, panel: Panel = Panel()) ->
     rows.write.mode("overwrite").partitionBy(panel.entity).parquet(directory)
 
 
-def _arrange(frame: DataFrame, files: int | None, panel: Panel | None) -> DataFrame:
+def write_clustered(
+    frame: DataFrame,
+    directory: str,
+    panel: Panel = Panel(),
+    file_bytes: int | None = None,
+    group_bytes: int = 8 << 20,
+) -> Commit:
+    """Write a new version of a stage table in ranges of entities, with an index of where each entity is.
+
+    Files hold about ``file_bytes`` of shuffled rows each (by default what Spark advises), in row groups of
+    ``group_bytes`` with Bloom filters on the entity, so their number follows the data and not the entities. An entity
+    that is too large for a file goes on in the next one. The index has a row per entity and file.
+    """
+    spark = frame.sparkSession
+    observed, seen = _observed(frame, panel, {})
+    version, number = _next_version(spark, directory)
+    path, keys = f"{directory}/{version}", [col(k) for k in (panel.entity, *panel.keys)]
+    with _advisory_size(spark, file_bytes):
+        writer = observed.repartitionByRange(*keys).sortWithinPartitions(*keys).write
+        writer = writer.option(f"parquet.bloom.filter.enabled#{panel.entity}", "true")
+        writer.option("parquet.block.size", group_bytes).parquet(path)
+        place = {"file_name": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")}
+        rows = spark.read.parquet(path).withColumns(place)
+        index = rows.groupBy(col(panel.entity), "file_name").agg(
+            F.min("_row").alias("first_row"),
+            F.count(F.lit(1)).alias("rows"),
+            F.min(col(panel.date)).alias("first_date"),
+            F.max(col(panel.date)).alias("last_date"),
+        )
+        order = [col(panel.entity), "first_date"]
+        index.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{path}/{_INDEX}")
+    return _commit(spark, directory, Commit(number, version, source="", **_counts(seen, {}, 0)))
+
+
+def read_index(spark: SparkSession, directory: str) -> DataFrame:
+    """Where a clustered stage table holds each entity: file_name, first_row, rows, first_date and last_date."""
+    return spark.read.parquet(f"{current_path(spark, directory)}/{_INDEX}")
+
+
+def read_entities(spark: SparkSession, directory: str, wanted: DataFrame | Sequence, panel: Panel = Panel()) -> DataFrame:
+    """All rows of some entities of a clustered stage table, a sequence of them or a table's first column.
+
+    The index tells the files, whose names (never more than the table has) pass the driver; no other file is opened.
+    Inside them a sequence is a pushed filter, which reads the row groups of these entities only.
+    """
+    entity = col(panel.entity)
+    path, index = current_path(spark, directory), read_index(spark, directory)
+    if isinstance(wanted, DataFrame):
+        ids = wanted.select(F.col(f"`{wanted.columns[0]}`").alias(panel.entity)).distinct()
+        held = index.join(ids, panel.entity, "left_semi")
+    else:
+        held = index.filter(entity.isin(list(wanted)))
+    names = [row["file_name"] for row in held.select("file_name").distinct().collect()]
+    schema = spark.read.parquet(path).schema
+    rows = spark.read.schema(schema).parquet(*[f"{path}/{name}" for name in names]) if names else spark.createDataFrame([], schema)
+    return rows.join(ids, panel.entity, "left_semi") if isinstance(wanted, DataFrame) else rows.filter(entity.isin(list(wanted)))
+
+
+@contextmanager
+def _advisory_size(spark: SparkSession, file_bytes: int | None) -> Iterator[None]:
+    """Let partitions that Spark sizes by itself have about that many bytes, however few they then are."""
+    adaptive = "spark.sql.adaptive."
+    wanted = {} if file_bytes is None else {
+        adaptive + "advisoryPartitionSizeInBytes": str(file_bytes),
+        adaptive + "coalescePartitions.parallelismFirst": "false",
+        adaptive + "coalescePartitions.minPartitionSize": str(max(1, file_bytes // 5)),
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _arrange(
+    frame: DataFrame, files: int | None, panel: Panel | None, file_bytes: int | None = None
+) -> DataFrame:
+    if file_bytes is not None:
+        if files is not None:
+            raise ValueError("files and file_bytes exclude each other")
+        frame = frame.hint("rebalance", *([col(panel.entity)] if panel else []))
     if panel is None:
         return frame if files is None else frame.repartition(files)
     if files is not None:

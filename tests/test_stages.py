@@ -435,3 +435,101 @@ def test_row_counts(spark):
 def test_categories(spark):
     rows = panel(spark, [(1, 1, "O"), (2, 1, "X"), (3, 1, None)])
     assert values(quality.undeclared_categories(rows, SCHEMA), "PRODUCT") == ["X"]
+
+
+# Ranges of entities, and files by size
+
+
+def skewed(spark):
+    """Forty leases of 100 months, and one of 8,000, with texts that don't compress away."""
+    months = spark.range(12_000).select(
+        F.when(F.col("id") < 4000, F.col("id") % 40).otherwise(1000).alias("LEASE_KID"),
+        F.expr("add_months(date'0500-01-01', int(if(id < 4000, id div 40, id - 4000)))").alias("production_date"),
+        F.sha2(F.col("id").cast("string"), 512).alias("PRODUCT"),
+    )
+    return months.repartition(8)
+
+
+def test_a_lease_is_found_by_the_index(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    directory, rows = str(tmp_path / "a"), skewed(spark)
+    stages.write_clustered(rows, directory, file_bytes=200_000, group_bytes=1 << 15)
+    path = stages.current_path(spark, directory)
+    names = sorted(p.name for p in (tmp_path / "a").glob("v1-*/*.parquet"))
+    assert 2 <= len(names) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    index = stages.read_index(spark, directory)
+    assert index.filter("LEASE_KID < 40").count() <= 40 + len(names)
+    for lease in (0, 7, 39, 1000):
+        found = stages.read_entities(spark, directory, [lease])
+        assert sorted(found.collect()) == sorted(rows.filter(F.col("LEASE_KID") == lease).collect())
+        held = [r["file_name"] for r in index.filter(F.col("LEASE_KID") == lease).collect()]
+        assert {p.rsplit("/", 1)[1] for p in found.inputFiles()} == set(held)
+        assert lease == 1000 or len(held) <= 2
+        if lease < 40:
+            groups = 0
+            for name in held:
+                meta = pq.ParquetFile(f"{path}/{name}").metadata
+                for g in range(meta.num_row_groups):
+                    stats = meta.row_group(g).column(0).statistics
+                    groups += stats.min <= lease <= stats.max
+            assert groups <= 2
+    assert "PushedFilters: [IsNotNull(LEASE_KID), EqualTo(LEASE_KID,7)]" in stages.read_entities(
+        spark, directory, [7]
+    )._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    wanted = spark.createDataFrame([(7,), (1000,), (7,), (5000,)], "lease long")
+    assert stages.read_entities(spark, directory, wanted).count() == 8100
+    assert stages.read_entities(spark, directory, []).count() == 0
+    assert quality.out_of_order(spark, directory).count() == 0
+
+
+def test_a_clustered_table_without_rows(spark, tmp_path):
+    directory = str(tmp_path / "a")
+    stages.write_clustered(skewed(spark).limit(0), directory)
+    assert stages.read_entities(spark, directory, [1]).count() == 0
+    assert stages.read_index(spark, directory).count() == 0
+
+
+def test_files_by_size(spark, tmp_path):
+    directory, rows = str(tmp_path / "a"), skewed(spark).repartition(64)
+    stages.write_stage(rows, directory, panel=Panel(), file_bytes=250_000)
+    sizes = [p.stat().st_size for p in (tmp_path / "a").glob("v1-*/*.parquet")]
+    assert len(sizes) >= 4 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+    assert sorted(stages.read_stage(spark, directory).collect()) == sorted(rows.collect())
+    with pytest.raises(ValueError, match="exclude"):
+        stages.write_stage(rows, directory, files=2, file_bytes=1)
+
+
+@pytest.mark.parametrize("by_product", [False, True])
+@pytest.mark.parametrize("n_files", [1, 5])
+def test_out_of_order_equals_a_window_over_all_rows(spark, tmp_path, by_product, n_files):
+    directory = str(tmp_path / "a")
+    rows = spark.range(3000).select(
+        F.expr("if(id % 3 = 0, 1, if(id % 50 = 1, null, id % 20))").alias("LEASE_KID"),
+        F.expr("if(id % 41 = 0, null, add_months(date'2000-01-01', int(hash(id) % 60)))").alias("production_date"),
+        F.lit("O").alias("PRODUCT"),
+    )
+    rows.repartition(n_files).write.parquet(directory)
+    with_place = spark.read.parquet(directory).select(
+        "*", files.file_name().alias("file_name"), F.col("_metadata.row_index").alias("row_index")
+    ).collect()
+    last, expected = {}, []
+    for row in sorted(with_place, key=lambda r: (r["file_name"], r["row_index"])):
+        before, now = last.get(row["LEASE_KID"]), row["production_date"]
+        if before and now and (now < before or now == before and not by_product):
+            expected.append((row["LEASE_KID"], now, row["file_name"], row["row_index"]))
+        last[row["LEASE_KID"]] = now
+    found = quality.out_of_order(spark, directory, Panel(by_product=by_product))
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected)) and expected
+    small = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    before = {key: spark.conf.get(key) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        again = quality.out_of_order(spark, directory, Panel(by_product=by_product)).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted(map(str, map(tuple, again))) == sorted(map(str, expected))
