@@ -4,9 +4,11 @@ Each block of a page lies at the end of a root-to-leaf path of tags. Over all bl
 mean length of its text outside links and its mean number of punctuation marks are two ratios: long,
 punctuated blocks are prose, short bare ones are menus. Both are smoothed (a path also gets a part of
 what lies in the containers around it), fused by their product, and a path is content when its score
-reaches a share of the best one. What tags, classes and roles say comes in as a prior: paths through
-furniture (menus, forms, comments and the like) score nothing, and paths in an article or main element
-score more, the more of the page's text such elements hold.
+reaches a share of the best one. What tags, classes and roles say comes in as a prior: elements that
+are furniture by their tag or role (menus, forms, asides and the like) are left out, paths through
+elements that only their class or id names so score a small part, and paths in an article or main element
+score more, the more of the page's text such elements hold. So a body that is badly named is found where
+nothing else on the page comes near its ratios.
 """
 
 from __future__ import annotations
@@ -29,6 +31,10 @@ PART = 0.5
 # By how much an article or main element that holds all text raises its paths' scores.
 PRIOR = 16.0
 
+# What is left of the score of a path through an element whose class or id names furniture: such a path is
+# content only if its ratios are ten times those of the best path without.
+NAMED = SHARE / 10
+
 # Names in HTML, and words that sites use for parts that are not the article.
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
@@ -60,14 +66,21 @@ _FURNITURE_WORDS = frozenset(
 # Lists and tables are one with the container that they stand in.
 _PARTS_OF = frozenset("ul ol li dl dt dd table thead tbody tfoot tr td th".split())
 _CONTAINERS = frozenset(("html", "body"))
-# Articles that are not the page's own. Other words on article and main tell topics or settings, as do
-# these behind the words of _SETTINGS (tag-reply, no-comments).
+# Words that may follow a furniture word in its token (sidebar-left, comments-wrapper); other words make it a
+# topic or a state (follow-the-money, menu-open).
+_PLACES = frozenset(
+    "left right top bottom upper lower inner outer main primary secondary wide first second wrapper wrap "
+    "container box block area section panel list item items group row col column bar inline form text title "
+    "content body link links buttons button module unit slot zone".split()
+)
+# Articles that are not the page's own; other words on article and main tell topics.
 _ARTICLES = frozenset(("main", "article"))
 _CARD_WORDS = frozenset(
     "ad ads advert adverts advertisement advertorial sponsor sponsored promo promoted comment comments "
     "commentlist reply replies related recommended recommendation recommendations teaser teasers".split()
 )
-_SETTINGS = frozenset("tag tags category topic has no with".split())
+# Words that begin a token that tells a topic or a setting (tag-reply, no-comments, has-sidebar).
+_SETTINGS = frozenset("tag tags category topic has no with without is".split())
 # An opening tag of the first kind ends an open element of the second kind in its container.
 _ENDS = {
     "li": ("li",),
@@ -91,6 +104,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORD = re.compile(r"[a-z]+")
+_HUMP = re.compile(r"([a-z])([A-Z])")
 _MARKS = re.compile(r"[.,;:!?…。，、！？]")
 
 
@@ -139,19 +153,21 @@ def _content(found: list[tuple]) -> set[tuple]:
     """The paths whose smoothed and fused ratios reach the threshold."""
     sums: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0.0, 0, 0])
     for path, text, linked in found:
-        if not _is_furniture(path):
-            held = sums[path]
-            held[0] += len(text) - linked
-            held[1] += len(_MARKS.findall(text))
-            held[2] += 1
-            held[3] += len(text)
+        held = sums[path]
+        held[0] += len(text) - linked
+        held[1] += len(_MARKS.findall(text))
+        held[2] += 1
+        held[3] += len(text)
+    named = {path: _named(path) for path in sums}
     inside = {p for p in sums if any(name in _ARTICLES for name, _ in p)}
-    held_inside, unlinked = sum(sums[p][0] for p in inside), sum(held[0] for held in sums.values())
+    plain = [p for p in sums if not named[p]]
+    held_inside, unlinked = sum(sums[p][0] for p in plain if p in inside), sum(sums[p][0] for p in plain)
     prior = 1 + (PRIOR - 1) * held_inside / unlinked if unlinked else 1.0
     ratios = {p: (held[0] / held[2], held[1] / held[2]) for p, held in sums.items()}
     around: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0.0])
     for path, (length, marks) in ratios.items():
-        for depth in range(1, len(path)):
+        # What stands in a named element says nothing of the containers around that element.
+        for depth in range(max(1, named[path]), len(path)):
             if path[depth - 1][0] not in ("html", "body"):
                 around[path[:depth]][0] += length
                 around[path[:depth]][1] += marks
@@ -165,11 +181,20 @@ def _content(found: list[tuple]) -> set[tuple]:
                 length += part * around[path[:depth]][0]
                 marks += part * around[path[:depth]][1]
         scores[path] = length * (1 + marks) * sums[path][0] / sums[path][3]
-        if path in inside:
+        if named[path]:
+            scores[path] *= NAMED
+        elif path in inside:
             scores[path] *= prior
-    # Headings stand beside the text that they belong to, whatever their own ratios.
     best = max(scores.values(), default=0.0)
     content = {p for p, score in scores.items() if score >= SHARE * best}
+    # Of named elements only the one that holds most of the unlinked text can be the body.
+    texts: dict[tuple, float] = defaultdict(float)
+    for path in content:
+        if named[path]:
+            texts[path[: named[path]]] += sums[path][0]
+    body = max(texts, key=texts.get, default=None)
+    content = {p for p in content if not named[p] or p[: named[p]] == body}
+    # Headings stand beside the text that they belong to, whatever their own ratios.
     parents = {p[:-1] for p in content}
     return content | {p for p in sums if p and p[-1][0] in _HEADINGS and p[:-1] in parents}
 
@@ -177,14 +202,16 @@ def _content(found: list[tuple]) -> set[tuple]:
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 
-def _is_furniture(path: tuple) -> bool:
-    return any(flag for _, flag in path)
+def _named(path: tuple) -> int:
+    """Down to which element of a path the first one lies whose class or id names furniture; 0 if there is none."""
+    return next((depth for depth, (_, mark) in enumerate(path, 1) if mark), 0)
 
 
 def _blocks(page: str) -> Iterator[tuple]:
     """Path, text and length of linked text of each block with text in it.
 
-    A path is a tuple of (tag, whether it is furniture) without inline elements.
+    A path is a tuple of (tag, the words of a class or id that name furniture) without inline elements. What lies in
+    elements that are furniture by tag, role or style is left out.
     """
     stack: list[str] = []
     path: tuple = ()
@@ -196,7 +223,7 @@ def _blocks(page: str) -> Iterator[tuple]:
     def block() -> Iterator[tuple]:
         nonlocal parts, linked
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
-        if text:
+        if text and not any(mark is None for _, mark in path):
             yield path, text, len(" ".join(html.unescape("".join(linked)).split()))
         parts, linked = [], []
 
@@ -273,27 +300,33 @@ def _ended(stack: list[str], name: str) -> int | None:
     return least
 
 
-def _furniture(name: str, rest: str, stack: list[str]) -> bool:
-    if name in _FURNITURE:
-        return True
-    if name == "header":
-        return "article" not in stack
-    if name in _CONTAINERS or not rest or rest.isspace():
-        return False
+def _furniture(name: str, rest: str, stack: list[str]) -> str | None:
+    """None for an element that is furniture by its tag, role or style, else the first token of its class or id that
+    names furniture, or nothing."""
+    if name in _FURNITURE or name == "header" and "article" not in stack:
+        return None
+    if name in _CONTAINERS or name == "header" or not rest or rest.isspace():
+        return ""
+    words, mark = _CARD_WORDS if name in _ARTICLES else _FURNITURE_WORDS, ""
     for key, *values in _ATTRIBUTE.findall(rest):
-        key, value = key.lower(), "".join(values).lower()
+        key, value = key.lower(), "".join(values)
         if key in ("class", "id"):
-            if name in _ARTICLES:
-                if any(_is_card(_WORD.findall(token)) for token in value.split()):
-                    return True
-            elif not _FURNITURE_WORDS.isdisjoint(_WORD.findall(value)):
-                return True
-        if key == "role" and value.strip() in _FURNITURE_ROLES:
-            return True
-        if key == "hidden" or key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
-
-
-def _is_card(words: list[str]) -> bool:
-    return not _CARD_WORDS.isdisjoint(words) and words[0] not in _SETTINGS
+            for token in value.split():
+                parts = _WORD.findall(_HUMP.sub(r"\1-\2", token).lower())
+                if not mark and _names(parts, words):
+                    mark = "-".join(parts)
+        if key == "role" and value.strip().lower() in _FURNITURE_ROLES:
+            return None
+        if key == "hidden" or key == "style" and "display:none" in value.lower().replace(" ", ""):
+            return None
+    return mark
+
+
+def _names(parts: list[str], words: frozenset) -> bool:
+    """Whether a token names furniture: by its last word (reader-comments), or by one that only words for a place
+    follow (sidebar-left). Tokens for topics, settings and states don't."""
+    if not parts or parts[0] in _SETTINGS:
+        return False
+    while len(parts) > 1 and parts[-1] in _PLACES and parts[-1] not in words:
+        parts = parts[:-1]
+    return parts[-1] in words

@@ -90,6 +90,42 @@ def test_words_on_the_article_that_tell_its_topic():
         assert main_text(f"<article class='{words}'><p>{PROSE}</p></article>") == PROSE
 
 
+@pytest.mark.parametrize(
+    "opening",
+    [
+        "<div class='post tag-social'>",
+        "<div class='has-sidebar content'>",
+        "<div id='main' class='no-comments'>",
+        "<section class='post-notice'>",
+        "<div class='entry menu-open'>",
+        "<div class='story follow-the-money'>",
+        "<div class='sponsored'>",
+    ],
+)
+@pytest.mark.parametrize("beside", ["", f"<nav>{MORE}</nav>", "<p><a href='/'>Home</a></p>"])
+def test_a_body_with_a_class_like_furniture(opening, beside):
+    close = opening[:4].replace("<", "</").rstrip() + ">" if opening.startswith("<div") else "</section>"
+    page = f"<body>{beside}{opening}<p>{PROSE}</p><p>{MORE}</p>{close}<div id=site-footer><p>About us.</p></div></body>"
+    assert main_text(page) == f"{PROSE}\n\n{MORE}"
+
+
+@pytest.mark.parametrize(
+    "words", ["comment-list", "commentList", "reader_comments", "sidebar-left", "ad", "site-footer", "related-links"]
+)
+def test_named_furniture_is_left_out_however_long(words):
+    page = f"<div id=story><p>{PROSE}</p><p>{MORE}</p></div><div class='{words}'>" + f"<p>{PROSE} {MORE}</p>" * 40
+    assert main_text(page) == f"{PROSE}\n\n{MORE}"
+
+
+def test_scores_decide(monkeypatch):
+    menu = "<div class=x><div><a href='/'>Home</a></div><div><a href='/n'>News, of today.</a></div></div>"
+    named = f"<div class=related><p>{MORE}</p></div>"
+    pages = [f"{menu}<div id=c><p>{PROSE}</p></div>", f"<div id=c><p>{PROSE}</p></div>{named}"]
+    assert [main_text(page) for page in pages] == [PROSE, PROSE]
+    monkeypatch.setattr(html_text, "SHARE", 0.0)
+    assert all(main_text(page) != PROSE for page in pages)
+
+
 def test_short_blocks_of_the_article_stay():
     page = f"<div id=c><h2>T</h2><p>{PROSE}</p><ul><li>one</li><li>two</li></ul><p>Yes.</p><p>{MORE}</p></div>"
     assert main_text(page) == f"T\n\n{PROSE}\n\none\n\ntwo\n\nYes.\n\n{MORE}"
