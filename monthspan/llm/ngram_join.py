@@ -82,6 +82,44 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     texts = whole_texts(docs, id_col, text_col)
     signed = _signed(texts)
+    classes = _classes(texts, signed)
+    names = classes.groupBy("component").agg(F.min("least").alias("class_id"))
+    classes = classes.join(names, "component").select("node", "class_id", "n_links")
+    rows = signed.select("doc_id", "node").join(classes, "node")
+    return rows.select("doc_id", "class_id", "n_links")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each similarity class, with all its columns: the one with the least doc_id, then the least digest
+    of its text.
+
+    A row without a doc_id stays only where its class has no other. Rows of one doc_id with unrelated texts are of
+    different classes, each of which keeps one. Rows that agree in doc_id and text are one; which of them stays is
+    open. An empty table gives no rows; columns of any name are kept.
+    """
+    texts = whole_texts(docs, id_col, text_col).withColumn("key", F.md5("text"))
+    signed = _signed(texts)
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    nodes = signed.groupBy("node").agg(F.min(row).alias("least"))
+    found = _classes(texts.drop("key"), signed).select("node", "component")
+    firsts = nodes.join(found, "node").groupBy("component").agg(F.min("least").alias("least"))
+    copies = signed.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("copies"))
+    firsts = firsts.select(F.col("least.doc_id").alias("doc_id"), F.col("least.key").alias("key")).alias("f")
+    same = F.col("f.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("f.key") == F.col("c.key"))
+    firsts = firsts.join(copies.alias("c"), same).select("f.doc_id", "f.key", "copies")
+    firsts = saved(firsts, "ngram-firsts")
+    key = F.md5(F.coalesce(F.col(f"d.`{text_col}`").cast("string"), F.lit("")))
+    same = F.col(f"d.`{id_col}`").eqNullSafe(F.col("f.doc_id")) & (key == F.col("f.key"))
+    rows = docs.alias("d").join(firsts.alias("f"), same)
+    columns = [F.col(f"d.`{c}`") for c in docs.columns]
+    # Only rows that are repeated move once more.
+    repeated = rows.where("f.copies > 1").groupBy("f.doc_id", "f.key").agg(F.first(F.struct(*columns)).alias("row"))
+    repeated = repeated.select(*[F.col(f"row.`{c}`") for c in docs.columns])
+    return rows.where("f.copies = 1").select(*columns).unionByName(repeated)
+
+
+def _classes(texts: DataFrame, signed: DataFrame) -> DataFrame:
+    """node, its least doc_id, links of each of its rows, and component."""
     nodes = signed.groupBy("node").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"), F.first("sig").alias("sig")
     )
@@ -90,16 +128,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     links = near.groupBy("node").agg(F.sum("links").alias("links"))
     found = components(near.select(F.col("node").alias("a"), F.col("root").alias("b")), "ngram")
     classes = nodes.select("node", "least", "size").join(links, "node", "left").join(found, "node", "left")
-    classes = classes.select(
+    return classes.select(
         "node",
         "least",
         (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("component", "node").alias("component"),
     )
-    names = classes.groupBy("component").agg(F.min("least").alias("class_id"))
-    classes = classes.join(names, "component").select("node", "class_id", "n_links")
-    rows = signed.select("doc_id", "node").join(classes, "node")
-    return rows.select("doc_id", "class_id", "n_links")
 
 
 def kept(docs: DataFrame, joined: DataFrame) -> DataFrame:
@@ -117,22 +151,23 @@ def kept(docs: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def _signed(texts: DataFrame) -> DataFrame:
-    """doc_id, node (a digest of the n-gram set) and signature."""
-    id_type = texts.schema["doc_id"].dataType.simpleString()
+    """doc_id, node (a digest of the n-gram set) and signature, and the text's key if there is one."""
+    own = [c for c in texts.columns if c != "text"]
+    schema = "".join(f"{c} {texts.schema[c].dataType.simpleString()}, " for c in own)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [ngram_set(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *[batch.column(c) for c in own],
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.array(map(signature, sets), pa.binary()),
                 ],
-                ["doc_id", "node", "sig"],
+                [*own, "node", "sig"],
             )
 
-    return saved(texts.mapInArrow(work, f"doc_id {id_type}, node binary, sig binary"), "ngram-signed")
+    return saved(texts.mapInArrow(work, schema + "node binary, sig binary"), "ngram-signed")
 
 
 def _meeting(nodes: DataFrame) -> DataFrame:

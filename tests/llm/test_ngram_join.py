@@ -90,10 +90,21 @@ def test_rows_of_one_id_with_different_texts(spark):
 
 def test_one_row_of_each_class_is_kept(spark):
     frame = odd(spark)
-    kept = ngram_join.kept(frame, ngram_join.join(frame))
+    kept = ngram_join.one_of_each(frame)
     assert kept.columns == frame.columns
     found = [r["doc_id"] for r in kept.collect()]
-    assert sorted(found, key=str) == sorted([0, 4, 5, 6, *range(8, 14), None, None], key=str)
+    # A row without an id is a copy of a row with one, the other one is alone.
+    assert sorted(found, key=str) == sorted([0, 4, 5, 6, *range(8, 14), None], key=str)
+    assert ngram_join.one_of_each(empty(spark)).collect() == []
+
+
+def test_rows_are_kept_by_their_own_texts(spark):
+    first, second, third = near_copies(2, 5, words=100), near_copies(2, 6, words=100), near_copies(1, 7, words=100)
+    rows = [(1, first[0], "a"), (1, second[0], "b"), (2, first[1], "c"), (2, second[1], "d"), (2, second[1], "d")]
+    rows += [(None, third[0], "e"), (None, third[0], "e"), (None, first[0], "f"), (3, None, "g"), (3, "", "g")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    found = ngram_join.one_of_each(frame.withColumnRenamed("key", "copies")).collect()
+    assert sorted(r["copies"] for r in found) == ["a", "b", "e", "g"]
 
 
 def test_the_chance_of_a_link_reaches_the_target():
