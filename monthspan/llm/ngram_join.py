@@ -136,20 +136,6 @@ def _classes(texts: DataFrame, signed: DataFrame) -> DataFrame:
     )
 
 
-def kept(docs: DataFrame, joined: DataFrame) -> DataFrame:
-    """One document of each class, the one that names it, with all its columns.
-
-    Rows that repeat its doc_id are dropped too; which of them stays is open. Rows without a doc_id
-    stay, as nothing tells them apart.
-    """
-    names = joined.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    columns = [F.col(f"d.`{c}`") for c in docs.columns]
-    rows = docs.alias("d").join(names.alias("n"), F.col("d.doc_id") == F.col("n.doc_id"))
-    single = rows.where("n._rows = 1").select(*columns)
-    repeated = rows.where("n._rows > 1").select(*columns).dropDuplicates(["doc_id"])
-    return single.unionByName(repeated).unionByName(docs.where(F.col("doc_id").isNull()))
-
-
 def _signed(texts: DataFrame) -> DataFrame:
     """doc_id, node (a digest of the n-gram set) and signature, and the text's key if there is one."""
     own = [c for c in texts.columns if c != "text"]
