@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthspan.panel import Panel, col
+from monthspan.panel import Panel, col, task_count
 
 # Months that a gap may have; a longer one can only be a wrong year.
 MOST_MONTHS = 12_000
@@ -30,6 +30,7 @@ def fill_date_gaps(
     panel: Panel = Panel(),
     zero_fill_nulls: bool = True,
     mark_filled: str | None = None,
+    rows: int = 0,
 ) -> DataFrame:
     """Give every series all months between its first and its last.
 
@@ -39,18 +40,18 @@ def fill_date_gaps(
 
     Needs unique (series, date), as ``deduplicate`` leaves it. Each row is stretched up to the month
     before the next row of its series, so there is no calendar table and no join: one shuffle by
-    entity, on rows that deduplication has bounded to one per month and product.
+    entity, on rows that deduplication has bounded to one per month and product. ``rows``, where the caller knows about
+    how many there are, sets its number of partitions, so that what a task stretches and sorts is bounded.
 
     A gap of more than ``MOST_MONTHS`` months is an error; nothing is dropped or cut short.
     """
-    if panel.by_product:
-        # Rows of an entity together serve the windows by product as well as those by month.
-        frame = frame.repartition(col(panel.entity))
+    # Rows of an entity together serve the windows by product as well as those by month.
+    frame = frame.repartition(task_count(frame.sparkSession, rows), col(panel.entity))
     in_order = panel.along_series()
     known = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fixed = {*panel.series, panel.date, *panel.volumes}
     carried = [c for c in frame.columns if c not in fixed]
-    rows = frame.withColumns(
+    known_so_far = frame.withColumns(
         {c: F.last(col(c), ignorenulls=True).over(known) for c in carried}
         | {_NEXT: F.lead(col(panel.date)).over(in_order)}
     )
@@ -60,7 +61,7 @@ def fill_date_gaps(
     until = F.when(F.months_between(_NEXT, col(panel.date)) > MOST_MONTHS, too_long).otherwise(
         F.greatest(col(panel.date), F.add_months(col(_NEXT), -1))
     )
-    stretched = rows.withColumn(
+    stretched = known_so_far.withColumn(
         _MONTH, F.explode(F.sequence(col(panel.date), until, F.expr("interval 1 month")))
     )
     is_inserted = col(_MONTH) != col(panel.date)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # Fixed values of the data model.
@@ -14,6 +14,8 @@ OIL_CAP = 50_000.0
 DECLINE_MIN = -1.0
 DECLINE_MAX = 10.0
 DEFAULT_MIN_YEAR = 2024
+# Reported rows that a task may get where they are stretched, collected or sorted whole.
+ROWS_PER_TASK = 50_000
 
 
 def col(name: str) -> Column:
@@ -21,6 +23,15 @@ def col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def task_count(spark: SparkSession, rows: int = 0) -> int:
+    """Tasks for that many rows: the session's shuffle partitions, or more, so that no task's share grows with the table.
+
+    Given to ``repartition``, it also keeps Spark from merging partitions by the bytes that they have before their
+    rows are stretched.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+
+
 @dataclass(frozen=True)
 class Panel:
     """Which column plays which role.

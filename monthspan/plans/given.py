@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthspan.sources.files import spread
+
 MIN_YEAR = 1998
 POSITION = "o_orderkey"
 PAGE_TEMPLATE = "https://h.example/month?f_lc={lease_id}"
@@ -55,12 +57,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of a raw file as texts, plus the position."""
     columns = [F.expr(sql).alias(name) for name, sql in RAW_TEXT.items()]
-    return table(spark, sf_dir, "orders").select(*columns, POSITION)
+    return spread(table(spark, sf_dir, "orders")).select(*columns, POSITION)
 
 
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The typed columns that cleaning and features need, plus the position."""
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.col("o_custkey").alias("LEASE_KID"),
         F.nullif(F.expr(RAW_TEXT["FIELD"]), F.lit("")).alias("FIELD"),
         F.expr(RAW_TEXT["TWN_DIR"]).alias("TWN_DIR"),
@@ -73,7 +75,7 @@ def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A longer panel: line items by part and shipping month."""
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         F.col("l_partkey").alias("LEASE_KID"),
         F.expr("concat(month(l_shipdate), '-', year(l_shipdate))").alias("MONTH-YEAR"),
         F.expr("case l_linestatus when 'F' then 'G' else l_linestatus end").alias("PRODUCT"),

@@ -90,20 +90,26 @@ def declared(spark: SparkSession, paths: Paths, settings: Settings) -> T.StructT
 
 
 def transform_rows(
-    rows: DataFrame, position: Sequence[str], schema: T.StructType, settings: Settings = Settings()
+    rows: DataFrame,
+    position: Sequence[str],
+    schema: T.StructType,
+    settings: Settings = Settings(),
+    count: int = 0,
 ) -> DataFrame:
     """Typed rows to a clean, unique, gap-free panel.
 
     Two shuffles. The first is by row key, after each task has dropped its own repeats. The second
-    is by entity and carries at most one row per key, so no entity can outgrow a task.
+    is by entity and carries at most one row per key, so no entity can outgrow a task. ``count``,
+    about how many rows there are, sets the second one's number of partitions.
     """
-    return _panel_of(rows.transform(clean_rows, schema, settings.panel, settings.on_bad_date), position, settings)
+    clean = rows.transform(clean_rows, schema, settings.panel, settings.on_bad_date)
+    return _panel_of(clean, position, settings, count)
 
 
-def _panel_of(clean: DataFrame, position: Sequence[str], settings: Settings) -> DataFrame:
+def _panel_of(clean: DataFrame, position: Sequence[str], settings: Settings, count: int) -> DataFrame:
     panel = settings.panel
     unique = clean.transform(deduplicate, position, panel).drop(SOURCE_POS)
-    return unique.transform(fill_date_gaps, panel, settings.zero_fill_nulls)
+    return unique.transform(fill_date_gaps, panel, settings.zero_fill_nulls, rows=count)
 
 
 def acquire(spark: SparkSession, paths: Paths, settings: Settings = Settings()) -> None:
@@ -145,7 +151,7 @@ def transform(spark: SparkSession, paths: Paths, settings: Settings = Settings()
     checked = rows.transform(checked_rows, schema, panel, settings.on_bad_date)
     # Reads one column. Metrics observed below a shuffle never arrive when no row gets through it.
     faulty = checked.filter(F.size(FAULTS) > 0).count()
-    filled = _panel_of(accepted(checked), position, settings)
+    filled = _panel_of(accepted(checked), position, settings, 0)
     checks = write_checks(panel, schema, filled.columns)
     files, source = _files(spark, settings, paths.interim), _source(spark, paths, settings, "transform")
     if files is None and settings.file_bytes is None:

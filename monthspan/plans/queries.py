@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from monthspan.functions.links import query_parameter
 from monthspan.operators import calendar, clean, dedup, features, manifest, quality
-from monthspan.panel import Panel
+from monthspan.panel import Panel, task_count
 from monthspan.plans import given, jobs
 from monthspan.sources import landed, raw, stages
 from monthspan.sources.dictionary import DICTIONARY_COLUMNS, MONTHLY, archive_schema, monthly_schema
@@ -43,8 +43,19 @@ def unique(spark: SparkSession, sf_dir: str, panel: Panel = PANEL) -> DataFrame:
     return rows.transform(dedup.deduplicate, POSITION, panel).drop(given.POSITION)
 
 
+def reports(spark: SparkSession, sf_dir: str, table: str = "orders") -> int:
+    """The rows of a table, from its files' footers."""
+    return given.table(spark, sf_dir, table).count()
+
+
 def filled(spark: SparkSession, sf_dir: str, panel: Panel = PANEL) -> DataFrame:
-    return unique(spark, sf_dir, panel).transform(calendar.fill_date_gaps, panel)
+    rows = reports(spark, sf_dir)
+    return unique(spark, sf_dir, panel).transform(calendar.fill_date_gaps, panel, rows=rows)
+
+
+def write_filled(spark: SparkSession, directory: str, panel: DataFrame, sf_dir: str) -> None:
+    """Write what ``filled`` gives, in as many buckets as its rows come in."""
+    stages.write_panel(panel, directory, buckets=task_count(spark, reports(spark, sf_dir)))
 
 
 def reported(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,10 +270,10 @@ def stage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def committed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per lease of a panel after a second write that broke off; its buckets come from the list of commits."""
     directory = stages.scratch_dir(spark, "panel")
-    stages.write_panel(filled(spark, sf_dir), directory)
+    write_filled(spark, directory, filled(spark, sf_dir), sf_dir)
     broken = filled(spark, sf_dir).withColumn("PRODUCTION", F.raise_error(F.lit("broken off")).cast("double"))
     try:
-        stages.write_panel(broken, directory)
+        write_filled(spark, directory, broken, sf_dir)
     except PySparkException:
         pass
     return stages.read_panel(spark, directory).groupBy("LEASE_KID").agg(F.count("*").alias("rows"))
@@ -339,7 +350,7 @@ def fill_date_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fill_date_gaps_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inserted months marked, missing volumes left missing."""
     rows = unique(spark, sf_dir)
-    return calendar.fill_date_gaps(rows, zero_fill_nulls=False, mark_filled="is_filled")
+    return calendar.fill_date_gaps(rows, zero_fill_nulls=False, mark_filled="is_filled", rows=reports(spark, sf_dir))
 
 
 def fill_date_gaps_product(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,7 +411,8 @@ def part_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain on the larger table."""
     rows = given.part_panel(spark, sf_dir).transform(clean.clean_rows, monthly_schema())
     rows = rows.transform(dedup.deduplicate, ["position"]).drop("position")
-    return rows.transform(calendar.fill_date_gaps).transform(features.add_features)
+    rows = rows.transform(calendar.fill_date_gaps, rows=reports(spark, sf_dir, "lineitem"))
+    return rows.transform(features.add_features)
 
 
 # Manifest
@@ -489,7 +501,7 @@ def features_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = jobs.Paths(
         processed=stages.scratch_dir(spark, "processed"), features=stages.scratch_dir(spark, "features")
     )
-    stages.write_panel(filled(spark, sf_dir), paths.processed)
+    write_filled(spark, paths.processed, filled(spark, sf_dir), sf_dir)
     jobs.features(spark, paths, SETTINGS)
     stages.drop_dir(spark, paths.processed)
     return stages.read_stage(spark, paths.features)
@@ -499,7 +511,8 @@ def all_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files to features in one plan, without stage tables between."""
     rows = raw.ingest_rows(spark, files_in_order(spark, sf_dir), monthly_schema(), given.MIN_YEAR)
     position = [raw.SOURCE_FILE, raw.SOURCE_POS]
-    panel = jobs.transform_rows(rows, position, monthly_schema(), SETTINGS).drop(raw.SOURCE_FILE)
+    count = reports(spark, sf_dir)
+    panel = jobs.transform_rows(rows, position, monthly_schema(), SETTINGS, count).drop(raw.SOURCE_FILE)
     return panel.transform(features.add_features)
 
 

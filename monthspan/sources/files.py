@@ -14,6 +14,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthspan.panel import task_count
+
+# Rows that a task may sort as it scans them.
+MOST_SCANNED = 500_000
+_NUMBER = "_number"
+
 
 def file_name() -> Column:
     """The base name of a scanned row's file, as it is written on disk.
@@ -45,6 +51,17 @@ def list_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     return files.select("path", "file_name", "length", "modificationTime")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A scan's rows, dealt to more tasks where one would read more than ``MOST_SCANNED``, as it does of a large row
+    group or of files that compress well. Reads no column to find out."""
+    tasks = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count"))
+    most, total = tasks.first()
+    if not most or most <= MOST_SCANNED:
+        return rows
+    numbered = rows.withColumn(_NUMBER, F.monotonically_increasing_id())
+    return numbered.repartition(task_count(rows.sparkSession, total), _NUMBER).drop(_NUMBER)
+
+
 def _hidden(spark: SparkSession, directory: str, pattern: str) -> str | None:
     """A file of the pattern that Spark would pass over; only the names of such files are listed."""
     if pattern == "*":

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from monthspan.operators.rejects import FAULTS, accepted
-from monthspan.panel import Panel, col
+from monthspan.panel import Panel, col, task_count
 from monthspan.sources.files import list_files
 from monthspan.sources.files import scratch_dir as scratch_dir
 from monthspan.sources.raw import SOURCE_FILE, SOURCE_POS
@@ -122,17 +122,19 @@ def write_panel(
     checks: Mapping[str, Column] | None = None,
     source: str = "",
     faulty: int = 0,
+    buckets: int | None = None,
 ) -> Commit:
     """Write a new version of a stage table in buckets by entity, in date order inside each bucket.
 
     What reads it with ``read_panel`` finds each entity in one partition and shuffles nothing. The
-    number of buckets is that of the shuffle that the rows come from, so the write adds none.
+    number of buckets must be that of the shuffle that the rows come from, by default the session's; then the write
+    adds none.
     """
     spark = frame.sparkSession
     observed, seen = _observed(frame, panel, checks or {})
     version, number = _next_version(spark, directory)
     path = f"{directory}/{version}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or task_count(spark)
     keys = [panel.entity, *[k for k in panel.keys if k != panel.entity]]
     writer = observed.write.format("parquet").option("path", path)
     writer.bucketBy(buckets, panel.entity).sortBy(*keys).saveAsTable(_table(path))
