@@ -26,10 +26,10 @@ from monthspan.operators.features import add_features
 from monthspan.operators.manifest import LINK_MARKER, lease_manifest
 from monthspan.operators.quality import write_checks
 from monthspan.operators.rejects import FAULTS, RejectedRows, accepted, rejected
-from monthspan.panel import DEFAULT_MIN_YEAR, Panel
+from monthspan.panel import DEFAULT_MIN_YEAR, Panel, task_count
 from monthspan.sources import stages
 from monthspan.sources.dictionary import load_schema, monthly_schema
-from monthspan.sources.files import list_files
+from monthspan.sources.files import list_files, spread
 from monthspan.sources.landed import current_leases, landed_files, read_lease_index
 from monthspan.sources.raw import PATTERN, SOURCE_FILE, SOURCE_POS, WHOLE_UP_TO, checked_ingest
 
@@ -148,14 +148,15 @@ def transform(spark: SparkSession, paths: Paths, settings: Settings = Settings()
     """
     schema, panel = declared(spark, paths, settings), settings.panel
     rows, position = stages.read_rows_in_order(spark, paths.interim)
-    checked = rows.transform(checked_rows, schema, panel, settings.on_bad_date)
+    checked = spread(rows).transform(checked_rows, schema, panel, settings.on_bad_date)
     # Reads one column. Metrics observed below a shuffle never arrive when no row gets through it.
-    faulty = checked.filter(F.size(FAULTS) > 0).count()
-    filled = _panel_of(accepted(checked), position, settings, 0)
+    count, faulty = checked.agg(F.count(F.lit(1)), F.count_if(F.size(FAULTS) > 0)).first()
+    filled = _panel_of(accepted(checked), position, settings, count)
     checks = write_checks(panel, schema, filled.columns)
     files, source = _files(spark, settings, paths.interim), _source(spark, paths, settings, "transform")
     if files is None and settings.file_bytes is None:
-        commit = stages.write_panel(filled, paths.processed, panel, checks, source, faulty)
+        buckets = task_count(spark, count)
+        commit = stages.write_panel(filled, paths.processed, panel, checks, source, faulty, buckets)
     else:
         commit = stages.write_stage(
             filled, paths.processed, files, panel, checks, source, faulty, settings.file_bytes

@@ -7,7 +7,9 @@ import monthspan.panel
 from monthspan import Panel
 from monthspan.operators import calendar
 from monthspan.operators.features import add_features
-from monthspan.sources import files
+from monthspan.plans import jobs
+from monthspan.sources import files, stages
+from tests.helpers import panel
 
 
 def partitions(frame) -> int:
@@ -43,3 +45,19 @@ def test_a_scan_of_many_rows_is_dealt_to_more_tasks(spark, monkeypatch):
     assert partitions(dealt) == 8 and dealt.columns == ["id"]
     assert sorted(r["id"] for r in dealt.collect()) == list(range(100))
     assert files.spread(rows.limit(0)).count() == 0
+
+
+def test_transform_writes_as_many_buckets_as_its_rows_need(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(monthspan.panel, "ROWS_PER_TASK", 2)
+    monkeypatch.setattr(files, "MOST_SCANNED", 5)
+    paths = jobs.Paths(interim=str(tmp_path / "interim"), processed=str(tmp_path / "processed"))
+    rows = panel(spark, [(1, 1, "O"), (4, 2, "O")])
+    for lease in range(14):
+        rows = rows.unionByName(panel(spark, [(1, 1, "O"), (4, 2, "O")], lease=lease))
+    rows = rows.withColumn("MONTH-YEAR", F.date_format("production_date", "M-yyyy")).drop("production_date")
+    stages.write_stage(rows.coalesce(1), paths.interim)
+    jobs.transform(spark, paths)
+    assert stages.commits(spark, paths.processed)[0].buckets == 15
+    made = stages.read_panel(spark, paths.processed)
+    assert made.groupBy("LEASE_KID").count().filter("count = 4").count() == 15
+    assert "Exchange" not in add_features(made)._jdf.queryExecution().executedPlan().toString()
