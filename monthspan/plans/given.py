@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthspan.panel import task_count
 from monthspan.sources.files import spread
 
 MIN_YEAR = 1998
@@ -153,6 +154,8 @@ def raw_contents(
         F.floor(F.col(POSITION) / ROWS_PER_FILE).alias("file"),
         F.struct(POSITION, F.concat(cells, end).alias("line")).alias("row"),
     )
+    # Spread by the number of lines, so that a task's texts don't grow with the table.
+    lines = lines.repartition(task_count(rows.sparkSession, rows.count()), "file")
     files = lines.groupBy("file").agg(F.array_sort(F.collect_list("row")).alias("rows"))
     text = F.concat(F.lit(header + line_end), F.array_join(F.transform("rows", lambda r: r["line"]), ""))
     return files.select("file", text.alias("content"))

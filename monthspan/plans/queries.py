@@ -88,7 +88,8 @@ def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_raw_files(contents: DataFrame, directory: str) -> None:
     """Write each text to a file of its own; the names follow the texts' order."""
-    in_order = contents.repartitionByRange("file").sortWithinPartitions("file").select("content")
+    tasks = task_count(contents.sparkSession, contents.count() * given.ROWS_PER_FILE)
+    in_order = contents.repartitionByRange(tasks, "file").sortWithinPartitions("file").select("content")
     in_order.write.option("maxRecordsPerFile", 1).text(directory)
 
 

@@ -7,7 +7,7 @@ import monthspan.panel
 from monthspan import Panel
 from monthspan.operators import calendar
 from monthspan.operators.features import add_features
-from monthspan.plans import jobs
+from monthspan.plans import given, jobs, queries
 from monthspan.sources import files, stages
 from tests.helpers import panel
 
@@ -61,3 +61,13 @@ def test_transform_writes_as_many_buckets_as_its_rows_need(spark, tmp_path, monk
     made = stages.read_panel(spark, paths.processed)
     assert made.groupBy("LEASE_KID").count().filter("count = 4").count() == 15
     assert "Exchange" not in add_features(made)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_raw_texts_are_put_together_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(monthspan.panel, "ROWS_PER_TASK", 4000)
+    rows = spark.range(80_000).select(F.col("id").alias(given.POSITION), F.lit("x").alias("A"))
+    contents = given.raw_contents(rows, ["A"], "\n")
+    assert partitions(contents) == 20
+    queries.write_raw_files(contents, str(tmp_path / "raw"))
+    texts = [p.read_text() for p in sorted((tmp_path / "raw").glob("part-*"))]
+    assert [t.count("x") for t in texts] == [4000] * 20
