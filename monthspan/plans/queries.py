@@ -185,8 +185,8 @@ def sized_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and files of every lease's own directory."""
     directory = stages.scratch_dir(spark, "entities")
-    stages.write_by_entity(unique(spark, sf_dir), directory)
-    rows = stages.read_stage(spark, directory).select("LEASE_KID", F.col("_metadata.file_path").alias("path"))
+    stages.write_by_entity(unique(spark, sf_dir), directory, rows=reports(spark, sf_dir))
+    rows = stages.read_by_entity(spark, directory)
     return rows.groupBy(F.col("LEASE_KID").cast("bigint").alias("LEASE_KID")).agg(
         F.count("*").alias("rows"), F.countDistinct("path").alias("files")
     )

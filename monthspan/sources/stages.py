@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from monthspan.operators.rejects import FAULTS, accepted
 from monthspan.panel import Panel, col, task_count
+from monthspan.sources import entities
 from monthspan.sources.files import list_files
 from monthspan.sources.files import scratch_dir as scratch_dir
 from monthspan.sources.raw import SOURCE_FILE, SOURCE_POS
@@ -226,10 +227,36 @@ def _commit(spark: SparkSession, directory: str, commit: Commit) -> Commit:
     return commit
 
 
-def write_by_entity(frame: DataFrame, directory: str, panel: Panel = Panel()) -> None:
-    """One directory per entity, each file holding one entity. Opt-in: it makes many small files."""
-    rows = frame.repartition(col(panel.entity)).sortWithinPartitions(*map(col, panel.keys))
-    rows.write.mode("overwrite").partitionBy(panel.entity).parquet(directory)
+def write_by_entity(frame: DataFrame, directory: str, panel: Panel = Panel(), rows: int = 0) -> None:
+    """One directory per entity, each file holding one entity. Opt-in: it makes many small files.
+
+    ``rows``, where the caller knows about how many there are, sets the number of tasks. Nothing is to be seen in the
+    directory before all is written; what was there before is replaced.
+    """
+    spark = frame.sparkSession
+    local = _local_path(spark, directory)
+    if local is None:
+        ordered = frame.repartition(task_count(spark, rows), col(panel.entity)).sortWithinPartitions(*map(col, panel.keys))
+        ordered.write.mode("overwrite").partitionBy(panel.entity).parquet(directory)
+        return
+    apart = f"{directory.rstrip('/')}-{uuid.uuid4().hex}"
+    try:
+        entities.write(frame, _local_path(spark, apart), f"{apart}/{entities.INDEX}", panel, rows)
+    except Exception:
+        drop_dir(spark, apart)
+        raise
+    drop_dir(spark, directory)
+    path, system = _file_system(spark, directory)
+    system.rename(_file_system(spark, apart)[0], path)
+    system.create(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")).close()
+
+
+def read_by_entity(spark: SparkSession, directory: str, panel: Panel = Panel()) -> DataFrame:
+    """All rows of the entities' directories, with the ``path`` of each row's file."""
+    local = _local_path(spark, directory)
+    if local is None or not _exists(spark, f"{directory}/{entities.INDEX}"):
+        return spark.read.parquet(directory).select("*", F.col("_metadata.file_path").alias(entities.PATH))
+    return entities.read(spark, local, f"{directory}/{entities.INDEX}", panel)
 
 
 def write_clustered(
@@ -361,6 +388,12 @@ def _names(spark: SparkSession, directory: str, pattern: str) -> list[str]:
     return [name for name in names if fnmatch(name, pattern)]
 
 
+def _local_path(spark: SparkSession, directory: str) -> str | None:
+    """The plain path of a directory, if its file system is that of the machines."""
+    path, system = _file_system(spark, directory)
+    return system.makeQualified(path).toUri().getPath() if system.getUri().getScheme() == "file" else None
+
+
 def _file_system(spark: SparkSession, directory: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(directory)
     return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

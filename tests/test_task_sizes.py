@@ -71,3 +71,43 @@ def test_raw_texts_are_put_together_in_tasks_of_bounded_rows(spark, tmp_path, mo
     queries.write_raw_files(contents, str(tmp_path / "raw"))
     texts = [p.read_text() for p in sorted((tmp_path / "raw").glob("part-*"))]
     assert [t.count("x") for t in texts] == [4000] * 20
+
+
+def by_entity(spark, directory: str) -> list:
+    found = stages.read_by_entity(spark, directory, Panel(entity="e")).groupBy("e")
+    return found.agg(F.count("*"), F.countDistinct("path"), F.sum("v")).collect()
+
+
+def test_directories_per_entity_are_written_and_read_by_tasks(spark, tmp_path):
+    """Spark's writer makes processes for every directory, and its reader lists them all on the driver."""
+    rows = spark.range(60_000).select(
+        F.expr("""case when id < 25000 then 'hot' when id % 7 = 0 then null when id % 7 = 1 then ''
+            else element_at(array('a/b=c', 'x y', '100%', 'é', '.'), int(id % 7) - 1) end""").alias("e"),
+        F.expr("date_add(date'2000-01-01', int(id))").alias("production_date"),
+        F.col("id").alias("v"),
+    )
+    directory = str(tmp_path / "a")
+    stages.write_by_entity(rows.limit(3), directory, Panel(entity="e"))
+    stages.write_by_entity(rows, directory, Panel(entity="e"), rows=20 * monthspan.panel.ROWS_PER_TASK)
+    expected = rows.groupBy(F.nullif("e", F.lit("")).alias("e")).agg(F.count("*"), F.lit(1), F.sum("v"))
+    found = by_entity(spark, directory)
+    assert sorted(found, key=str) == sorted(expected.collect(), key=str)
+    index = spark.read.parquet(f"{directory}/_index")
+    assert index.count() == index.select("directory").distinct().count() == 7
+    assert index.agg(F.sum("rows")).first()[0] == 60_000
+    plan = stages.read_by_entity(spark, directory, Panel(entity="e"))._jdf.queryExecution().executedPlan().toString()
+    assert "e=hot" not in plan and "MapInArrow" in plan
+    # Spark's reader finds the same rows in the same directories.
+    read = spark.read.parquet(directory)
+    assert read.exceptAll(rows.selectExpr("production_date", "v", "nullif(e, '') as e")).count() == 0
+    assert read.count() == 60_000
+
+
+def test_a_write_by_entity_that_breaks_off_leaves_what_was_there(spark, tmp_path):
+    directory = str(tmp_path / "a")
+    stages.write_by_entity(leases(spark, 5), directory)
+    broken = leases(spark, 9).withColumn("PRODUCTION", F.raise_error(F.lit("broken off")).cast("double"))
+    with pytest.raises(Exception, match="broken off"):
+        stages.write_by_entity(broken, directory)
+    assert stages.read_by_entity(spark, directory).groupBy("LEASE_KID").count().count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["a"]
