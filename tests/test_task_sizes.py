@@ -111,3 +111,25 @@ def test_a_write_by_entity_that_breaks_off_leaves_what_was_there(spark, tmp_path
         stages.write_by_entity(broken, directory)
     assert stages.read_by_entity(spark, directory).groupBy("LEASE_KID").count().count() == 5
     assert [p.name for p in tmp_path.iterdir()] == ["a"]
+
+
+@pytest.mark.parametrize("name", ["all_stages", "whole_run"])
+def test_runs_over_raw_files_deal_their_rows_to_as_many_tasks_as_they_need(spark, tmp_path, monkeypatch, name):
+    """Merged by their few bytes, rows would be stretched and sorted by about one task a core."""
+    orders = spark.range(6000).selectExpr(
+        "id as o_orderkey", "id % 40 as o_custkey", "element_at(array('O', 'F', 'P'), int(id % 3) + 1) as o_orderstatus",
+        "double(id) as o_totalprice", "timestamp(add_months(date'1998-01-01', int(id * 7 % 90))) as o_orderdate",
+        "'1-URGENT' as o_orderpriority",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    pages = spark.createDataFrame([(1, "https://h.example/", "<p>")], "page_id bigint, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    expected = queries.QUERIES[name](spark, str(tmp_path))
+    monkeypatch.setattr(monthspan.panel, "ROWS_PER_TASK", 300)
+    made = queries.QUERIES[name](spark, str(tmp_path))
+    assert made.count() == expected.count() > 0 and made.exceptAll(expected).count() == 0
+    if name == "all_stages":
+        assert partitions(made) == 20
+    else:
+        read = made.select(F.regexp_extract(F.col("_metadata.file_name"), "^part-([0-9]{5})", 1).alias("task"))
+        assert read.distinct().count() > 8
