@@ -1,5 +1,7 @@
 """Near vectors against all cosines."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -66,6 +68,59 @@ def test_a_group_of_many_blocks(spark, monkeypatch):
     assert linked(frame(spark, rows)) == sorted(plain(rows), key=str)
 
 
+def test_a_vector_is_written_once(spark, monkeypatch):
+    """Vectors without clusters are near to most of many cells; what is written doesn't follow that number."""
+    monkeypatch.setattr(near_vectors, "PER_CELL", 64)
+    monkeypatch.setattr(near_vectors, "SAMPLE", 600)
+    values = np.random.default_rng(5).normal(size=(6000, 64)).astype(np.float32)
+    vectors = frame(spark, list(enumerate(values.tolist())))
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    folders = [Path(spark.conf.get("spark.checkpoint.dir")), *map(Path, blocks)]
+    held = lambda: {f: f.stat().st_size for folder in folders for f in folder.rglob("*") if f.is_file()}
+    before = held()
+    result = near_vectors.link(vectors)
+    written = sum(size for f, size in held().items() if f not in before)
+    assert written <= 4 * values.nbytes
+    assert result.where("n_links = 0 and kept").count() == 6000
+
+
+@pytest.mark.parametrize("shard_rows, per_task", [(70, 1), (150, 3)])
+def test_shards_meet_once(spark, monkeypatch, shard_rows, per_task):
+    monkeypatch.setattr(near_vectors, "PER_CELL", 50)
+    monkeypatch.setattr(near_vectors, "BLOCK", 30)
+    monkeypatch.setattr(near_vectors, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(near_vectors, "SHARDS_PER_TASK", per_task)
+    values = np.concatenate([clustered(500, 60, 0.25, 6), clustered(400, 2, 0.1, 7)]).tolist()
+    rows = list(enumerate([*values, *values[:40], *values[600:650]]))  # some twice, in other batches
+    vectors = frame(spark, rows)
+    assert linked(vectors) == sorted(plain(rows), key=str)
+    doubles = vectors.withColumn("embedding", vectors["embedding"].cast("array<double>"))
+    assert linked(doubles) == sorted(plain(rows), key=str)
+
+
+def test_the_bound_passes_every_link():
+    """Products of the first components and the rest are no less than the cosine, whatever their number."""
+    rng = np.random.default_rng(8)
+    for units in (rng.normal(size=(300, 48)), rng.normal(size=(300, 48)) * 0.5 ** np.arange(48)):
+        units = near_vectors._units(units)
+        units = np.concatenate([units, near_vectors._units(units + 0.05 * rng.normal(size=units.shape))])
+        cosines = units @ units.T
+        for width in (8, 20, 47, 48):
+            low = near_vectors._bounding(units, width)
+            assert (low @ low.T >= cosines - near_vectors._slack(48)).all()
+
+
+def test_equal_vectors_have_one_home():
+    """Between centroids that are as near to each other, too."""
+    rng = np.random.default_rng(9)
+    centroids = near_vectors._units(rng.normal(size=(40, 16)))
+    centroids = np.concatenate([centroids, centroids, near_vectors._units(centroids + 1e-9)])
+    units = near_vectors._units(rng.normal(size=(200, 16)))
+    homes = near_vectors._homes(units, centroids)
+    for start, end in ((0, 1), (7, 12), (50, 200)):
+        assert (near_vectors._homes(units[start:end], centroids) == homes[start:end]).all()
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
