@@ -466,12 +466,13 @@ class _Found:
         if not len(hits):
             return
         if len(hits) * 16 > size:
-            near = self.one.exact(rows) @ self.other.exact(columns).T
-            left, right = np.nonzero(near >= threshold)
-            left, right = rows[left], columns[right]
+            near = self.one.exact(rows) @ self.other.exact(columns).T >= threshold
             if upper:
-                left, right = left[left < right], right[left < right]
-            self.link(left, right)
+                near &= rows[:, None] < columns
+            self.links[rows] += (near @ self.other.weights[columns].astype(np.float64)).astype(np.int64)
+            self.links[columns + self.shift] += (self.one.weights[rows].astype(np.float64) @ near).astype(np.int64)
+            left, right = np.nonzero(near & (self.least[rows][:, None] != self.least[columns + self.shift]))
+            self.wait(rows[left], columns[right] + self.shift)
         else:
             left, right = np.divmod(hits, shape[1])
             left, right = rows[left], columns[right]
@@ -495,12 +496,14 @@ class _Found:
 
     def link(self, left: np.ndarray, right: np.ndarray) -> None:
         np.add.at(self.links, left, self.other.weights[right])
-        right = right + self.shift
-        np.add.at(self.links, right, self.one.weights[left])
-        joins = self.least[left] != self.least[right]
-        if joins.any():
-            self.waiting.append((left[joins], right[joins]))
-            self.waits += len(self.waiting[-1][0])
+        np.add.at(self.links, right + self.shift, self.one.weights[left])
+        joins = self.least[left] != self.least[right + self.shift]
+        self.wait(left[joins], right[joins] + self.shift)
+
+    def wait(self, left: np.ndarray, right: np.ndarray) -> None:
+        if len(left):
+            self.waiting.append((left, right))
+            self.waits += len(left)
             if self.waits > _WAITING:
                 self.join()
 
