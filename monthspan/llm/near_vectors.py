@@ -49,7 +49,7 @@ SHARDS_PER_TASK = 8
 _TILE = 128
 _COLUMNS = 1024
 # Pairs that may pass the bound by the first components, of all in the sample.
-_PASS = 1e-4
+_PASS = 2e-5
 # Links that wait to be joined to a forest, and components of pairs that wait to be compared.
 _WAITING = 1_000_000
 _DOUBTS = 1_000_000
